@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 def clean_ident(col: Column) -> Column:
     """Turn a label into a snake_case identifier; empty becomes ``col``, a leading digit gets ``c_``."""
     joined = F.regexp_replace(col, "[^0-9a-zA-Z]+", "_")
-    name = F.lower(F.regexp_replace(joined, "^_+|_+$", ""))
+    name = F.lower(F.btrim(joined, F.lit("_")))
     return (
         F.when(F.length(name) == 0, "col")
         .when(name.rlike("^[0-9]"), F.concat(F.lit("c_"), name))

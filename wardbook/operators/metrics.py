@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardbook.schema import FEATURES, TARGET
+from wardbook.session import ensure_checkpoint_dir
 
 _BUCKETS = 256
 
@@ -15,12 +16,15 @@ def score_curve(scored: DataFrame, score: str = "p", label: str = TARGET, bucket
     scored higher.
 
     The running totals are exact without a global sort: scores fall into quantile buckets, the bucket
-    totals are summed in one small window, and each bucket is summed on its own.
+    totals are summed in one small window, and each bucket is summed on its own. The counts per score
+    are checkpointed, since they are read three times and scoring is dear.
     """
+    ensure_checkpoint_dir(scored.sparkSession)
     positives = F.sum(F.col(label).cast("long"))
     per_score = scored.groupBy(F.col(score).cast("double").alias("score")).agg(
         positives.alias("pos"), (F.count(label) - positives).alias("neg")
     )
+    per_score = per_score.checkpoint()
     quantiles = per_score.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.5 / buckets)
     splits = [float("-inf"), *sorted(set(quantiles)), float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(per_score)

@@ -126,9 +126,10 @@ def b6(fct: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def b7(fct: DataFrame, dim_n: DataFrame, n: int = 15) -> DataFrame:
-    """The neighbourhoods with the highest rate, with population and improvement flag."""
+    """The neighbourhoods with the highest rate, with population and improvement flag. One without a
+    rate (no incidents or no population) has nothing to show."""
     rates = b3(fct, dim_n, ["neighbourhood_id", "neighbourhood_name", "is_improvement_area"])
-    return top_n(rates, [F.desc_nulls_last("per_1000"), F.asc("neighbourhood_id")], n)
+    return top_n(rates.filter("per_1000 is not null"), [F.desc("per_1000"), F.asc("neighbourhood_id")], n)
 
 
 def b8(fct: DataFrame, months: Sequence[str]) -> DataFrame:

@@ -50,11 +50,17 @@ def calendar(spark: SparkSession, start: date, today: date) -> DataFrame:
 
 
 def hour_spine(dates: DataFrame, column: str = "delay_date") -> DataFrame:
-    """Every hour from the first day's 00:00 to the last day's 23:00."""
-    first, last = (F.col(c).cast("timestamp_ntz") for c in ("d0", "d1"))
-    return dates.agg(F.min(column).alias("d0"), F.max(column).alias("d1")).select(
-        F.explode(F.sequence(first, last + F.expr("interval 23 hours"), F.expr("interval 1 hour"))).alias("hour")
-    )
+    """Every hour from the first day's 00:00 to the last day's 23:00.
+
+    The days are spread over the shuffle partitions before their hours are made; an explicit number
+    keeps AQE from drawing the few day rows, and so all later hours and lines, back into one task.
+    """
+    spread = int(dates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = dates.agg(F.min(column).alias("d0"), F.max(column).alias("d1"))
+    days = bounds.select(F.explode(F.sequence("d0", "d1")).alias("day")).repartition(spread, "day")
+    midnight = F.col("day").cast("timestamp_ntz")
+    hours = F.sequence(midnight, midnight + F.expr("interval 23 hours"), F.expr("interval 1 hour"))
+    return days.select(F.explode(hours).alias("hour"))
 
 
 def line_hours(hours: DataFrame, lines: list[str], name: str = "line") -> DataFrame:

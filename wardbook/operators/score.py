@@ -10,25 +10,32 @@ from wardbook.schema import LINES, WEATHER_VARS
 from wardbook.sources.weather import forecast_at
 
 
-def override_values(text: Column) -> tuple[dict[str, Column], Column]:
-    """The known keys of a JSON object as doubles (null when absent), and whether it can be used.
-
-    Unknown keys are ignored; a known key must be a number. No text at all is a valid, empty override.
-    """
-    parsed = F.try_parse_json(text)
-    good = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
+def override_values(parsed: Column) -> tuple[dict[str, Column], Column]:
+    """The known keys of a parsed JSON object as doubles (null when absent), and whether all those
+    present are numbers. Unknown keys are ignored."""
+    numeric = F.lit(True)
     values = {}
     for name in WEATHER_VARS:
         values[name] = F.try_variant_get(parsed, f"$.{name}", "double")
-        present = F.try_variant_get(parsed, f"$.{name}", "variant").isNotNull()
-        good = good & (~present | values[name].isNotNull())
-    return values, (F.coalesce(text, F.lit("")) == "") | good
+        absent = F.try_variant_get(parsed, f"$.{name}", "variant").isNull()
+        numeric = numeric & (absent | values[name].isNotNull())
+    return values, numeric
 
 
 def apply_override(df: DataFrame, column: str = "weather") -> DataFrame:
-    """Replace each weather variable by its override; adds ``override_ok``."""
-    values, ok = override_values(F.col(column))
-    return df.withColumns({n: F.coalesce(v, F.col(n)) for n, v in values.items()} | {"override_ok": ok})
+    """Replace each weather variable by its override; adds ``override_ok``. No text is a valid, empty
+    override. The text is parsed once per row, in its own projection."""
+    text = F.coalesce(F.col(column), F.lit(""))
+    values, numeric = override_values(F.col("_override"))
+    is_object = F.col("_override").isNotNull() & F.btrim(text, F.lit(" \t\r\n")).startswith("{")
+    return (
+        df.withColumn("_override", F.when(text != "", F.try_parse_json(text)))
+        .withColumns(
+            {n: F.coalesce(v, F.col(n)) for n, v in values.items()}
+            | {"override_ok": (text == "") | (is_object & numeric)}
+        )
+        .drop("_override")
+    )
 
 
 def prepare_requests(requests: DataFrame, forecast: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ is recomputed here by another engine; averages and rates are rounded in integers
 
 from wardbook.schema import CRIME_CATEGORIES, LINES, PROFILE_METRICS
 
-LOADED = 1706767200  # epoch seconds of the adapters' load time
+LOADED = "cast(1706767200 as bigint)"  # the adapters' load time in epoch seconds
 _POP, _INC, _HH = (PROFILE_METRICS[m] for m in ("population_2021", "median_income_2020", "households_2021"))
 _WEATHER = "temperature_2m, precipitation, snowfall, wind_speed_10m"
 _CATEGORIES = ", ".join(f"'{c}'" for c in CRIME_CATEGORIES)
@@ -503,7 +503,7 @@ _AREA_RATES = """SELECT n.neighbourhood_id, neighbourhood_name, is_improvement_a
 FROM dim_n n LEFT JOIN (SELECT neighbourhood_id, count(*) AS incidents FROM fct_crime GROUP BY 1) f ON n.neighbourhood_id = f.neighbourhood_id"""
 _add(
     "t3_top_rates",
-    f"SELECT neighbourhood_id, per_1000 FROM ({_AREA_RATES}) ORDER BY per_1000 DESC NULLS LAST, neighbourhood_id LIMIT 15",
+    f"SELECT neighbourhood_id, per_1000 FROM ({_AREA_RATES}) WHERE per_1000 IS NOT NULL ORDER BY per_1000 DESC, neighbourhood_id LIMIT 15",
 )
 _add(
     "t4_shift_by_hour",
@@ -745,7 +745,7 @@ _add(
     "b6_month_category",
     "SELECT cast(date_trunc('month', occurrence_date) as date) AS month_start, mci_category, count(*) AS incidents FROM fct_crime GROUP BY 1, 2",
 )
-_add("b7_top_neighbourhoods", f"{_AREA_RATES} ORDER BY per_1000 DESC NULLS LAST, n.neighbourhood_id LIMIT 15")
+_add("b7_top_neighbourhoods", f"SELECT * FROM ({_AREA_RATES}) WHERE per_1000 IS NOT NULL ORDER BY per_1000 DESC, neighbourhood_id LIMIT 15")
 _add(
     "b8_station_month",
     """SELECT station, cast(sum(delay_minutes) FILTER (WHERE strftime(delay_date, '%Y-%m') = '2024-01') as bigint) AS "2024-01",

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from wardbook.functions import dates, numbers, text
 from wardbook.operators import features, marts, metrics, model, quality, reports, reshape, score, snapshots, staging
 from wardbook.plans import run
-from wardbook.schema import BASELINE_KEYS, CRIME_CATEGORIES, LINES, PROFILE_METRICS, SEED_SCHEMA, TARGET
+from wardbook.schema import BASELINE_KEYS, CRIME_CATEGORIES, HISTORY_FEATURES, LINES, PROFILE_METRICS, SEED_LENGTHS, SEED_SCHEMA, TARGET
 from wardbook.session import scratch_path
 from wardbook.sources import adapters, landing, sinks, weather
 
@@ -131,7 +131,17 @@ class Tables:
 
     @cached_property
     def frame(self):
-        return features.training_frame(self.fct_delays, self.weather, history=False)
+        """The training frame as a written table: split, rates and test rows all read it."""
+        return self._written(features.training_frame(self.fct_delays, self.weather, history=False), "frame")
+
+    @cached_property
+    def history_frame(self):
+        return self._written(features.training_frame(self.fct_delays, self.weather), "history_frame")
+
+    def _written(self, df, name):
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
 
     @cached_property
     def baseline(self):
@@ -303,7 +313,7 @@ def s11_snapshots(t):
 @query
 def s12_seed(t):
     path = _csv(t.codes, scratch_path(t.spark, "codes"))
-    return landing.load_seed(t.spark, path, SEED_SCHEMA)
+    return landing.load_seed(t.spark, path, SEED_SCHEMA, SEED_LENGTHS)
 
 
 @query
@@ -685,10 +695,10 @@ def w2_prev_24h(t):
 
 @query
 def w3_history_optional(t):
-    """A frame without history keeps its columns; they are added only when asked for."""
+    """Frames with and without history hold the same rows; history is added only when asked for."""
+    without = t.frame.select("hour", "line", TARGET)
     with_history = features.training_frame(t.fct_delays, t.weather)
-    both = t.frame.join(with_history.select("hour", "line", "delays_prev_1h", "delays_prev_24h"), ["hour", "line"])
-    return both.select("hour", "line", TARGET, "delays_prev_1h", "delays_prev_24h")
+    return without.join(with_history.select("hour", "line", *HISTORY_FEATURES), ["hour", "line"])
 
 
 @query
@@ -934,7 +944,13 @@ def q9_freshness(t):
 
 @query
 def q10_run_checks(t):
-    return quality.run_checks(t.all, quality.declared_checks(TODAY))
+    """Staging as views and marts as tables, as a run leaves them."""
+    schema = _database(t, "marts")
+    tables = {
+        name: df if name.startswith("stg_") else landing.materialize(df, f"{schema}.{name}", "table")
+        for name, df in t.all.items()
+    }
+    return quality.run_checks(tables, quality.declared_checks(TODAY))
 
 
 # --- Model --------------------------------------------------------------------------------------
@@ -986,20 +1002,19 @@ def m10_brier(t):
     return _rounded(metrics.brier(t.baseline), "brier")
 
 
-def _trained(t, features_list=None):
-    train, test = features.time_split(features.training_frame(t.fct_delays, t.weather), HOLDOUT)
-    columns = features_list or model.FEATURES
-    return model.predict(model.fit(train, columns, **QUICK_GBT), test)
+def _trained(frame, columns):
+    train, test = features.time_split(frame, HOLDOUT)
+    return model.predict(model.fit(train, columns, **QUICK_GBT), test).select("hour", "line", TARGET, "p")
 
 
 @query
 def m6_classifier(t):
-    return _trained(t).select("hour", "line", TARGET, "p")
+    return _trained(t.frame, model.FEATURES)
 
 
 @query
 def m11_informed(t):
-    return _trained(t, model.informed_features()).select("hour", "line", TARGET, "p")
+    return _trained(t.history_frame, model.informed_features())
 
 
 @query

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.operators import features, marts, metrics, model, quality, staging
-from wardbook.schema import DATASETS, HOLDOUT_DAYS, SEED_SCHEMA
+from wardbook.schema import DATASETS, HOLDOUT_DAYS, SEED_LENGTHS, SEED_SCHEMA
 from wardbook.sources import landing, sinks
 
 STEPS = ("land", "seed", "models", "tests", "train")
@@ -107,7 +107,7 @@ def run_all(
     if "land" in steps:
         results["landed"] = land(spark, inputs, only, loaded_at, raw)
     if "seed" in steps:
-        seed = landing.load_seed(spark, inputs["codes"], SEED_SCHEMA)
+        seed = landing.load_seed(spark, inputs["codes"], SEED_SCHEMA, SEED_LENGTHS)
         landing.materialize(seed, f"{schema}.ttc_delay_codes", "table")
     if "models" in steps or "tests" in steps:
         tables = build_models(spark, today, raw, schema)

@@ -31,6 +31,7 @@ TARGET = "any_delay_5min"
 BASELINE_KEYS = ["line", "weekday", "hour_of_day"]
 
 SEED_SCHEMA = "delay_code string, delay_description string, system string"
+SEED_LENGTHS = {"delay_code": 10}
 # --- End of fixed values ------------------------------------------------------------------------
 
 

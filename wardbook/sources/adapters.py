@@ -53,8 +53,8 @@ def raw_delays(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFra
     return _stamp(
         events.select(
             _text(k).alias("id"),
-            F.date_format("ts", "yyyy-MM-dd").alias("date"),
-            F.date_format("ts", "HH:mm").alias("time"),
+            F.substring(_text(F.col("ts")), 1, 10).alias("date"),
+            F.substring(_text(F.col("ts")), 12, 5).alias("time"),
             F.date_format("ts", "EEEE").alias("day"),
             F.concat(F.lit(" Station "), _text(F.col("user_id") % 75), F.lit(" ")).alias("station"),
             F.concat(F.lower(_code(k % 60 + 1)), F.lit(" ")).alias("code"),
@@ -89,7 +89,7 @@ def raw_crime(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFram
     reported = F.date_add(occurred, lag if clean else F.when(_every(k, 211), -1).otherwise(lag))
     place = F.floor(F.col("o_custkey") / CUSTOMERS_PER_PLACE)
     category = F.element_at(F.array(*map(F.lit, CATEGORY_BY_PRIORITY)), F.substring("o_orderpriority", 1, 1).cast("int"))
-    occ_text = F.date_format(occurred, "yyyy-MM-dd")
+    occ_text = _text(occurred)
     if not clean:
         place = F.when(_every(k, 97), place + 1_000_000).otherwise(place)
         category = F.when(_every(k, 307), "Vandalism").otherwise(category)
@@ -98,7 +98,7 @@ def raw_crime(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFram
         table(spark, sf_dir, "orders").select(
             _text(k).alias("id"),
             F.concat(F.lit("GO-"), _text(F.floor(k / 2)), F.lit(" ")).alias("event_unique_id"),
-            F.date_format(reported, "yyyy-MM-dd").alias("report_date"),
+            _text(reported).alias("report_date"),
             occ_text.alias("occ_date"),
             F.when(_every(k, 31), "").otherwise(_text(F.year(occurred))).alias("occ_year"),
             F.when(_every(k, 29), "").otherwise(_text(k % 24)).alias("occ_hour"),

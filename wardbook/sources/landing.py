@@ -65,7 +65,7 @@ def land_pages(
     one (null) but may not add one (error). Any unsuccessful page, or fewer records than the stated
     total, fails the load.
     """
-    text = spark.read.option("wholetext", whole_files).text(paths)
+    text = spark.read.text(paths, wholetext=whole_files)
     pages = text.select(
         F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"),
         F.json_object_keys(F.get_json_object("value", "$.result.records[0]")).alias("keys"),
@@ -103,8 +103,15 @@ def land_snapshot(df: DataFrame, root: str, table: str, run_date: date) -> str:
     return path
 
 
-def load_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
+def load_seed(spark: SparkSession, path: str, schema: str, max_lengths: dict[str, int] | None = None) -> DataFrame:
+    """A static CSV of declared types; text longer than its column's limit is an error."""
+    seed = spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
+
+    def within(name, limit):
+        col = F.col(name)
+        return F.when(F.length(col) > limit, F.raise_error(F.concat(F.lit(f"{name} is too long: "), col))).otherwise(col)
+
+    return seed.withColumns({name: within(name, limit) for name, limit in (max_lengths or {}).items()})
 
 
 def write_raw(df: DataFrame, table: str) -> bool:
