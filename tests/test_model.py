@@ -122,5 +122,13 @@ def test_fit_save_load_predict(spark, tmp_path):
     assert unseen.filter("p between 0 and 1").count() == 400
 
 
-def test_reference_settings():
+def test_early_stopping(spark):
+    rng = random.Random(5)
+    rows = [(["YU", "BD"][i % 2], i % 24, i % 7, 1, 0, 1, rng.random(), 0.0, 0.0, 0.0, int(rng.random() < 0.5)) for i in range(600)]
+    frame = spark.createDataFrame(rows, ", ".join(["line string", *[f"{c} int" for c in FEATURES[1:6]], *[f"{c} double" for c in FEATURES[6:]], "any_delay_5min int"]))
+    stopped, full = model.fit(frame, early_stopping=True, maxIter=12), model.fit(frame, maxIter=12)
+    assert stopped.stages[-1].getNumTrees < full.stages[-1].getNumTrees == 12
+
+
+def test_published_settings():
     assert model.GBT == {"maxIter": 300, "stepSize": 0.05, "maxDepth": 5, "seed": 0}

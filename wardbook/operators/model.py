@@ -1,5 +1,7 @@
 """The delay-risk classifier: boosted trees on time, line and weather."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -13,6 +15,9 @@ from wardbook.session import ensure_checkpoint_dir
 # The boosting settings that Spark's trees can share with the published model. Its 31
 # leaves become depth 5; Spark has no L2 penalty.
 GBT = {"maxIter": 300, "stepSize": 0.05, "maxDepth": 5, "seed": 0}
+# Above this many rows, one row in ten is set aside and boosting stops when its loss rises.
+EARLY_STOPPING_ROWS = 10_000
+VALIDATION_SHARE = 10
 # Below every real reading, so that a split can send missing readings their own way.
 _MISSING = -1.0e6
 
@@ -32,10 +37,27 @@ def delay_model(features: list[str] = FEATURES, **gbt) -> Pipeline:
     )
 
 
-def fit(train: DataFrame, features: list[str] = FEATURES, **gbt) -> PipelineModel:
-    """Fit on the columns the model needs. The checkpoint folder lets boosting cut its growing lineage."""
+def fit(train: DataFrame, features: list[str] = FEATURES, early_stopping: bool | None = None, **gbt) -> PipelineModel:
+    """Fit on the columns the model needs. The checkpoint folder lets boosting cut its growing lineage.
+
+    Rows are set aside for early stopping by a hash of their features, so that a recomputed partition
+    sets the same rows aside. By default this depends on the number of rows.
+    """
     ensure_checkpoint_dir(train.sparkSession)
-    return delay_model(features, **gbt).fit(train.select(*features, TARGET))
+    rows = train.select(*features, TARGET)
+    if early_stopping is None:
+        early_stopping = rows.count() > EARLY_STOPPING_ROWS
+    if early_stopping:
+        aside = F.pmod(F.xxhash64(*features), F.lit(VALIDATION_SHARE)) == 0
+        rows = rows.withColumn("x_validation", aside)
+        gbt = {"validationIndicatorCol": "x_validation", "validationTol": 0.0, **gbt}
+    return delay_model(features, **gbt).fit(rows)
+
+
+def fit_each(runs: list[tuple[DataFrame, list[str]]], **gbt) -> list[PipelineModel]:
+    """Fit several models side by side: boosting is many short jobs, which leave room for each other."""
+    with ThreadPoolExecutor(len(runs)) as pool:
+        return list(pool.map(lambda run: fit(*run, **gbt), runs))
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.operators import features, marts, metrics, model, quality, staging
-from wardbook.schema import DATASETS, HOLDOUT_DAYS, SEED_LENGTHS, SEED_SCHEMA
+from wardbook.schema import DATASETS, FEATURES, HOLDOUT_DAYS, SEED_LENGTHS, SEED_SCHEMA
 from wardbook.sources import landing, sinks
 
 STEPS = ("land", "seed", "models", "tests", "train")
@@ -70,15 +70,17 @@ def train_model(
     features.training_frame(fct, weather).write.mode("overwrite").parquet(path)
     frame = fct.sparkSession.read.parquet(path)
     train, test = features.time_split(frame, days)
-    informed = model.informed_features()
+    plain, informed, served = model.fit_each(
+        [(train, FEATURES), (train, model.informed_features()), (frame, FEATURES)], **gbt
+    )
     scored = {
-        "model": model.predict(model.fit(train, **gbt), test),
+        "model": model.predict(plain, test),
         "baseline_line_weekday_hour": features.baseline_rate(train, test),
-        "experiment_with_recent_history": model.predict(model.fit(train, informed, **gbt), test),
+        "experiment_with_recent_history": model.predict(informed, test),
     }
     split = features.split_instant(frame, days)
     sinks.write_metrics(metrics.metrics_row(train, test, split, scored, trained_at), f"{out}/metrics")
-    sinks.save_model(model.fit(frame, **gbt), f"{out}/model")
+    sinks.save_model(served, f"{out}/model")
     return fct.sparkSession.read.json(f"{out}/metrics")
 
 
