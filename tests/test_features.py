@@ -72,6 +72,20 @@ def test_training_frame_takes_history_before_dropping(spark):
     assert [(r.hour.hour, r.delays_prev_1h, r.delays_prev_24h, r.any_delay_5min) for r in got] == [(1, 1, 1, 0)]
 
 
+def test_repeated_weather_hour_fails(spark):
+    hour = dt.datetime(2025, 1, 1)
+    schema = "hour timestamp_ntz, temperature_2m double, precipitation double, snowfall double, wind_speed_10m double"
+    weather = spark.createDataFrame([(hour, 1.0, 0.0, 0.0, 0.0), (hour, 2.0, 0.0, 0.0, 0.0)], schema)
+    grid = spark.createDataFrame([(hour, "YU", 0, 0, 0)], GRID)
+    with pytest.raises(Exception, match="more than one weather row at 2025-01-01"):
+        features.join_weather(grid, weather).collect()
+
+
+def test_history_needs_delays(spark):
+    frame = spark.createDataFrame([(dt.datetime(2025, 1, 1), "YU")], "hour timestamp_ntz, line string")
+    assert features.add_history_features(frame).columns == ["hour", "line"]
+
+
 def test_baseline_falls_back_to_overall_rate(spark):
     schema = "line string, weekday int, hour_of_day int, any_delay_5min int"
     train = spark.createDataFrame([("YU", 0, 8, 1), ("YU", 0, 8, 0), ("BD", 0, 8, 0), ("BD", 1, 8, 0)], schema)

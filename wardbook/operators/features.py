@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wardbook.functions.dates import floor_hour
 from wardbook.operators.reshape import hour_spine, line_hours
 from wardbook.schema import BASELINE_KEYS, DELAY_THRESHOLD_MINUTES, HOLDOUT_DAYS, LINES, TARGET
+from wardbook.sources.weather import one_per_hour
 
 _COUNTS = ["delays", "delays_5min", "delay_minutes"]
 _LOOK_BACK = 24
@@ -78,11 +79,13 @@ def _row_positions(frame: DataFrame) -> DataFrame:
 
 def add_history_features(frame: DataFrame) -> DataFrame:
     """Delays of the previous row and the sum over the previous 24 rows of the line, without the
-    current one; 0 where there are none.
+    current one; 0 where there are none. A frame without ``delays`` stays as it is.
 
     A line's rows are cut into blocks, and the last 24 of a block are lent to the next one, so no task
     holds a whole line.
     """
+    if "delays" not in frame.columns:
+        return frame
     block = F.floor(F.col("_pos") / _BLOCK)
     lent = F.col("_pos") % _BLOCK >= _BLOCK - _LOOK_BACK
     copies = F.when(lent, F.array(block, block + 1)).otherwise(F.array(block))
@@ -103,8 +106,7 @@ def add_history_features(frame: DataFrame) -> DataFrame:
 
 
 def join_weather(grid: DataFrame, weather: DataFrame) -> DataFrame:
-    """``weather`` holds one row per hour; a repeated hour would repeat grid rows."""
-    return grid.join(weather, "hour", "left")
+    return grid.join(one_per_hour(weather), "hour", "left")
 
 
 def training_frame(fct: DataFrame, weather: DataFrame, *, history: bool = True, **grid_args) -> DataFrame:

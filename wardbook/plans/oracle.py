@@ -50,7 +50,7 @@ def _raw_delays(clean):
     (['n', 's ', 'E', 'W', ''])[event_id % 5 + 1] AS bound,
     CASE WHEN event_id % 101 <> 0 THEN ({_RAW_LINES})[event_id % 8 + 1] END AS line,
     CASE WHEN event_id % 11 = 0 THEN '  ' ELSE cast(user_id as varchar) END AS vehicle
-  FROM events"""
+  FROM event_log"""
 
 
 def _raw_crime(clean):
@@ -103,6 +103,7 @@ def _pivot(alias, metric):
 def _parts(clean):
     pivots = ", ".join(_pivot(a, m) for a, m in PROFILE_METRICS.items())
     return {
+        "event_log": "SELECT * REPLACE (ts - to_days(cast(user_id // 15 % 100 * 30 as int)) AS ts) FROM events",
         "raw_delays": _raw_delays(clean),
         "raw_crime": _raw_crime(clean),
         "raw_profiles": _raw_profiles(clean),
@@ -188,7 +189,7 @@ def _parts(clean):
     cast(m % 50 as double) / cast(10 as double) AS precipitation,
     CASE WHEN m % 43 <> 0 THEN cast(m % 7 as double) END AS snowfall,
     cast(m % 300 as double) / cast(10 as double) AS wind_speed_10m
-  FROM (SELECT date_trunc('hour', ts) + interval 2 day AS hour, min(event_id) AS m FROM events GROUP BY 1)""",
+  FROM (SELECT date_trunc('hour', ts) + interval 2 day AS hour, min(event_id) AS m FROM event_log GROUP BY 1)""",
         "grid_weather": f"SELECT g.*, {_WEATHER} FROM grid g LEFT JOIN weather w ON g.hour = w.hour",
         "features": """
   SELECT *, cast(hour(hour) as int) AS hour_of_day, cast(isodow(hour) - 1 as int) AS weekday, cast(month(hour) as int) AS month,
@@ -214,7 +215,7 @@ def _parts(clean):
         "requests": """
   SELECT event_id AS request_id, (['YU', 'BD', 'SHP', 'XX'])[event_id % 4 + 1] AS line, date_trunc('hour', ts) AS "at",
     ([NULL, '{"snowfall": 4}', '{"snowfall": "2.5", "humidity": 9}', '{"precipitation": "wet"}', 'not json', ''])[event_id // 4 % 6 + 1] AS weather
-  FROM events""",
+  FROM event_log""",
         "picked": f"""
   SELECT request_id, line, "at", weather, {_WEATHER},
     temperature_2m IS NOT NULL AND precipitation IS NOT NULL AND snowfall IS NOT NULL AND wind_speed_10m IS NOT NULL AS has_forecast
@@ -393,7 +394,7 @@ FROM stg_delays GROUP BY 1""",
 _add("p7_sentinel_to_null", "SELECT source_row_id AS id, neighbourhood_id FROM stg_crime")
 _add("p8_line_group", "SELECT line, line_group, count(*) AS n_rows FROM stg_delays GROUP BY 1, 2")
 _add("p9_prefix_flag", "SELECT neighbourhood_id, is_improvement_area FROM stg_n")
-_add("p10_text_timestamp", "SELECT event_id AS id, date_trunc('minute', ts) AS delay_at FROM events")
+_add("p10_text_timestamp", "SELECT event_id AS id, date_trunc('minute', ts) AS delay_at FROM event_log")
 _add("p11_fact_date_filter", "SELECT * FROM fct_crime")
 _add(
     "p12_calendar_attributes",
@@ -749,7 +750,7 @@ _add("b7_top_neighbourhoods", f"SELECT * FROM ({_AREA_RATES}) WHERE per_1000 IS
 _add(
     "b8_station_month",
     """SELECT station, cast(sum(delay_minutes) FILTER (WHERE strftime(delay_date, '%Y-%m') = '2024-01') as bigint) AS "2024-01",
-  cast(sum(delay_minutes) FILTER (WHERE strftime(delay_date, '%Y-%m') = '2024-02') as bigint) AS "2024-02" FROM fct_delays GROUP BY 1""",
+  cast(sum(delay_minutes) FILTER (WHERE strftime(delay_date, '%Y-%m') = '2023-12') as bigint) AS "2023-12" FROM fct_delays GROUP BY 1""",
 )
 _add("b9_minutes_by_cause", "SELECT delay_description, cast(sum(delay_minutes) as bigint) AS delay_minutes FROM fct_delays GROUP BY 1")
 _add("b10_hour_histogram", "SELECT delay_hour, count(*) AS delay_events FROM fct_delays GROUP BY 1")
@@ -802,8 +803,10 @@ WHERE abs(n_rows - mean_rows) > sd_rows""",
 )
 _add(
     "x4_station_grid",
-    """SELECT h.hour, line, coalesce(delays, 0) AS delays, coalesce(delays_5min, 0) AS delays_5min, coalesce(delay_minutes, 0) AS delay_minutes
+    """SELECT line, count(*) AS n_hours, count(*) FILTER (WHERE delays_5min > 0) AS n_late_hours, cast(sum(coalesce(delays, 0)) as bigint) AS delays,
+  cast(sum(coalesce(delay_minutes, 0)) as bigint) AS delay_minutes
 FROM (SELECT hour, 'STATION ' || unnest(range(75)) AS line FROM hours) h
 LEFT JOIN (SELECT station, date_trunc('hour', delay_at) AS hour, count(*) AS delays, count(*) FILTER (WHERE delay_minutes >= 5) AS delays_5min,
-    cast(sum(delay_minutes) as bigint) AS delay_minutes FROM fct_delays GROUP BY 1, 2) d ON h.hour = d.hour AND h.line = d.station""",
+    sum(delay_minutes) AS delay_minutes FROM fct_delays GROUP BY 1, 2) d ON h.hour = d.hour AND h.line = d.station
+GROUP BY 1""",
 )

@@ -1087,7 +1087,7 @@ def b7_top_neighbourhoods(t):
 
 @query
 def b8_station_month(t):
-    return reports.b8(t.fct_delays, ["2024-01", "2024-02"])
+    return reports.b8(t.fct_delays, ["2023-12", "2024-01"])
 
 
 @query
@@ -1162,4 +1162,10 @@ def x3_volume_check(t):
 
 @query
 def x4_station_grid(t):
-    return features.build_grid(t.fct_delays, STATIONS, key="station")
+    grid = features.build_grid(t.fct_delays, STATIONS, key="station")
+    return grid.groupBy("line").agg(
+        F.count("*").alias("n_hours"),
+        F.count_if(F.col("delays_5min") > 0).alias("n_late_hours"),
+        F.sum("delays").alias("delays"),
+        F.sum("delay_minutes").alias("delay_minutes"),
+    )

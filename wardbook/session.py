@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root:
         return root
     if not sc.master.startswith("local"):

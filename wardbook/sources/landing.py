@@ -11,7 +11,7 @@ from wardbook.functions.text import blank_to_null, clean_ident
 LOADED_AT = "_loaded_at"
 # A value no file holds: it lets the reader tell an empty field (null) from a quoted empty one ('').
 _NULL_MARK = "\u0001"
-_PAGE_SCHEMA = "success boolean, error string, result struct<records: array<map<string,string>>, total: bigint>"
+_PAGE_SCHEMA = "success boolean, error string, result struct<records: array<{record}>, total: bigint>"
 
 
 def duplicate_idents(labels: DataFrame, label: str) -> DataFrame:
@@ -66,18 +66,19 @@ def land_pages(
     total, fails the load.
     """
     text = spark.read.text(paths, wholetext=whole_files)
-    pages = text.select(
+    # Envelopes first, with the records left as text; their fields are parsed when the rows are read.
+    envelopes = text.select(
         F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"),
-        F.json_object_keys(F.get_json_object("value", "$.result.records[0]")).alias("keys"),
-        F.from_json("value", _PAGE_SCHEMA).alias("page"),
+        F.from_json("value", _PAGE_SCHEMA.format(record="string")).alias("page"),
     )
     ok = F.coalesce(F.col("page.success"), F.lit(False))
-    summary = pages.agg(
+    records = F.col("page.result.records")
+    summary = envelopes.agg(
         F.count_if(~ok).alias("failed"),
         F.first(F.when(~ok, F.coalesce("page.error", F.lit("unreadable page"))), ignorenulls=True).alias("error"),
-        F.sum(F.size("page.result.records")).alias("records"),
+        F.sum(F.size(records)).alias("records"),
         F.max("page.result.total").alias("total"),
-        F.min_by("keys", F.when(F.col("keys").isNotNull(), F.col("at"))).alias("keys"),
+        F.min_by(F.json_object_keys(records[0]), F.when(F.size(records) > 0, F.col("at"))).alias("keys"),
     ).first()
     if summary["failed"]:
         raise RuntimeError(f"{summary['failed']} unsuccessful pages: {summary['error']}")
@@ -89,6 +90,7 @@ def land_pages(
     record = F.when(
         F.size(extra) > 0, F.raise_error(F.concat(F.lit("unexpected keys: "), F.array_join(extra, ", ")))
     ).otherwise(record)
+    pages = text.select(F.from_json("value", _PAGE_SCHEMA.format(record="map<string,string>")).alias("page"))
     rows = pages.select(F.explode("page.result.records").alias("record")).select(record.alias("record"))
     cleaned = spark.range(1).select(*[clean_ident(F.lit(k)) for k in keys]).first() if keys else []
     names = _checked_names(list(cleaned))

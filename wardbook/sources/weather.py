@@ -16,6 +16,15 @@ def weather_rows(payload: DataFrame, column: str = "hourly") -> DataFrame:
     )
 
 
+def one_per_hour(weather: DataFrame) -> DataFrame:
+    """The weather by hour; reading an hour that has two rows is an error, since joins would repeat rows."""
+    by_hour = weather.groupBy("hour").agg(*[F.first(n).alias(n) for n in WEATHER_VARS], F.count("*").alias("_rows"))
+    repeated = F.raise_error(F.concat(F.lit("more than one weather row at "), F.col("hour").cast("string")))
+    return by_hour.select(
+        "hour", *[F.when(F.col("_rows") > 1, repeated).otherwise(F.col(n)).cast("double").alias(n) for n in WEATHER_VARS]
+    )
+
+
 def weather_coverage(weather: DataFrame, hours: DataFrame) -> DataFrame:
     """One row: is the stored weather enough, judged by the days of its first and last hour?"""
     have = weather.agg(F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour"))
@@ -35,7 +44,7 @@ def forecast_at(requests: DataFrame, forecast: DataFrame) -> DataFrame:
 
     The hour counts as covered only when all four variables are present.
     """
-    values = forecast.select(F.col("hour").alias("at"), *WEATHER_VARS)
+    values = one_per_hour(forecast).withColumnRenamed("hour", "at")
     joined = requests.withColumn("at", floor_hour(F.col("at"))).join(values, "at", "left")
     complete = F.lit(True)
     for name in WEATHER_VARS:
