@@ -120,5 +120,7 @@ def test_snapshot_operators(spark):
     t1, t2 = dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 2)
     df = spark.createDataFrame([("e", 1, t1), ("e", 2, t2), ("e", 3, t2), ("f", 4, t1)], "event_id string, n int, _loaded_at timestamp")
     assert sorted(r.n for r in snapshots.latest_by_key(df, "event_id").collect()) == [2, 3, 4]
+    nameless = df.withColumn("event_id", F.lit(None).cast("string"))
+    assert sorted(r.n for r in snapshots.latest_by_key(nameless, "event_id").collect()) == [2, 3]
     volume = spark.createDataFrame([(m, g) for g in "ab" for m in range(12) for _ in range(50 if (m, g) == (5, "a") else 5)], "m int, g string")
     assert [(r.m, r.g) for r in snapshots.volume_check(volume, "m", ["g"]).collect()] == [(5, "a")]

@@ -3,6 +3,7 @@ import json
 import pathlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from wardbook.plans import run
 from wardbook.plans.queries import _csv, _pages, _published_delays, Tables
@@ -31,10 +32,10 @@ def databases(spark, tmp_path, name):
 
 def test_whole_run(spark, tmp_path):
     t = Tables(spark, SF, clean=True)
-    out = f"{tmp_path}/out"
+    out, files, names = f"{tmp_path}/out", inputs(t, tmp_path), databases(spark, tmp_path, "whole")
     results = run.run_all(
-        spark, inputs(t, tmp_path), today=dt.date(2024, 6, 30), loaded_at=AT, weather=t.weather, out=out, days=7,
-        maxIter=2, maxDepth=2, **databases(spark, tmp_path, "whole"),
+        spark, files, today=dt.date(2024, 6, 30), loaded_at=AT, weather=t.weather, out=out, days=7,
+        maxIter=2, maxDepth=2, **names,
     )
     landed = {r.table_name: (r.n_rows, r.shape_changed) for r in results["landed"].collect()}
     assert landed["ttc_subway_delays"] == (1000, True) and landed["major_crime_indicators"] == (1500, True)
@@ -45,6 +46,16 @@ def test_whole_run(spark, tmp_path):
     assert {"baseline_line_weekday_hour", "experiment_with_recent_history", "rows_train", "rows_test", "test_from"} <= set(record)
     assert pathlib.Path(out, "model").exists()
 
+    # The next day's run finds the tables in place, and its views and tests still work.
+    later = AT + dt.timedelta(days=1)
+    again = run.run_all(
+        spark, files, today=dt.date(2024, 7, 1), loaded_at=later, steps=("land", "tests"), **names
+    )
+    assert {r.shape_changed for r in again["landed"].collect()} == {False}
+    stamps = again["stg_ttc_delays"].select(F.unix_seconds("_loaded_at")).distinct().collect()
+    assert [r[0] for r in stamps] == [int(later.timestamp())]
+    assert again["checks"].filter("status = 'pass'").count() == 41
+
 
 def test_failed_checks_stop_the_run(spark, tmp_path):
     t = Tables(spark, SF)

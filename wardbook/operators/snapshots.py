@@ -1,42 +1,47 @@
 """Comparing and checking whole snapshots."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Keys added, removed or changed between two snapshots of one shape; ``key`` is unique in each."""
     values = [c for c in old.columns if c != key]
-    left = old.select(key, F.struct(*values).alias("old_row"))
-    right = new.select(key, F.struct(*values).alias("new_row"))
+    left = old.select(F.col(key).alias("old_key"), F.struct(*values).alias("old_row"))
+    right = new.select(F.col(key).alias("new_key"), F.struct(*values).alias("new_row"))
+    change = (
+        F.when(F.col("old_row").isNull(), "added")
+        .when(F.col("new_row").isNull(), "removed")
+        .when(~F.col("old_row").eqNullSafe(F.col("new_row")), "changed")
+    )
     return (
-        left.join(right, key, "full")
-        .withColumn(
-            "change",
-            F.when(F.col("old_row").isNull(), "added")
-            .when(F.col("new_row").isNull(), "removed")
-            .when(~F.col("old_row").eqNullSafe(F.col("new_row")), "changed"),
-        )
+        left.join(right, F.col("old_key").eqNullSafe(F.col("new_key")), "full")
+        .select(F.coalesce("old_key", "new_key").alias(key), change.alias("change"))
         .filter("change is not null")
-        .select(key, "change")
     )
 
 
 def latest_by_key(df: DataFrame, key: str, loaded_at: str = "_loaded_at") -> DataFrame:
     """All rows of each key's newest batch. The newest batch is found by a partial aggregate and joined
     back, so a hot key's rows never sort in one window; AQE splits them in the join."""
-    newest = df.groupBy(key).agg(F.max(loaded_at).alias(loaded_at))
-    return df.join(newest, [key, loaded_at]).select(*df.columns)
+    newest = df.groupBy(F.col(key).alias("_key")).agg(F.max(loaded_at).alias("_newest"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(loaded_at) == F.col("_newest"))
+    return df.join(newest, same).select(*df.columns)
 
 
 def volume_check(df: DataFrame, period: str, keys: list[str] | None = None, sigma: float = 3) -> DataFrame:
-    """Periods whose row count is more than ``sigma`` standard deviations from the mean of its group."""
+    """Periods whose row count is more than ``sigma`` standard deviations from the mean of its group.
+
+    Only the counts meet in a window: one row per period.
+    """
     keys = keys or []
     counts = df.groupBy(*keys, period).agg(F.count("*").alias("n_rows"))
-    stats = [F.avg("n_rows").alias("mean_rows"), F.stddev("n_rows").alias("sd_rows")]
+    mean, deviation = F.avg("n_rows"), F.stddev("n_rows")
     if keys:
-        joined = counts.join(counts.groupBy(*keys).agg(*stats), keys)
+        group = W.partitionBy(*keys)
+        counts = counts.withColumns({"mean_rows": mean.over(group), "sd_rows": deviation.over(group)})
     else:
-        row = counts.agg(F.struct(*stats)).scalar()
-        joined = counts.withColumn("_s", row).select(*counts.columns, "_s.mean_rows", "_s.sd_rows")
-    return joined.filter(F.abs(F.col("n_rows") - F.col("mean_rows")) > sigma * F.col("sd_rows"))
+        stats = counts.agg(F.struct(mean.alias("mean_rows"), deviation.alias("sd_rows"))).scalar()
+        counts = counts.withColumn("_stats", stats).select(period, "n_rows", "_stats.*")
+    return counts.filter(F.abs(F.col("n_rows") - F.col("mean_rows")) > sigma * F.col("sd_rows"))

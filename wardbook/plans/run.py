@@ -29,14 +29,16 @@ def land(spark: SparkSession, inputs: dict[str, str], only: Sequence[str] | None
     return landed
 
 
-def build_models(spark: SparkSession, today: date, raw: str, schema: str) -> dict[str, DataFrame]:
-    """Staging views and mart tables from the raw tables and the seed table."""
+def build_models(spark: SparkSession, today: date, raw: str, schema: str, rebuild: bool = True) -> dict[str, DataFrame]:
+    """Staging views and mart tables from the raw tables and the seed table. Without ``rebuild`` the
+    mart tables are read as they stand."""
 
     def view(name, df):
         return landing.materialize(df, name)
 
     def table(name, df):
-        return landing.materialize(df, f"{schema}.{name}", "table")
+        full = f"{schema}.{name}"
+        return landing.materialize(df, full, "table") if rebuild else spark.table(full)
 
     source = {d.key: spark.table(f"{raw}.{d.raw_table}") for d in DATASETS.values()}
     t = {"ttc_delay_codes": spark.table(f"{schema}.ttc_delay_codes")}
@@ -112,7 +114,7 @@ def run_all(
         seed = landing.load_seed(spark, inputs["codes"], SEED_SCHEMA, SEED_LENGTHS)
         landing.materialize(seed, f"{schema}.ttc_delay_codes", "table")
     if "models" in steps or "tests" in steps:
-        tables = build_models(spark, today, raw, schema)
+        tables = build_models(spark, today, raw, schema, rebuild="models" in steps)
         results |= tables
     if "tests" in steps:
         landing.materialize(quality.run_checks(tables, quality.declared_checks(today)), f"{schema}.test_results", "table")
