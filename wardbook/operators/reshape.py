@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from wardbook.functions.numbers import as_numeric, numeric_to_int
 from wardbook.functions.text import blank_to_null, strip_text
 
+# Enough for a calendar: ten years are 3,650 days.
+_SPINE_TASKS = 64
+
 
 def unpivot_profile(wide: DataFrame, names: list, numbers: list) -> DataFrame:
     """Metrics as rows and neighbourhoods as columns, to one row per neighbourhood and metric.
@@ -52,10 +55,10 @@ def calendar(spark: SparkSession, start: date, today: date) -> DataFrame:
 def hour_spine(dates: DataFrame, column: str = "delay_date") -> DataFrame:
     """Every hour from the first day's 00:00 to the last day's 23:00.
 
-    The days are spread over the shuffle partitions before their hours are made; an explicit number
-    keeps AQE from drawing the few day rows, and so all later hours and lines, back into one task.
+    The days are spread over some tasks before their hours are made; an explicit number keeps AQE from
+    drawing the few day rows, and so all later hours and lines, back into one task.
     """
-    spread = int(dates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = min(dates.sparkSession.sparkContext.defaultParallelism, _SPINE_TASKS)
     bounds = dates.agg(F.min(column).alias("d0"), F.max(column).alias("d1"))
     days = bounds.select(F.explode(F.sequence("d0", "d1")).alias("day")).repartition(spread, "day")
     midnight = F.col("day").cast("timestamp_ntz")

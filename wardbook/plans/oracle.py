@@ -307,7 +307,7 @@ FROM (SELECT min(hour) AS first_hour, max(hour) AS last_hour FROM weather), (SEL
 )
 _add("s15_weather_rows", f"SELECT hour, {_WEATHER} FROM weather")
 _add("s16_forecast_pick", f'SELECT "at", request_id, line, {_WEATHER}, has_forecast FROM picked')
-_ROC = "sum(neg * (2 * pos_above + pos)) / (2.0 * sum(pos) * sum(neg))"
+_ROC = "sum(neg * (2 * pos_above + pos)) / nullif(2.0 * sum(pos) * sum(neg), 0)"
 _AP = "sum(pos * (pos_above + pos) / cast(pos_above + pos + neg_above + neg as double)) / sum(pos)"
 _BRIER = "(SELECT avg(power(p - any_delay_5min, 2)) FROM baseline)"
 _add(

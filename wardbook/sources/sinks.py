@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """One JSON line; the frame holds one row, so one file costs nothing."""
-    metrics.coalesce(1).write.mode("overwrite").json(path)
+    metrics.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
