@@ -1,22 +1,14 @@
 """Where intermediate tables go."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if root:
-        return root
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="wardbook-")
-    sc.setCheckpointDir(root)
-    return root
+    """The shared folder named by ``spark.checkpoint.dir``, else one under the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
