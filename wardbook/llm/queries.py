@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import recompression, suffix_dedup
+from wardbook.llm import ngram_join, recompression, suffix_dedup
 from wardbook.llm.scratch import table
 
 
@@ -15,6 +15,10 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "first_word", "n_words", "first_doc_id", F.sha2("passage", 256).alias("passage_sha256"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.digest(table(spark, sf_dir, "documents"))
 
@@ -22,6 +26,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
+        "op5_ngram_join": op5_ngram_join,
         "op9_substring_dedup": op9_substring_dedup,
     }
 
