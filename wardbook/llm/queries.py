@@ -5,9 +5,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import ngram_join, recompression, suffix_dedup
+from wardbook.llm import ngram_join, recompression, suffix_dedup, topk, url_filter
 from wardbook.llm.scratch import table
 
+URL_RULES = [
+    url_filter.Rule(url_filter.BLOCK, "net/"),
+    url_filter.Rule(url_filter.ALLOW, "example.net/en/"),
+    url_filter.Rule(url_filter.BLOCK, "example.com/de/"),
+    url_filter.Rule(url_filter.ALLOW, "org/fr/"),
+]
+
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per passage of 50 or more words that repeats an earlier document."""
@@ -19,15 +26,25 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
         "op5_ngram_join": op5_ngram_join,
+        "op7_exact_top_k": op7_exact_top_k,
         "op9_substring_dedup": op9_substring_dedup,
+        "op10_url_filter": op10_url_filter,
     }
 
 
