@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import ngram_join, recompression, suffix_dedup, topk, url_filter
+from wardbook.llm import knn_quality, ngram_join, quality_rules, recompression, suffix_dedup, topk, url_filter
 from wardbook.llm.scratch import table
 
 URL_RULES = [
@@ -26,10 +26,18 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.digest(table(spark, sf_dir, "documents"))
 
@@ -42,7 +50,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
         "op5_ngram_join": op5_ngram_join,
+        "op6_quality_classifier": op6_quality_classifier,
         "op7_exact_top_k": op7_exact_top_k,
+        "op8_quality_rules": op8_quality_rules,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_url_filter": op10_url_filter,
     }

@@ -2,7 +2,7 @@
 
 An Arrow text column is already one run of UTF-8 bytes with offsets, so a batch of documents is worked
 on as a whole, without a Python object per document or word. Memory is bounded by ``MAX_BYTES`` of text
-per step (or by one document, if that is longer).
+per step (or by one document, if that is longer) and by ``MAX_ROWS`` documents.
 """
 
 from collections.abc import Iterator
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_BYTES = 1 << 20
+MAX_BYTES, MAX_ROWS = 1 << 20, 1 << 10
 U64 = np.uint64
 # The odd multipliers of the hashes below.
 _BYTE_BASE = 0x9E3779B97F4A7C15
@@ -101,13 +101,13 @@ def _string_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def texts(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = MAX_BYTES) -> Iterator[Texts]:
-    """The batches' documents in steps of at most ``max_bytes`` of text; a null text is empty."""
+    """The batches' documents in steps of at most ``max_bytes`` of text and ``MAX_ROWS`` rows; a null text is empty."""
     for batch in batches:
         offsets, data = _string_parts(batch.column(batch.schema.get_field_index(column)))
         first = 0
         while first < len(batch):
             last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + max_bytes, "right")) - 1)
-            last = min(last, len(batch))
+            last = min(last, first + MAX_ROWS, len(batch))
             own = offsets[first : last + 1]
             yield Texts(batch.slice(first, last - first), data[own[0] : own[-1]], own - own[0])
             first = last
@@ -185,3 +185,18 @@ def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     total = int(length.sum())
     at = np.repeat(np.cumsum(length) - length, length)
     return np.arange(total) - at + np.repeat(start, length)
+
+
+def histogram(t: Texts, bins: np.ndarray, count: int, first: np.ndarray | None = None) -> np.ndarray:
+    """Per document (a row each), how many of its bytes (or of the elements that ``first`` cuts) fall into
+    each of ``count`` bins."""
+    first = t.offsets if first is None else first
+    at = np.repeat(np.arange(len(t)) * count, np.diff(first)) + bins[first[0] : first[-1]]
+    return np.bincount(at, minlength=len(t) * count).reshape(len(t), count)
+
+
+def with_column(rows: pa.RecordBatch, drop: tuple[str, ...] = ("text",), **new) -> pa.RecordBatch:
+    """The batch without some columns and with new ones at its end."""
+    names = [n for n in rows.schema.names if n not in drop]
+    cols = [rows.column(rows.schema.get_field_index(n)) for n in names]
+    return pa.RecordBatch.from_arrays([*cols, *[v if isinstance(v, pa.Array) else pa.array(v) for v in new.values()]], names=[*names, *new])
