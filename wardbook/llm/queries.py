@@ -2,10 +2,11 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import knn_quality, ngram_join, quality_rules, recompression, suffix_dedup, topk, url_filter
+from wardbook.llm import knn_quality, ngram_join, packing, quality_rules, recompression, suffix_dedup, token_counts, topk, url_filter
 from wardbook.llm.scratch import table
 
 URL_RULES = [
@@ -22,6 +23,14 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "first_word", "n_words", "first_doc_id", F.sha2("passage", 256).alias("passage_sha256"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(table(spark, sf_dir, "documents"), n=4, percent=85)
 
@@ -49,6 +58,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
+        "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_token_counts": op3_token_counts,
         "op5_ngram_join": op5_ngram_join,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_exact_top_k": op7_exact_top_k,
