@@ -9,11 +9,13 @@ import heapq
 import json
 import re
 import sys
+import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import regex
+from tokenizers.pre_tokenizers import ByteLevel
 
 from wardbook.llm import spans as S
 
@@ -27,12 +29,17 @@ _OTHER, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
 
 @lru_cache(1)
 def _kinds() -> np.ndarray:
-    """Each code point's kind. The regex module's character data are as new as the library's."""
-    chars = "".join(chr(c) if not 0xD800 <= c < 0xE000 else "\0" for c in range(sys.maxunicode + 1))
-    kinds = np.zeros(len(chars), np.uint8)
+    """Each code point's kind. Where two editions of Unicode differ, the library is asked for its own."""
+    by_category = {"L": _LETTER, "N": _NUMBER}
+    chars = [chr(c) if not 0xD800 <= c < 0xE000 else "\0" for c in range(sys.maxunicode + 1)]
+    kinds = np.array([by_category.get(unicodedata.category(c)[0], _OTHER) for c in chars], np.uint8)
+    newer = np.zeros(len(kinds), np.uint8)
     for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+")):
-        for m in regex.finditer(pattern, chars):
-            kinds[m.start() : m.end()] = kind
+        for m in regex.finditer(pattern, "".join(chars)):
+            newer[m.start() : m.end()] = kind
+    alone = ByteLevel(add_prefix_space=False).pre_tokenize_str
+    for c in np.flatnonzero(kinds != newer).tolist():
+        kinds[c] = _LETTER if len(alone(f"a{chr(c)}")) == 1 else _NUMBER if len(alone(f"1{chr(c)}")) == 1 else _OTHER
     kinds[_WHITE] = _SPACE
     return kinds
 
