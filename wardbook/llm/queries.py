@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import knn_quality, ngram_join, packing, quality_rules, recompression, suffix_dedup, token_counts, topk, url_filter
+from wardbook.llm import knn_quality, ngram_join, packing, pieces, quality_rules, recompression, suffix_dedup, token_counts, topk, url_filter
 from wardbook.llm.scratch import table
 
 URL_RULES = [
@@ -31,6 +31,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.digest(pieces.decoded(pieces.encoded(table(spark, sf_dir, "documents"), path), path))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(table(spark, sf_dir, "documents"), n=4, percent=85)
 
@@ -60,6 +65,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_token_counts": op3_token_counts,
+        "op4_sentencepiece": op4_sentencepiece,
         "op5_ngram_join": op5_ngram_join,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_exact_top_k": op7_exact_top_k,
