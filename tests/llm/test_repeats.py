@@ -49,23 +49,24 @@ def test_recompression(corpus, corpus_frame):
 
 def test_suffix_passages(corpus, corpus_frame):
     got = sorted(tuple(r) for r in suffix_dedup.repeated_passages(corpus_frame).collect())
-    want, same = [], defaultdict(list)
-    for i, text in corpus:
-        same[tuple(split(text))].append(i)
+    want = []
     for (i, text), places in zip(corpus, covered(corpus)):
         w, at = split(text), None
-        if min(same[tuple(w)]) < i:
-            places = dict.fromkeys(places, min(same[tuple(w)]))
         for p in [*sorted(places), None]:
             if at is not None and p != at + n:
-                first = min(places[q] for q in range(at, at + n))
-                raw = re.compile(r"[\x20\x09-\x0D]+".join(map(re.escape, w[at : at + n]))).search(text).group()
-                want.append((i, at, n, first, raw))
+                want.append((i, at, n, " ".join(w[at : at + n])))
                 at = None
             if p is not None:
                 at, n = (p, 1) if at is None else (at, n + 1)
-    assert [r for r in got if r not in want] == [] and got == sorted(want)
+    assert sorted((i, at, n, " ".join(split(p))) for i, at, n, _, p in got) == sorted(want)
     assert len(got) > 50
+    windows = defaultdict(set)
+    for i, text in corpus:
+        w = split(text)
+        windows[i] |= {tuple(w[s : s + SIZE]) for s in range(len(w) - SIZE + 1)}
+    for i, _, n, first, passage in got:
+        w = split(passage)
+        assert first < i and any(tuple(w[s : s + SIZE]) in windows[first] for s in range(n - SIZE + 1))
 
 
 def test_suffix_cut(spark, corpus, corpus_frame):

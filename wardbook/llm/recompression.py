@@ -8,8 +8,8 @@ except near their ends.
 
 Each symbol carries the interval of words that decided it: its own, those of the neighbours that kept it
 from merging, and all their parts'. A window whose words include that interval would have the symbol in any
-document. Among these the smallest name stands for the window. A window in which no symbol is safe (a
-long run of one word) stands for itself, so nothing is lost.
+document. Among these the one with the smallest hash stands for the window, together with the words that
+decided it. A window in which none is safe (of long runs, say) goes down to the highest level that has one.
 """
 
 from collections.abc import Iterator
@@ -76,27 +76,31 @@ class Symbols:
 
 
 def name_windows(w: S.Words, start: np.ndarray, size: int, rounds: int = ROUNDS) -> np.ndarray:
-    symbols = Symbols(w)
-    for r in range(rounds):
+    symbols, levels = Symbols(w), []
+    for r in range(rounds + 1):
+        inside = (symbols.lo > -_OUTSIDE) & (symbols.hi < _OUTSIDE)
+        # Both ends rise along a document: a round takes them from the same or a neighbouring symbol.
+        levels.append((symbols.lo[inside], symbols.hi[inside], symbols.name[inside]))
         symbols.name_runs()
         symbols.name_pairs(r)
-    inside = (symbols.lo > -_OUTSIDE) & (symbols.hi < _OUTSIDE)
-    lo, hi, name = symbols.lo[inside], symbols.hi[inside], S.mix(symbols.name[inside], 13)
-    del symbols
-    key = S.word_prefix(w.hash).hash(start, start + size, 14)
-    if not len(lo) or not len(start):
-        return key
-    # Both ends rise along a document: a round takes them from the same or a neighbouring symbol.
-    left, last = np.searchsorted(lo, start), np.searchsorted(hi, start + size) - 1
-    safe = np.flatnonzero(last >= left)
-    key[safe] = R.range_min(name, left[safe], last[safe])
+    words = S.word_prefix(w.hash)
+    key, rest = np.zeros(len(start), np.uint64), np.arange(len(start))
+    # Single words are always safe, so every window finds its level.
+    for r in range(rounds, -1, -1):
+        lo, hi, name = levels[r]
+        left, last = np.searchsorted(lo, start[rest]), np.searchsorted(hi, start[rest] + size) - 1
+        safe = last >= left
+        if safe.any():
+            name = S.mix(name ^ words.hash(lo, hi + 1, 13), 13 + r)
+            key[rest[safe]] = R.range_min(name, left[safe], last[safe])
+            rest = rest[~safe]
     return key
 
 
 def shared_runs(runs: DataFrame) -> DataFrame:
     """Runs whose symbol occurs in two or more documents."""
     keys = runs.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("key")
-    return runs.join(keys, "key").select("doc_id", "seq", "first", "n")
+    return runs.join(keys, "key")
 
 
 def repeated_spans(docs: DataFrame, size: int = R.WINDOW) -> DataFrame:

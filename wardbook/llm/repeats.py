@@ -9,8 +9,10 @@ places that equal windows must have in common:
    with one name are stored per document, beside a hash of its word sequence.
 2. Exact copies are settled by that hash alone: all but the smallest id are covered whole.
 3. The operator says which names occur in two or more of the other documents. Only these runs go on.
-4. ``covered`` reads the texts of these runs again and names every window of theirs by a 128-bit hash of
-   its words, which verifies a match; the smallest id of each is taken with map-side partial results, so a
+4. A run whose whole segment (the words of all its windows) is also in a smaller document is settled by the
+   segment's hash. For each segment one run, the smallest document's, goes on if its name has other segments.
+5. ``covered`` reads the texts of these runs again and names every window of theirs by a 128-bit hash of
+   its words, which verifies a match. The smallest id of each is taken with map-side partial results, so a
    passage in a third of all documents is no single task's work.
 
 Rows without an id take no part. Rows that share an id are told apart by their words.
@@ -28,8 +30,8 @@ from wardbook.llm.scratch import stored
 
 WINDOW = 50
 WHOLE = -1
-_RUN = pa.struct([("key", pa.int64()), ("first", pa.int32()), ("n", pa.int32())])
-_MARKS = "doc_id long, seq long, seq2 long, n_words long, runs array<struct<key: long, first: int, n: int>>"
+_RUN = pa.struct([("key", pa.int64()), ("segment", pa.int64()), ("first", pa.int32()), ("n", pa.int32())])
+_MARKS = "doc_id long, seq long, seq2 long, n_words long, runs array<struct<key: long, segment: long, first: int, n: int>>"
 
 
 def sequence_hashes(w: S.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -56,14 +58,15 @@ def range_min(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return out
 
 
-def _runs(w: S.Words, start: np.ndarray, key: np.ndarray) -> pa.ListArray:
+def _runs(w: S.Words, start: np.ndarray, key: np.ndarray, size: int) -> pa.ListArray:
     """Neighbouring windows of one document with one name, as a list per document."""
     doc = w.doc()[start] if len(start) else start
     new = np.ones(len(start), bool)
     new[1:] = (key[1:] != key[:-1]) | (start[1:] != start[:-1] + 1) | (doc[1:] != doc[:-1])
     at = np.flatnonzero(new)
-    first = start[at] - w.first[doc[at]]
-    rows = [key[at].view(np.int64), first.astype(np.int32), np.diff(np.append(at, len(start))).astype(np.int32)]
+    first, n = start[at], np.diff(np.append(at, len(start)))
+    segment = S.word_prefix(w.hash).hash(first, first + n + size - 1, 5)
+    rows = [key[at].view(np.int64), segment.view(np.int64), (first - w.first[doc[at]]).astype(np.int32), n.astype(np.int32)]
     offsets = np.searchsorted(doc[at], np.arange(len(w.first))).astype(np.int32)
     return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(r) for r in rows], fields=list(_RUN)))
 
@@ -79,7 +82,7 @@ def mark(docs: DataFrame, namer: Namer, size: int) -> DataFrame:
             w = S.words(t)
             start = window_starts(w, size)
             seq, seq2 = sequence_hashes(w)
-            cols = [t.rows.column(0), seq, seq2, w.counts.astype(np.int64), _runs(w, start, namer(w, start, size))]
+            cols = [t.rows.column(0), seq, seq2, w.counts.astype(np.int64), _runs(w, start, namer(w, start, size), size)]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names=["doc_id", "seq", "seq2", "n_words", "runs"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
@@ -93,7 +96,7 @@ def placed(marks: DataFrame) -> DataFrame:
 
 
 def original_runs(marks: DataFrame, placed: DataFrame) -> DataFrame:
-    """The runs (key, doc_id, seq, first, n) of the documents that are no exact copies."""
+    """The runs (key, segment, doc_id, seq, first, n) of the documents that are no exact copies."""
     originals = placed.filter("first_id = doc_id").select("doc_id", "seq", "seq2")
     return marks.filter(F.size("runs") > 0).join(originals, ["doc_id", "seq", "seq2"], "left_semi").select("doc_id", "seq", F.inline("runs"))
 
@@ -123,35 +126,43 @@ def _windows(size: int):
 
 
 def covered(docs: DataFrame, placed: DataFrame, shared: DataFrame, size: int) -> DataFrame:
-    """Per document with covered words: ``spans``, a list of (seq, first_id, starts of covered windows).
+    """Per document with covered words: ``spans``, a list of (seq, first_id, ranges of covered windows).
 
-    ``shared`` has the runs (doc_id, seq, first, n) whose names occur in several documents. A whole copy has
-    the single start ``WHOLE``.
+    ``shared`` has the runs (key, segment, doc_id, seq, first, n) whose names occur in several documents. A
+    whole copy has the single range that starts at ``WHOLE``.
     """
     copies = placed.filter((F.col("first_id") < F.col("doc_id")) & (F.col("n_words") >= size))
-    runs = (
-        shared.groupBy("doc_id")
-        .agg(F.collect_set(F.struct("seq", "first", "n")).alias("runs"))
-    )
+    whole = copies.select("doc_id", "seq", "first_id", F.lit(WHOLE).alias("first"), F.lit(1).alias("n"))
+
+    shared = stored(shared, "shared_runs")
+    least = F.min(F.struct("doc_id", "seq", "first", "n")).alias("least")
+    segments = stored(shared.groupBy("key", "segment").agg(least, F.max("doc_id").alias("last_id")), "segments")
+    again = segments.filter(F.col("least.doc_id") < F.col("last_id")).select("key", "segment", F.col("least.doc_id").alias("first_id"))
+    settled = shared.join(again, ["key", "segment"]).filter("first_id < doc_id").select("doc_id", "seq", "first_id", "first", "n")
+
+    several = segments.groupBy("key").agg(F.min("segment").alias("a"), F.max("segment").alias("b")).filter("a < b")
+    open_runs = segments.join(several.select("key"), "key").select("least.*")
+    runs = open_runs.groupBy("doc_id").agg(F.collect_set(F.struct("seq", "first", "n")).alias("runs"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(runs, "doc_id")
     found = stored(texts.mapInArrow(_windows(size), "w1 long, w2 long, doc_id long, seq long, start int"), "windows")
     firsts = found.groupBy("w1", "w2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
     firsts = firsts.filter("first_id < last_id").drop("last_id")
-    hits = found.join(firsts, ["w1", "w2"]).filter("first_id < doc_id").select("doc_id", "seq", "first_id", "start")
-    whole = copies.select("doc_id", "seq", "first_id", F.lit(WHOLE).alias("start"))
+    hits = found.join(firsts, ["w1", "w2"]).filter("first_id < doc_id")
+    hits = hits.select("doc_id", "seq", "first_id", F.col("start").alias("first"), F.lit(1).alias("n"))
     return (
-        hits.unionByName(whole)
+        hits.unionByName(settled)
+        .unionByName(whole)
         .repartition("doc_id")
         .groupBy("doc_id", "seq", "first_id")
-        .agg(F.collect_set("start").alias("starts"))
+        .agg(F.collect_set(F.struct("first", "n")).alias("ranges"))
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("seq", "first_id", "starts")).alias("spans"))
+        .agg(F.collect_list(F.struct("seq", "first_id", "ranges")).alias("spans"))
     )
 
 
 def cover_mask(w: S.Words, t: S.Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """For the words of ``t``, whose rows carry ``spans``: covered or not, and the smallest id that has a
-    window over the word."""
+    """For the words of ``t``, whose rows carry ``spans``: covered or not, and the smallest id known to have
+    a window over the word."""
     out, owner = np.zeros(len(w), bool), np.full(len(w), np.iinfo(np.int64).max)
     lists = t.rows.column(t.rows.schema.get_field_index("spans"))
     if lists.null_count == len(lists):
@@ -159,21 +170,22 @@ def cover_mask(w: S.Words, t: S.Texts, size: int) -> tuple[np.ndarray, np.ndarra
     seq, _ = sequence_hashes(w)
     doc = np.repeat(np.arange(len(t)), np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(int))
     flat = lists.flatten()
-    own, first_id, starts = flat.field("seq").to_numpy(), flat.field("first_id").to_numpy(), flat.field("starts")
-    values, n = starts.flatten().to_numpy(), starts.value_lengths().to_numpy()
-    at = np.append(0, np.cumsum(n))
+    own, first_id, ranges = flat.field("seq").to_numpy(), flat.field("first_id").to_numpy(), flat.field("ranges")
+    inner = ranges.flatten()
+    first, n = (inner.field(k).to_numpy() for k in ("first", "n"))
+    at = np.append(0, np.cumsum(ranges.value_lengths().to_numpy()))
     for i in np.argsort(-first_id, kind="stable"):  # the smallest id is written last
         d = doc[i]
         if own[i] != seq[d]:
             continue
-        s = values[at[i] : at[i + 1]]
+        s, k = first[at[i] : at[i + 1]], n[at[i] : at[i + 1]]
         lo, hi = w.first[d], w.first[d + 1]
-        if len(s) and s[0] == WHOLE:
+        if s[0] == WHOLE:
             places = np.arange(lo, hi)
         else:
             step = np.zeros(hi - lo + 1, np.int64)
             np.add.at(step, s, 1)
-            np.add.at(step, s + size, -1)
+            np.add.at(step, s + k - 1 + size, -1)
             places = lo + np.flatnonzero(np.cumsum(step)[:-1])
         out[places], owner[places] = True, first_id[i]
     return out, owner

@@ -4,8 +4,9 @@ Of all suffixes only those at minimiser positions are kept: each window of words
 smallest hash among its runs of ``SEED`` words, so equal windows keep the same suffix, and neighbouring
 windows mostly share one. The kept suffixes are range-sorted by their seed over the whole corpus and each is
 compared with its neighbours; the few groups that a partition border cuts are settled by the border
-suffixes alone. A suffix with an equal neighbour is then extended to both sides: each of its windows splits
-``size`` words in another way between left and right, and windows with equal words are matches.
+suffixes alone. A suffix with an equal neighbour is then extended to both sides: as far as all its windows
+reach, and where these segments differ, window by window, each of which splits ``size`` words in another way
+between left and right. Equal words are a match.
 """
 
 from collections.abc import Iterator
@@ -21,7 +22,8 @@ from wardbook.llm.scratch import stored
 
 SEED = 16
 _INNER, _EDGE, _LONE = 0, 1, 2
-_SUFFIX = "key long, doc_id long, seq long, first int, n int"
+_COLUMNS = ["key", "doc_id", "segment", "seq", "first", "n"]
+_SUFFIX = "key long, doc_id long, segment long, seq long, first int, n int"
 
 
 def name_windows(w: S.Words, start: np.ndarray, size: int, seed: int = SEED) -> np.ndarray:
@@ -65,16 +67,15 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shared_runs(runs: DataFrame) -> DataFrame:
     """Suffixes (with their windows) that have an equal one in another document."""
-    order = ["key", "doc_id", "seq", "first"]
-    suffixes = stored(runs.select("key", "doc_id", "seq", "first", "n"), "suffixes")
+    order = ["key", "doc_id", "first"]
+    suffixes = stored(runs.select(*_COLUMNS), "suffixes")
     ranked = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
     found = stored(ranked.mapInArrow(_neighbours, f"{_SUFFIX}, state int"), "neighbours")
     # At most two keys for each partition of the sort.
     cut = found.filter(F.col("state") >= _EDGE).groupBy("key")
     cut = cut.agg(F.min("state").alias("state"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
     cut = cut.filter((F.col("state") == _EDGE) | (F.col("a") < F.col("b"))).select("key")
-    settled = found.filter(F.col("state") < _LONE).unionByName(found.filter(F.col("state") == _LONE).join(cut, "key"))
-    return settled.select("doc_id", "seq", "first", "n")
+    return found.filter(F.col("state") < _LONE).unionByName(found.filter(F.col("state") == _LONE).join(cut, "key")).drop("state")
 
 
 def repeated_spans(docs: DataFrame, size: int = R.WINDOW) -> DataFrame:
@@ -86,7 +87,7 @@ def repeated_spans(docs: DataFrame, size: int = R.WINDOW) -> DataFrame:
 
 def repeated_passages(docs: DataFrame, size: int = R.WINDOW) -> DataFrame:
     """One row per stretch of words that repeats earlier documents: ``doc_id``, ``first_word`` (from 0),
-    ``n_words``, ``first_doc_id`` (the smallest id that has a window of it; for an exact copy, the smallest id
+    ``n_words``, ``first_doc_id`` (an earlier document with a window of it; for an exact copy, the smallest id
     with the same words) and ``passage``.
 
     The words are those of any ``size`` consecutive words that also occur in a document with a smaller id.
