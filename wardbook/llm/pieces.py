@@ -44,7 +44,9 @@ class DoubleArray:
             values[node] = value
         self.base, self.check, self.value = [0] * 1024, [-1] * 1024, [-1] * 1024
         self.check[0], self.value[0] = 0, values[0]
-        place, queue, free = {0: 0}, [0], 1
+        # Where the search for a place starts: at the first free one for a single child, and for several
+        # children past stretches that were searched long without success.
+        place, queue, free, several = {0: 0}, [0], 256, 256
         for node in queue:
             own = sorted(children[node])
             if not own:
@@ -53,12 +55,14 @@ class DoubleArray:
             while self.check[free] >= 0:
                 free += 1
                 self._room(free)
-            b = max(1, free - own[0])
+            b = begin = (free if len(own) == 1 else max(free, several)) - own[0] or 1
             while True:
                 self._room(b + 256)
                 if all(self.check[b + c] < 0 for c in own):
                     break
                 b += 1
+            if len(own) > 1 and b - begin > 64:
+                several = b
             self.base[state] = b
             for c in own:
                 child = children[node][c]
@@ -160,9 +164,13 @@ def _worker(path: str) -> tuple[Pieces, Memory, np.ndarray, np.ndarray]:
 def _encode(t: S.Texts, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Identifiers of the documents, end to end, and where each document's start."""
     pieces, memory, *_ = _worker(path)
-    full = np.flatnonzero(np.diff(t.offsets))
-    data = np.insert(t.data, t.offsets[full], 32)
-    offsets = t.offsets + np.append(0, np.cumsum(np.diff(t.offsets) > 0))
+    data, offsets = t.data, t.offsets
+    if _MARKER_BYTES in data.tobytes():  # the marker itself in a text is a blank
+        texts = [t.text_bytes(i).replace(_MARKER_BYTES, _BLANK) for i in range(len(t))]
+        data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.append(0, np.cumsum([len(x) for x in texts]))
+    full = np.flatnonzero(np.diff(offsets))
+    data = np.insert(data, offsets[full], 32)
+    offsets = offsets + np.append(0, np.cumsum(np.diff(offsets) > 0))
     start = offsets[full]
     if pieces.by_words:
         blank = data == 32
