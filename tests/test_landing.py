@@ -83,7 +83,8 @@ def test_pages_until_total(spark, tmp_path):
 
 
 def test_pages_without_total_are_all_read(spark, tmp_path):
-    df = pages(spark, tmp_path, *[f'{{"success": true, "result": {{"records": [{{"a": {i}}}]}}}}' for i in range(3)])
+    with pytest.warns(UserWarning, match="no page states the total"):
+        df = pages(spark, tmp_path, *[f'{{"success": true, "result": {{"records": [{{"a": {i}}}]}}}}' for i in range(3)])
     assert sorted(texts(df)) == [("0",), ("1",), ("2",)]
 
 
@@ -99,6 +100,7 @@ def test_page_spread_over_lines(spark, tmp_path):
     [
         ('{"success": false, "error": {"message": "no"}}', "unsuccessful"),
         ('{"success": true, "result": {"records": [{"a": 1}], "total": 2}}', "1 records of 2"),
+        ('{"success": true, "result": {"records": [{"a": 1}, {"a": 2}, {"a": 3}], "total": 2}}', "3 records of 2"),
         ("not json", "unsuccessful"),
     ],
 )
@@ -123,6 +125,47 @@ def test_snapshot_kept_once_per_date(spark, tmp_path):
     assert sorted(tuple(r) for r in counts) == [(20260102, 3), (20260103, 5)]
 
 
+def failing(spark, columns="id string, v string"):
+    """A load of which one row can't be made."""
+    rows = spark.createDataFrame([(str(i), str(i)) for i in range(20)], columns)
+    name = rows.columns[1]
+    return rows.withColumn(name, F.when(F.col(name) == "13", F.raise_error(F.lit("bad row")).cast("string")).otherwise(F.col(name)))
+
+
+def test_snapshot_after_a_crash(spark, tmp_path):
+    day = date(2026, 1, 2)
+    with pytest.raises(Exception, match="bad row"):
+        landing.land_snapshot(failing(spark), str(tmp_path), "t", day)
+    path = landing.land_snapshot(spark.range(4), str(tmp_path), "t", day)
+    assert landing.land_snapshot(spark.range(9), str(tmp_path), "t", day) == path
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_failed_load_keeps_the_table(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE landing_f LOCATION '{tmp_path}/landing_f'")
+    landing.write_raw(spark.range(100).selectExpr("string(id) AS id", "'x' AS v"), "landing_f.a")
+    for columns in ("id string, v string", "other string, v string"):
+        with pytest.raises(Exception, match="bad row"):
+            landing.write_raw(failing(spark, columns), "landing_f.a")
+        spark.catalog.refreshTable("landing_f.a")
+        assert spark.table("landing_f.a").columns == ["id", "v"] and spark.table("landing_f.a").count() == 100
+    landing.materialize(spark.range(50), "landing_f.mart", "table")
+    with pytest.raises(Exception, match="bad row"):
+        landing.materialize(failing(spark), "landing_f.mart", "table")
+    spark.catalog.refreshTable("landing_f.mart")
+    assert spark.table("landing_f.mart").count() == 50
+
+
+def test_csv_files_in_another_column_order_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ID,Full Name\n1,x\n")
+    (tmp_path / "b.csv").write_text("Full Name,ID\ny,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        landing.land_csv(spark, str(tmp_path), loaded_at=AT).collect()
+    (tmp_path / "b.csv").write_text("ID,Full Name\n2,y\n")
+    df = landing.land_csv(spark, str(tmp_path), loaded_at=AT)
+    assert df.columns == ["id", "full_name", "_loaded_at"] and sorted(texts(df)) == [("1", "x"), ("2", "y")]
+
+
 def test_seed(spark, tmp_path):
     path = tmp_path / "codes.csv"
     path.write_bytes(b"delay_code,delay_description,system\r\nEUAC,Air,subway\r\nERBO,Body,srt\r\n")

@@ -29,12 +29,12 @@ def brute_force(scored):
     return auc, ap, sum((p - y) ** 2 for p, y in scored) / len(scored)
 
 
-@pytest.mark.parametrize("digits, n, buckets", [(1, 300, 256), (6, 900, 7), (0, 40, 4), (6, 900, 256)])
-def test_metrics_match_brute_force(spark, digits, n, buckets):
+@pytest.mark.parametrize("digits, n, per_bucket", [(1, 300, 65_536), (6, 900, 130), (0, 40, 10), (6, 900, 4)])
+def test_metrics_match_brute_force(spark, digits, n, per_bucket):
     rng = random.Random(digits)
     scored = [(round(rng.random(), digits) if digits else 0.5, int(rng.random() < 0.3)) for _ in range(n)]
     df = spark.createDataFrame(scored, "p double, any_delay_5min int")
-    row = metrics.evaluate(df, buckets=buckets).first()
+    row = metrics.evaluate(df, per_bucket=per_bucket).first()
     assert (row.roc_auc, row.pr_auc, row.brier) == pytest.approx(brute_force(scored))
     assert metrics.brier(df).first()[0] == pytest.approx(row.brier)
     assert metrics.roc_auc(df).first()[0] == pytest.approx(row.roc_auc)

@@ -19,8 +19,8 @@ def con():
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    # Fitted trees have no SQL equivalent.
-    assert set(QUERIES) - set(ORACLES) == {"m6_classifier", "m11_informed", "m13_refit_save", "m14_score"}
+    # All but the training-text queries, whose results are checked against brute force in tests/llm.
+    assert all(n == "pipeline" or n.startswith("op") for n in set(QUERIES) - set(ORACLES))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -28,10 +28,5 @@ def test_query(spark, con, name):
     assert difference(QUERIES[name](spark, SF), con, ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_model_query(spark, name):
-    assert QUERIES[name](spark, SF).count() > 0
-
-
 def test_entry(spark):
     assert entry.entry(spark).count() == 10

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not pathlib.Path(SF).exists(), reason="no benchmark tables")
 
 # These write files or fit models before they return.
-EAGER = {n for n in entry.queries() if n.startswith(("s", "m", "q10", "a6", "a10", "j7", "w3", "f24"))}
+EAGER = {n for n in entry.queries() if n.startswith(("s", "m", "q10", "a6", "a10", "j7", "w3", "f24", "x4", "op", "pipeline"))}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "MapInPandas"]
 
 

@@ -30,14 +30,17 @@ def hourly_delays(
 
 
 def build_grid(
-    fct: DataFrame, lines: list[str] = LINES, threshold: int = DELAY_THRESHOLD_MINUTES, key: str = "line_group"
+    fct: DataFrame, lines: list[str] | None = LINES, threshold: int = DELAY_THRESHOLD_MINUTES, key: str = "line_group"
 ) -> DataFrame:
     """One row per hour and line, zero where nothing happened. Unordered: sort where it is written.
 
-    ``lines`` are the values of ``key``, so stations work too. The grid grows with the calendar and
-    the number of lines, not with the log.
+    ``lines`` are the values of ``key``, so stations and delay codes work too; None takes all values of the
+    log, one column's distinct values. The grid grows with the calendar and the number of lines, not with
+    the log.
     """
-    grid = line_hours(hour_spine(fct), lines, key)
+    if lines is None:
+        lines = sorted(r[0] for r in fct.select(key).filter(F.col(key).isNotNull()).distinct().collect())
+    grid = line_hours(hour_spine(fct, keys=len(lines)), lines, key)
     counts = hourly_delays(fct, lines, threshold, key)
     return grid.join(counts, ["hour", key], "left").select(
         "hour", F.col(key).alias("line"), *[F.coalesce(c, F.lit(0)).alias(c) for c in _COUNTS]

@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from wardbook.schema import FEATURES, TARGET
 from wardbook.session import ensure_checkpoint_dir
 
-_BUCKETS = 256
+# Distinct scores that one task sorts.
+_SCORES_PER_BUCKET = 65_536
 
 
-def score_curve(scored: DataFrame, score: str = "p", label: str = TARGET, buckets: int = _BUCKETS) -> DataFrame:
+def score_curve(scored: DataFrame, score: str = "p", label: str = TARGET, per_bucket: int = _SCORES_PER_BUCKET) -> DataFrame:
     """One row per distinct score with its positives and negatives, and the positives and negatives
     scored higher.
 
-    The running totals are exact without a global sort: scores fall into quantile buckets, the bucket
-    totals are summed in one small window, and each bucket is summed on its own. The counts per score
+    The running totals are exact without a global sort: scores fall into quantile buckets, as many as their
+    number asks for, the bucket totals are summed in one small window, and each bucket is summed on its own. The counts per score
     are checkpointed, since they are read three times and scoring is dear.
     """
     ensure_checkpoint_dir(scored.sparkSession)
@@ -25,9 +26,12 @@ def score_curve(scored: DataFrame, score: str = "p", label: str = TARGET, bucket
         positives.alias("pos"), (F.count(label) - positives).alias("neg")
     )
     per_score = per_score.checkpoint()
-    quantiles = per_score.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.5 / buckets)
-    splits = [float("-inf"), *sorted(set(quantiles)), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(per_score)
+    buckets = max(1, -(-per_score.count() // per_bucket))
+    bucketed = per_score.withColumn("bucket", F.lit(0.0))
+    if buckets > 1:
+        quantiles = per_score.approxQuantile("score", [i / buckets for i in range(1, buckets)], 0.5 / buckets)
+        splits = [float("-inf"), *sorted(set(quantiles)), float("inf")]
+        bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(per_score)
 
     higher = W.orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
     starts = (
@@ -36,8 +40,7 @@ def score_curve(scored: DataFrame, score: str = "p", label: str = TARGET, bucket
         .select("bucket", *[F.coalesce(F.sum(c).over(higher), F.lit(0)).alias(c) for c in ("_pos", "_neg")])
     )
     within = W.partitionBy("bucket").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, -1)
-    # The starts are at most one row per bucket, so the broadcast is bounded by ``buckets``.
-    return bucketed.join(F.broadcast(starts), "bucket").select(
+    return bucketed.join(starts, "bucket").select(
         "score",
         "pos",
         "neg",
@@ -57,7 +60,8 @@ def _roc_auc():
 def _pr_auc():
     hits = F.col("pos_above") + F.col("pos")
     seen = hits + F.col("neg_above") + F.col("neg")
-    return F.sum(F.col("pos") * hits / seen) / F.nullif(F.sum("pos"), F.lit(0))
+    # As doubles: positives times hits outgrow a long.
+    return F.sum(F.col("pos").cast("double") * hits / seen) / F.nullif(F.sum("pos"), F.lit(0))
 
 
 def _brier():

@@ -15,8 +15,7 @@ from wardbook.session import ensure_checkpoint_dir
 # The boosting settings that Spark's trees can share with the published model. Its 31
 # leaves become depth 5; Spark has no L2 penalty.
 GBT = {"maxIter": 300, "stepSize": 0.05, "maxDepth": 5, "seed": 0}
-# Above this many rows, one row in ten is set aside and boosting stops when its loss rises.
-EARLY_STOPPING_ROWS = 10_000
+# With early stopping, one row in so many is set aside and boosting stops when its loss rises.
 VALIDATION_SHARE = 10
 # Below every real reading, so that a split can send missing readings their own way.
 _MISSING = -1.0e6
@@ -37,16 +36,14 @@ def delay_model(features: list[str] = FEATURES, **gbt) -> Pipeline:
     )
 
 
-def fit(train: DataFrame, features: list[str] = FEATURES, early_stopping: bool | None = None, **gbt) -> PipelineModel:
+def fit(train: DataFrame, features: list[str] = FEATURES, early_stopping: bool = False, **gbt) -> PipelineModel:
     """Fit on the columns the model needs. The checkpoint folder lets boosting cut its growing lineage.
 
-    Rows are set aside for early stopping by a hash of their features, so that a recomputed partition
-    sets the same rows aside. By default this depends on the number of rows.
+    All rows are fitted, with all trees, unless ``early_stopping`` is asked for. Rows are then set aside by a
+    hash of their features, so that a recomputed partition sets the same rows aside.
     """
     ensure_checkpoint_dir(train.sparkSession)
     rows = train.select(*features, TARGET)
-    if early_stopping is None:
-        early_stopping = rows.count() > EARLY_STOPPING_ROWS
     if early_stopping:
         aside = F.pmod(F.xxhash64(*features), F.lit(VALIDATION_SHARE)) == 0
         rows = rows.withColumn("x_validation", aside)

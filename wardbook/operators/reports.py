@@ -20,7 +20,8 @@ def _minutes() -> Column:
 
 
 def star_crime(fct: DataFrame, dim_date: DataFrame, dim_n: DataFrame) -> DataFrame:
-    """Incidents with their calendar and neighbourhood attributes, without the bulky geometry."""
+    """Incidents, or better their counts by key, with calendar and neighbourhood attributes, without the
+    bulky geometry."""
     place = bi_columns(dim_n)
     return fct.join(dim_date, fct["occurrence_date_key"] == dim_date["date_key"], "left").join(
         place, "neighbourhood_id", "left"
@@ -71,9 +72,10 @@ def b2(dim_n: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return dim_n.groupBy(*by).agg(F.sum(F.col("population_2021").cast("long")).alias("population"))
 
 
-def b3(fct: DataFrame, dim_n: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def b3(fct: DataFrame, dim_n: DataFrame, by: Sequence[str] = (), total: bool = False) -> DataFrame:
     """Incidents per 1000 by neighbourhood attributes; incidents in no known neighbourhood show under
-    null, without a population. With no columns, all incidents over all population."""
+    null, without a population. With no columns, all incidents over all population. ``total`` adds that row
+    to the others, from the same counts, and ``is_total`` to tell it."""
     if not by:
         counts = fct.agg(F.count("*").alias("incidents"))
     else:
@@ -85,11 +87,14 @@ def b3(fct: DataFrame, dim_n: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     both = counts.withColumn("population", none).unionByName(
         dim_n.select(*by, none.alias("incidents"), F.col("population_2021").cast("long").alias("population"))
     )
-    return (
-        both.groupBy(*by)
-        .agg(F.sum("incidents").alias("incidents"), F.sum("population").alias("population"))
-        .withColumn("per_1000", F.col("incidents") * 1000.0 / F.nullif(F.col("population"), F.lit(0)))
-    )
+    sums = [F.sum("incidents").alias("incidents"), F.sum("population").alias("population")]
+    if total:
+        level = F.grouping_id().alias("_level")
+        groups = both.rollup(*by).agg(*sums, level).filter(F.col("_level").isin(0, 2 ** len(by) - 1))
+        groups = groups.withColumn("is_total", F.col("_level") > 0).drop("_level")
+    else:
+        groups = both.groupBy(*by).agg(*sums)
+    return groups.withColumn("per_1000", F.col("incidents") * 1000.0 / F.nullif(F.col("population"), F.lit(0)))
 
 
 def b4(fct: DataFrame, dim_date: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -132,14 +137,14 @@ def b7(fct: DataFrame, dim_n: DataFrame, n: int = 15) -> DataFrame:
     return top_n(rates.filter("per_1000 is not null"), [F.desc("per_1000"), F.asc("neighbourhood_id")], n)
 
 
-def b8(fct: DataFrame, months: Sequence[str]) -> DataFrame:
-    """Matrix of delay minutes: stations down, the given months (yyyy-MM) across."""
-    return (
-        fct.withColumn("month", F.date_format("delay_date", "yyyy-MM"))
-        .groupBy("station")
-        .pivot("month", list(months))
-        .agg(_minutes())
-    )
+def b8(fct: DataFrame) -> DataFrame:
+    """Matrix of delay minutes in its long form: a row per station and month (yyyy-MM), all months."""
+    return fct.groupBy("station", F.date_format("delay_date", "yyyy-MM").alias("month")).agg(_minutes().alias("delay_minutes"))
+
+
+def b8_wide(fct: DataFrame, months: Sequence[str]) -> DataFrame:
+    """The matrix itself: stations down, the given months across."""
+    return b8(fct).groupBy("station").pivot("month", list(months)).agg(F.first("delay_minutes"))
 
 
 def b9(fct: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from wardbook.functions.numbers import as_numeric, numeric_to_int
 from wardbook.functions.text import blank_to_null, strip_text
 
-# Enough for a calendar: ten years are 3,650 days.
-_SPINE_TASKS = 64
+# Rows of a finished grid that one task should make.
+_ROWS_PER_TASK = 1 << 20
 
 
 def unpivot_profile(wide: DataFrame, names: list, numbers: list) -> DataFrame:
@@ -52,13 +52,15 @@ def calendar(spark: SparkSession, start: date, today: date) -> DataFrame:
     return spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("date_day"))
 
 
-def hour_spine(dates: DataFrame, column: str = "delay_date") -> DataFrame:
+def hour_spine(dates: DataFrame, column: str = "delay_date", keys: int = 1, days_known: int = 3653) -> DataFrame:
     """Every hour from the first day's 00:00 to the last day's 23:00.
 
-    The days are spread over some tasks before their hours are made; an explicit number keeps AQE from
-    drawing the few day rows, and so all later hours and lines, back into one task.
+    The days are spread over tasks before their hours are made, by the rows that ``keys`` values an hour over
+    about ``days_known`` days give, or the cluster's cores if they are more; an explicit number keeps AQE from
+    drawing the few day rows, and so all later hours and keys, back into one task.
     """
-    spread = min(dates.sparkSession.sparkContext.defaultParallelism, _SPINE_TASKS)
+    cores = min(dates.sparkSession.sparkContext.defaultParallelism, days_known)
+    spread = max(cores, -(-days_known * 24 * keys // _ROWS_PER_TASK))
     bounds = dates.agg(F.min(column).alias("d0"), F.max(column).alias("d1"))
     days = bounds.select(F.explode(F.sequence("d0", "d1")).alias("day")).repartition(spread, "day")
     midnight = F.col("day").cast("timestamp_ntz")

@@ -23,10 +23,10 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def latest_by_key(df: DataFrame, key: str, loaded_at: str = "_loaded_at") -> DataFrame:
-    """All rows of each key's newest batch. The newest batch is found by a partial aggregate and joined
+    """All rows of each key's newest batch; rows without a load time are a key's oldest. The newest batch is found by a partial aggregate and joined
     back, so a hot key's rows never sort in one window; AQE splits them in the join."""
     newest = df.groupBy(F.col(key).alias("_key")).agg(F.max(loaded_at).alias("_newest"))
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(loaded_at) == F.col("_newest"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(loaded_at).eqNullSafe(F.col("_newest"))
     return df.join(newest, same).select(*df.columns)
 
 

@@ -1,6 +1,6 @@
 """Typed, trimmed, unfiltered copies of the raw text tables, and the report of values that do not cast."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardbook.functions.dates import strict_date, text_timestamp
@@ -9,35 +9,59 @@ from wardbook.operators.reshape import pivot_metrics
 from wardbook.schema import IMPROVEMENT_AREA_PREFIX, PROFILE_METRICS
 from wardbook.sources.landing import LOADED_AT
 
-# What each raw column must cast to, once blanks (and the unknown-area mark) are set aside.
+UNKNOWN_AREA = ["NSA", ""]
+BLANK = [""]
+# What each raw column must cast to, and the texts that stand for no value in it. The staging views cast by
+# these rules, and the report of bad values lists what they reject. A time is cast together with its date.
 CRIME_TYPES = {
-    "id": "bigint",
-    "report_date": "date",
-    "occ_date": "date",
-    "occ_year": "int",
-    "occ_hour": "int",
-    "report_hour": "int",
-    "hood_158": "int",
-    "long_wgs84": "double",
-    "lat_wgs84": "double",
+    "id": ("bigint", []),
+    "report_date": ("date", []),
+    "occ_date": ("date", []),
+    "occ_year": ("int", BLANK),
+    "occ_hour": ("int", BLANK),
+    "report_hour": ("int", BLANK),
+    "hood_158": ("int", UNKNOWN_AREA),
+    "long_wgs84": ("double", BLANK),
+    "lat_wgs84": ("double", BLANK),
 }
-DELAY_TYPES = {"id": "bigint", "date": "date", "min_delay": "int", "min_gap": "int"}
-UNKNOWN_AREA = ["NSA", ""]
+DELAY_TYPES = {"id": ("bigint", []), "date": ("date", []), "time": ("time", []), "min_delay": ("int", BLANK), "min_gap": ("int", BLANK)}
+PLACE_TYPES = {"area_short_code": ("int", [])}
+PROFILE_TYPES = {"neighbourhood_number": ("int", [])}
+
+
+def _typed(name: str, types: dict[str, tuple[str, list[str]]]) -> Column:
+    """The column as staging has it; a value that does not cast is an error."""
+    dtype, none = types[name]
+    if dtype == "time":
+        return text_timestamp(F.col("date"), F.col(name))
+    col = sentinel_to_null(F.col(name), none) if none else F.col(name)
+    return strict_date(col) if dtype == "date" else col.cast(dtype)
+
+
+def _rejected(name: str, types: dict[str, tuple[str, list[str]]]) -> Column:
+    """Whether ``_typed`` fails."""
+    dtype, none = types[name]
+    col = sentinel_to_null(F.col(name), none) if none else F.col(name)
+    if dtype == "time":
+        both = F.concat(F.col("date"), F.lit(" "), col)
+        return both.isNotNull() & both.try_cast("timestamp_ntz").isNull()
+    bad = col.isNotNull() & col.try_cast(dtype).isNull()
+    return bad | F.length(F.trim(col)).between(1, 7) if dtype == "date" else bad
 
 
 def stg_crime(raw: DataFrame) -> DataFrame:
-    def blank_cast(name, dtype):
-        return blank_to_null(F.col(name)).cast(dtype)
+    def typed(name):
+        return _typed(name, CRIME_TYPES)
 
     return raw.select(
-        F.col("id").cast("bigint").alias("source_row_id"),
+        typed("id").alias("source_row_id"),
         F.trim("event_unique_id").alias("event_id"),
-        strict_date(F.col("report_date")).alias("report_date"),
-        strict_date(F.col("occ_date")).alias("occurrence_date"),
-        blank_cast("occ_year", "int").alias("occurrence_year"),
-        blank_cast("occ_hour", "int").alias("occurrence_hour"),
+        typed("report_date").alias("report_date"),
+        typed("occ_date").alias("occurrence_date"),
+        typed("occ_year").alias("occurrence_year"),
+        typed("occ_hour").alias("occurrence_hour"),
         F.trim("occ_dow").alias("occurrence_day_of_week"),
-        blank_cast("report_hour", "int").alias("report_hour"),
+        typed("report_hour").alias("report_hour"),
         F.trim("division").alias("police_division"),
         F.trim("location_type").alias("location_type"),
         F.trim("premises_type").alias("premises_type"),
@@ -45,24 +69,27 @@ def stg_crime(raw: DataFrame) -> DataFrame:
         F.trim("ucr_ext").alias("ucr_ext"),
         F.trim("offence").alias("offence"),
         F.trim("mci_category").alias("mci_category"),
-        sentinel_to_null(F.col("hood_158"), UNKNOWN_AREA).cast("int").alias("neighbourhood_id"),
+        typed("hood_158").alias("neighbourhood_id"),
         F.trim("neighbourhood_158").alias("neighbourhood_name_raw"),
-        blank_cast("long_wgs84", "double").alias("longitude"),
-        blank_cast("lat_wgs84", "double").alias("latitude"),
+        typed("long_wgs84").alias("longitude"),
+        typed("lat_wgs84").alias("latitude"),
         LOADED_AT,
     )
 
 
 def stg_delays(raw: DataFrame) -> DataFrame:
+    def typed(name):
+        return _typed(name, DELAY_TYPES)
+
     return raw.select(
-        F.col("id").cast("bigint").alias("source_row_id"),
-        strict_date(F.col("date")).alias("delay_date"),
-        text_timestamp(F.col("date"), F.col("time")).alias("delay_at"),
+        typed("id").alias("source_row_id"),
+        typed("date").alias("delay_date"),
+        typed("time").alias("delay_at"),
         F.trim("day").alias("day_of_week"),
         upper_trim(F.col("station")).alias("station"),
         upper_trim(F.col("code")).alias("delay_code"),
-        blank_to_null(F.col("min_delay")).cast("int").alias("delay_minutes"),
-        blank_to_null(F.col("min_gap")).cast("int").alias("gap_minutes"),
+        typed("min_delay").alias("delay_minutes"),
+        typed("min_gap").alias("gap_minutes"),
         blank_to_null(upper_trim(F.col("bound"))).alias("bound"),
         upper_trim(F.col("line")).alias("line"),
         line_group(F.col("line")).alias("line_group"),
@@ -73,7 +100,7 @@ def stg_delays(raw: DataFrame) -> DataFrame:
 
 def stg_neighbourhoods(raw: DataFrame) -> DataFrame:
     return raw.select(
-        F.col("area_short_code").cast("int").alias("neighbourhood_id"),
+        _typed("area_short_code", PLACE_TYPES).alias("neighbourhood_id"),
         F.trim("area_name").alias("neighbourhood_name"),
         F.trim("classification").alias("tsns_classification"),
         prefix_flag(F.col("classification"), IMPROVEMENT_AREA_PREFIX).alias("is_improvement_area"),
@@ -86,23 +113,12 @@ def stg_profiles(raw: DataFrame) -> DataFrame:
     return pivot_metrics(raw, PROFILE_METRICS)
 
 
-def bad_values(raw: DataFrame, types: dict[str, str], unknown: dict[str, list[str]] | None = None) -> DataFrame:
-    """Per column, how many non-blank values do not cast to its type, with the smallest such value.
-
-    A date must be written yyyy-MM-dd. One pass over the table whatever the number of columns.
-    """
-    unknown = unknown or {}
-
-    def is_bad(name, dtype):
-        col = F.col(name)
-        bad = col.try_cast(dtype).isNull()
-        if dtype == "date":
-            bad = bad | ~col.rlike(r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}\s*$")
-        return (~col.isin(["", *unknown.get(name, [])])) & bad
-
+def bad_values(raw: DataFrame, types: dict[str, tuple[str, list[str]]]) -> DataFrame:
+    """Per column, how many values staging rejects, with the smallest such value. One pass over the table
+    whatever the number of columns."""
     totals = raw.agg(
-        *[F.count_if(is_bad(n, t)).alias(f"n_{n}") for n, t in types.items()],
-        *[F.min(F.when(is_bad(n, t), F.col(n))).alias(f"v_{n}") for n, t in types.items()],
+        *[F.count_if(_rejected(n, types)).alias(f"n_{n}") for n in types],
+        *[F.min(F.when(_rejected(n, types), F.col(n))).alias(f"v_{n}") for n in types],
     )
     rows = F.array(
         *[
@@ -112,7 +128,7 @@ def bad_values(raw: DataFrame, types: dict[str, str], unknown: dict[str, list[st
                 F.col(f"n_{n}").alias("n_bad"),
                 F.col(f"v_{n}").alias("example"),
             )
-            for n, t in types.items()
+            for n, (t, _) in types.items()
         ]
     )
     return totals.select(F.inline(rows))

@@ -340,7 +340,7 @@ def _counts(tables):
     return "\nUNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {part}" for n, part in tables.items())
 
 
-_add("s18_run_all", _counts(_TABLES | _MODELS) + "\nUNION ALL SELECT 'checks', 41", _CLEAN)
+_add("s18_run_all", _counts(_TABLES | _MODELS) + "\nUNION ALL SELECT 'checks', 41 UNION ALL SELECT 'metrics', 1", _CLEAN)
 
 # --- Reshape
 _add(
@@ -371,18 +371,21 @@ _add(
     """SELECT mci_category, count(*) AS n_rows, max(source_row_id) AS max_id, min(occurrence_date) AS first_date,
   cast(sum(occurrence_hour) as bigint) AS sum_hour, max(longitude) AS max_longitude FROM stg_crime GROUP BY 1""",
 )
-_BAD = "SELECT '{0}' AS column_name, '{1}' AS type_name, count(*) AS n_bad, min({2}) AS example FROM raw_crime WHERE {3}"
-_NONE = "SELECT '{0}' AS column_name, '{1}' AS type_name, cast(0 as bigint) AS n_bad, cast(NULL as varchar) AS example"
+_BAD = "SELECT '{0}' AS column_name, '{1}' AS type_name, count(*) AS n_bad, min({2}) AS example, '{4}' AS table_name FROM raw_{4} WHERE {3}"
+_NONE = "SELECT '{0}' AS column_name, '{1}' AS type_name, cast(0 as bigint) AS n_bad, cast(NULL as varchar) AS example, '{2}' AS table_name"
 _add(
     "p5b_bad_values",
     "\nUNION ALL ".join(
         [
-            *[_NONE.format(c, "bigint" if c == "id" else "date" if c == "occ_date" else "double" if c == "long_wgs84" else "int")
+            *[_NONE.format(c, "bigint" if c == "id" else "date" if c == "occ_date" else "double" if c == "long_wgs84" else "int", "crime")
               for c in ("id", "occ_date", "occ_year", "report_hour", "long_wgs84")],
-            _BAD.format("report_date", "date", "strftime(report_date, '%Y-%m')", "id % 61 = 0"),
-            _BAD.format("occ_hour", "int", "'noon'", "id % 67 = 0"),
-            _BAD.format("hood_158", "int", "'n/a'", "id % 71 = 0"),
-            _BAD.format("lat_wgs84", "double", "coalesce(lat, '') || 'N'", "id % 73 = 0"),
+            _BAD.format("report_date", "date", "strftime(report_date, '%Y-%m')", "id % 61 = 0", "crime"),
+            _BAD.format("occ_hour", "int", "'noon'", "id % 67 = 0", "crime"),
+            _BAD.format("hood_158", "int", "'n/a'", "id % 71 = 0", "crime"),
+            _BAD.format("lat_wgs84", "double", "coalesce(lat, '') || 'N'", "id % 73 = 0", "crime"),
+            *[_NONE.format(c, k, "delays") for c, k in (("id", "bigint"), ("date", "date"), ("min_gap", "int"))],
+            _BAD.format("min_delay", "int", "'ten'", "id % 59 = 0", "delays"),
+            _BAD.format("time", "time", "'25:61'", "id % 83 = 0", "delays"),
         ]
     ),
 )
@@ -566,7 +569,12 @@ _add(
 _add("f21_floor_hour", "SELECT event_id, date_trunc('hour', ts) AS v FROM events")
 _add("f22_flags", "SELECT hour, line, is_weekend, is_service_hour, any_delay_5min FROM features")
 _NUMBER = "try_cast(json_extract_string(CASE WHEN json_valid(weather) THEN weather END, '$.{0}') as double)"
-_OVERRIDE_OK = """(weather IS NULL OR weather = '' OR (json_valid(weather) AND NOT (weather LIKE '%"wet"%')))"""
+_ABSENT = "json_extract_string(CASE WHEN json_valid(weather) THEN weather END, '$.{0}') IS NULL"
+_OVERRIDE_OK = (
+    "(weather IS NULL OR weather = '' OR (json_valid(weather) AND "
+    + " AND ".join(f"({_ABSENT.format(n)} OR {_NUMBER.format(n)} IS NOT NULL)" for n in _WEATHER.split(", "))
+    + "))"
+)
 
 
 def _overridden(defaults):
@@ -610,8 +618,10 @@ _add(
 )
 _add(
     "q9_freshness",
-    f"SELECT {LOADED} + 0 * count(*) AS max_loaded_at, status, days FROM events, "
-    "(VALUES ('pass', cast(1 as int)), ('warn', 3), ('error', 9)) v(status, days) GROUP BY status, days",
+    f"""SELECT max_loaded_at, days, CASE WHEN {LOADED} + days * 86400 - max_loaded_at <= 2 * 86400 THEN 'pass'
+  WHEN {LOADED} + days * 86400 - max_loaded_at <= 7 * 86400 THEN 'warn' ELSE 'error' END AS status
+FROM (SELECT cast(epoch(max(cast("date" as date)) + interval 1 day) as bigint) AS max_loaded_at FROM raw_delays),
+  (VALUES (cast(-30 as int)), (0), (3), (9)) v(days)""",
 )
 
 
@@ -701,6 +711,9 @@ _add(
     """SELECT 'train' AS part, count(*) AS n_rows, min(hour) AS first_hour, max(hour) AS last_hour FROM train
 UNION ALL SELECT 'test', count(*), min(hour), max(hour) FROM test""",
 )
+_add("m6_classifier", "SELECT hour, line, any_delay_5min, true AS has_p FROM test")
+_add("m11_informed", "SELECT hour, line, any_delay_5min, true AS has_p FROM test")
+_add("m13_refit_save", "SELECT count(*) AS n_rows, cast(0 as bigint) AS n_differ FROM frame")
 _add(
     "m7_baseline",
     "SELECT line, weekday, hour_of_day, count(*) AS n_rows, round(min(p), 6) AS p FROM baseline GROUP BY 1, 2, 3",
@@ -714,10 +727,15 @@ _add(
   (SELECT strftime(split_at, '%Y-%m-%d') FROM split) AS test_from, (SELECT round(avg(any_delay_5min), 4) FROM frame) AS positive_rate,
   round(cast({_ROC} as double), 4) AS roc_auc, round({_AP}, 4) AS pr_auc, round({_BRIER}, 4) AS brier FROM curve""",
 )
+_STATUS = f"""CASE WHEN line NOT IN ({_LINES}) THEN 'bad_line' WHEN NOT has_forecast THEN 'no_weather'
+    WHEN NOT {_OVERRIDE_OK} THEN 'bad_override' ELSE 'ok' END"""
+_add(
+    "m14_score",
+    f"""SELECT request_id, line, "at", {_overridden({n: n for n in _VARS})}, {_STATUS} AS status, {_STATUS} = 'ok' AS has_p FROM picked""",
+)
 _add(
     "m14_request_status",
-    f"""SELECT CASE WHEN line NOT IN ({_LINES}) THEN 'bad_line' WHEN NOT has_forecast THEN 'no_weather'
-    WHEN NOT {_OVERRIDE_OK} THEN 'bad_override' ELSE 'ok' END AS status,
+    f"""SELECT {_STATUS} AS status,
   count(*) AS n_requests, round(sum(coalesce({_NUMBER.format('snowfall')}, snowfall)), 6) AS sum_snowfall
 FROM picked GROUP BY 1""",
 )
@@ -749,8 +767,7 @@ _add(
 _add("b7_top_neighbourhoods", f"SELECT * FROM ({_AREA_RATES}) WHERE per_1000 IS NOT NULL ORDER BY per_1000 DESC, neighbourhood_id LIMIT 15")
 _add(
     "b8_station_month",
-    """SELECT station, cast(sum(delay_minutes) FILTER (WHERE strftime(delay_date, '%Y-%m') = '2024-01') as bigint) AS "2024-01",
-  cast(sum(delay_minutes) FILTER (WHERE strftime(delay_date, '%Y-%m') = '2023-12') as bigint) AS "2023-12" FROM fct_delays GROUP BY 1""",
+    "SELECT station, strftime(delay_date, '%Y-%m') AS month, cast(sum(delay_minutes) as bigint) AS delay_minutes FROM fct_delays GROUP BY 1, 2",
 )
 _add("b9_minutes_by_cause", "SELECT delay_description, cast(sum(delay_minutes) as bigint) AS delay_minutes FROM fct_delays GROUP BY 1")
 _add("b10_hour_histogram", "SELECT delay_hour, count(*) AS delay_events FROM fct_delays GROUP BY 1")
@@ -801,12 +818,13 @@ _add(
     SELECT cast(date_trunc('month', occurrence_date) as date) AS month_start, count(*) AS n_rows FROM fct_crime GROUP BY 1))
 WHERE abs(n_rows - mean_rows) > sd_rows""",
 )
-_add(
-    "x4_station_grid",
-    """SELECT line, count(*) AS n_hours, count(*) FILTER (WHERE delays_5min > 0) AS n_late_hours, cast(sum(coalesce(delays, 0)) as bigint) AS delays,
+for _query, _key in (("x4_station_grid", "station"), ("x4_code_grid", "delay_code")):
+    _add(
+        _query,
+        f"""SELECT line, count(*) AS n_hours, count(*) FILTER (WHERE delays_5min > 0) AS n_late_hours, cast(sum(coalesce(delays, 0)) as bigint) AS delays,
   cast(sum(coalesce(delay_minutes, 0)) as bigint) AS delay_minutes
-FROM (SELECT hour, 'STATION ' || unnest(range(75)) AS line FROM hours) h
-LEFT JOIN (SELECT station, date_trunc('hour', delay_at) AS hour, count(*) AS delays, count(*) FILTER (WHERE delay_minutes >= 5) AS delays_5min,
-    sum(delay_minutes) AS delay_minutes FROM fct_delays GROUP BY 1, 2) d ON h.hour = d.hour AND h.line = d.station
+FROM (SELECT hour, {_key} AS line FROM hours, (SELECT DISTINCT {_key} FROM fct_delays WHERE {_key} IS NOT NULL)) h
+LEFT JOIN (SELECT {_key} AS value, date_trunc('hour', delay_at) AS hour, count(*) AS delays, count(*) FILTER (WHERE delay_minutes >= 5) AS delays_5min,
+    sum(delay_minutes) AS delay_minutes FROM fct_delays GROUP BY 1, 2) d ON h.hour = d.hour AND h.line = d.value
 GROUP BY 1""",
-)
+    )

@@ -38,8 +38,8 @@ def build_models(spark: SparkSession, today: date, raw: str, schema: str, rebuil
 
     def table(name, df, sort_by=None):
         # Sorted files let date filters skip row groups; the sort stays within each task.
-        full, df = f"{schema}.{name}", df.sortWithinPartitions(sort_by) if sort_by else df
-        return landing.materialize(df, full, "table") if rebuild else spark.table(full)
+        full = f"{schema}.{name}"
+        return landing.materialize(df, full, "table", sort_by) if rebuild else spark.table(full)
 
     source = {d.key: spark.table(f"{raw}.{d.raw_table}") for d in DATASETS.values()}
     t = {"ttc_delay_codes": spark.table(f"{schema}.ttc_delay_codes")}

@@ -24,8 +24,18 @@ HOLDOUT_DAYS = 90
 RATE_LIMIT_PER_1000 = 100
 
 WEATHER_VARS = ["temperature_2m", "precipitation", "snowfall", "wind_speed_10m"]
-CALENDAR_FEATURES = ["hour_of_day", "weekday", "month", "is_weekend", "is_service_hour"]
-FEATURES = ["line", *CALENDAR_FEATURES, *WEATHER_VARS]
+FEATURES = [
+    "line",
+    "hour_of_day",
+    "weekday",
+    "month",
+    "is_weekend",
+    "is_service_hour",
+    "temperature_2m",
+    "precipitation",
+    "snowfall",
+    "wind_speed_10m",
+]
 HISTORY_FEATURES = ["delays_prev_1h", "delays_prev_24h"]
 TARGET = "any_delay_5min"
 BASELINE_KEYS = ["line", "weekday", "hour_of_day"]

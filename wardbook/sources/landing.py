@@ -1,5 +1,6 @@
 """Landing published snapshots as text tables, and writing tables."""
 
+import warnings
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardbook.functions.text import blank_to_null, clean_ident
+from wardbook.session import scratch_path
 
 LOADED_AT = "_loaded_at"
 # A value no file holds: it lets the reader tell an empty field (null) from a quoted empty one ('').
@@ -49,11 +51,17 @@ def land_csv(spark: SparkSession, path: str, *, loaded_at: datetime, multiline:
         .option("multiLine", multiline)
     )
     header = reader.option("header", False).csv(path).limit(1)
-    names = header.select(*[clean_ident(F.coalesce(F.col(c), F.lit(""))) for c in header.columns]).first()
-    if names is None:
+    labels = [F.coalesce(F.col(c), F.lit("")) for c in header.columns]
+    row = header.select(F.array(*labels).alias("labels"), F.array(*map(clean_ident, labels)).alias("names")).first()
+    if row is None:
         raise ValueError(f"no header in {path}")
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in _checked_names(list(names))])
-    return _stamped(reader.option("header", True).schema(schema).csv(path), loaded_at)
+    names = _checked_names(row["names"])
+    # Every file's own header is held against the first one's labels, so a file that orders its columns
+    # otherwise fails. A column without a label can't be held against anything.
+    labelled = all(row["labels"])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (row["labels"] if labelled else names)])
+    rows = reader.option("header", True).option("enforceSchema", not labelled).schema(schema).csv(path)
+    return _stamped(rows.toDF(*names), loaded_at)
 
 
 def land_pages(
@@ -62,8 +70,8 @@ def land_pages(
     """Saved response pages, one JSON envelope per line (or per file), as all-text columns.
 
     The columns are the keys of the first page's first record, in its order. A later record may lack
-    one (null) but may not add one (error). Any unsuccessful page, or fewer records than the stated
-    total, fails the load.
+    one (null) but may not add one (error). Any unsuccessful page, and fewer or more records than the stated
+    total, fail the load. Without a total all pages are read, with a warning.
     """
     text = spark.read.text(paths, wholetext=whole_files)
     # Envelopes first, with the records left as text; their fields are parsed when the rows are read.
@@ -82,8 +90,10 @@ def land_pages(
     ).first()
     if summary["failed"]:
         raise RuntimeError(f"{summary['failed']} unsuccessful pages: {summary['error']}")
-    if summary["total"] is not None and (summary["records"] or 0) < summary["total"]:
-        raise RuntimeError(f"{summary['records']} records of {summary['total']}")
+    if summary["total"] is None:
+        warnings.warn(f"{summary['records'] or 0} records, but no page states the total", stacklevel=2)
+    elif (summary["records"] or 0) != summary["total"]:
+        raise RuntimeError(f"{summary['records'] or 0} records of {summary['total']}")
     keys = summary["keys"] or []
     record = F.col("record")
     extra = F.array_except(F.map_keys(record), F.array(*map(F.lit, keys)).cast("array<string>"))
@@ -99,12 +109,19 @@ def land_pages(
 
 
 def land_snapshot(df: DataFrame, root: str, table: str, run_date: date) -> str:
-    """Write one run date's snapshot beside the others; one that is already there is kept as it is."""
+    """Write one run date's snapshot beside the others; one that is already there whole is kept as it is.
+    What a crashed write left is replaced."""
     path = f"{root}/{table}/snapshot_date={run_date:%Y%m%d}"
-    df.write.mode("ignore").parquet(path)
+    if not _exists(df.sparkSession, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
     return path
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def load_seed(spark: SparkSession, path: str, schema: str, max_lengths: dict[str, int] | None = None) -> DataFrame:
     """A static CSV of declared types; text longer than its column's limit is an error."""
     seed = spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
@@ -119,20 +136,32 @@ def load_seed(spark: SparkSession, path: str, schema: str, max_lengths: dict[str
 def write_raw(df: DataFrame, table: str) -> bool:
     """Replace a raw table by a full load; True when it was absent or its columns changed.
 
-    With unchanged columns the table stays in place, so that views over it keep working.
+    With unchanged columns the table stays in place, so that views over it keep working. A load that fails
+    leaves the table as it was.
     """
     spark = df.sparkSession
+    whole = _whole(df, table)
     if spark.catalog.tableExists(table) and spark.table(table).columns == df.columns:
-        df.write.mode("overwrite").insertInto(table)
+        whole.write.mode("overwrite").insertInto(table)
         return False
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    whole.write.mode("overwrite").format("parquet").saveAsTable(table)
     return True
 
 
-def materialize(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
-    """Staging layers are views; marts are tables, since many readers use each of them."""
+def _whole(df: DataFrame, table: str) -> DataFrame:
+    """All of a table's new rows, computed and stored before the old ones go: a row that fails to cast fails
+    here, and what replaces the table is a plain copy of finished files."""
+    path = scratch_path(df.sparkSession, table)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame, name: str, kind: str = "view", sort_by: str | None = None) -> DataFrame:
+    """Staging layers are views; marts are tables, since many readers use each of them. A table whose rows
+    can't all be made stays as it was."""
     if kind == "view":
         df.createOrReplaceTempView(name.split(".")[-1])
         return df
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    whole = _whole(df, name).sortWithinPartitions(sort_by) if sort_by else _whole(df, name)
+    whole.write.mode("overwrite").format("parquet").saveAsTable(name)
     return df.sparkSession.table(name)
