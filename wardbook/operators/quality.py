@@ -142,31 +142,59 @@ _ROW_TESTS = {
 }
 
 
-def _failing_groups(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
-    df = tables[check.table]
-    if check.kind == "unique":
-        return unique(df, check.columns[0]).agg(F.count("*").alias("n_failed"))
-    if check.kind == "unique_combination":
-        return unique_combination(df, check.columns).agg(F.count("*").alias("n_failed"))
-    if check.kind == "accepted_values":
-        return accepted_values(df, check.columns[0], check.args["values"]).agg(F.count("*").alias("n_failed"))
-    parent = tables[check.args["parent"]]
-    missing = relationships(df, check.columns[0], parent, check.args["parent_key"])
-    return missing.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_failed"))
+_GROUP_TESTS = ("unique", "unique_combination")
+
+
+def _in_one_scan(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Results of a table's row tests and of at most one test of groups, which then carry the row counts."""
+    rows = [c for c in checks if c.kind in _ROW_TESTS]
+    failed = {c: F.count_if(_ROW_TESTS[c.kind](c)).alias(f"n{i}") for i, c in enumerate(rows)}
+    by = next((c for c in checks if c.kind in _GROUP_TESTS), None)
+    if by is None:
+        counts = df.agg(*failed.values())
+    else:
+        groups = df.groupBy(*by.columns).agg(F.count("*").alias("n_rows"), *failed.values())
+        counted = F.lit(True) if by.kind == "unique_combination" else F.col(by.columns[0]).isNotNull()
+        sums = [F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(rows))]
+        counts = groups.agg(F.count_if(counted & (F.col("n_rows") > 1)).alias("n_groups"), *sums)
+    results = [_result(c, F.col(f"n{i}")) for i, c in enumerate(rows)]
+    return counts.select(F.inline(F.array(*results, *([_result(by, F.col("n_groups"))] if by else []))))
+
+
+def _related(checks: Sequence[Check], tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """Results of one table's relationships, all from its rows counted by all their keys."""
+    counts = tables[checks[0].table].groupBy(*[c.columns[0] for c in checks]).agg(F.count("*").alias("n_rows"))
+    results = []
+    for check in checks:
+        key, parent = check.columns[0], tables[check.args["parent"]]
+        keys = counts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum("n_rows").alias("n_rows"))
+        missing = keys.join(parent.select(F.col(check.args["parent_key"]).alias(key)), key, "left_anti")
+        failed = missing.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_failed"))
+        results.append(failed.select(F.inline(F.array(_result(check, F.col("n_failed"))))))
+    return results
 
 
 def run_checks(tables: dict[str, DataFrame], suite: Sequence[Check]) -> DataFrame:
-    """One row per check with its number of failures: rows, or groups for the grouped kinds."""
+    """One row per check with its number of failures: rows, or groups for the grouped kinds.
+
+    A table is read once for its row tests and first test of groups, once for its relationships, and once for
+    each further test.
+    """
     parts = []
-    for table in dict.fromkeys(c.table for c in suite if c.kind in _ROW_TESTS):
-        checks = [c for c in suite if c.table == table and c.kind in _ROW_TESTS]
-        counts = tables[table].agg(*[F.count_if(_ROW_TESTS[c.kind](c)).alias(f"n{i}") for i, c in enumerate(checks)])
-        rows = [_result(c, F.col(f"n{i}")) for i, c in enumerate(checks)]
-        parts.append(counts.select(F.inline(F.array(*rows))))
-    for check in suite:
-        if check.kind not in _ROW_TESTS:
-            failed = _failing_groups(check, tables)
+    for table in dict.fromkeys(c.table for c in suite):
+        own = [c for c in suite if c.table == table]
+        grouped = [c for c in own if c.kind in _GROUP_TESTS]
+        together = [c for c in own if c.kind in _ROW_TESTS] + grouped[:1]
+        if together:
+            parts.append(_in_one_scan(tables[table], together))
+        for check in grouped[1:]:
+            parts.append(_in_one_scan(tables[table], [check]))
+        for check in (c for c in own if c.kind == "accepted_values"):
+            failed = accepted_values(tables[table], check.columns[0], check.args["values"]).agg(F.count("*").alias("n_failed"))
             parts.append(failed.select(F.inline(F.array(_result(check, F.col("n_failed"))))))
+        related = [c for c in own if c.kind == "relationships"]
+        if related:
+            parts += _related(related, tables)
     return reduce(DataFrame.unionByName, parts)
 
 
