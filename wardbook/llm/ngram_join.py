@@ -8,7 +8,8 @@ of links. All of it is exact up to 64-bit hashes of n-grams and sets.
    of the ``n - T + t`` tokens with the smallest hashes they share ``t`` or more. Inverted lists are made of
    these alone. A set with fewer than ``t`` tokens in any other list has no partner.
 3. The rest skips its longest lists: of its prefix in rare-first order only so many tokens are needed that
-   one of the ``t`` must be among them. Sets in one of these short lists form a family.
+   one of the ``t`` must be among them. Sets in one of these short lists form a family. Families of more than
+   one block are divided once more in this way, by all tokens of their sets.
 4. Families are searched in blocks of at most ``BLOCK`` sets, with DivideSkip over the full sets: short
    lists are merged on a heap with skips, long ones are probed by binary search. Only edges that join two
    parts of a block leave a task.
@@ -24,13 +25,14 @@ from math import log2
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardbook.llm import spans as S
 from wardbook.llm.components import components
 from wardbook.llm.scratch import stored
 
-BLOCK = 256
+BLOCK = 512
 # Cost of probing a long list against merging it, as DivideSkip's authors set it.
 _MU = 0.0085
 _SHARED_PERCENT = 5
@@ -227,69 +229,81 @@ def _overlap_with_centre(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([*keep, pa.array(n, pa.int64())], names=["family", "set_id", "centre", "n", "centre_n", "overlap"])
 
 
-def _families(sets: DataFrame, percent: int) -> DataFrame:
-    """``set_id`` and ``family`` of the sets that may have a partner; ``weight`` is higher for sets made of
-    common tokens."""
-    postings = sets.select("set_id", "n", F.explode("prefix").alias("token"))
+def _families(sets: DataFrame) -> DataFrame:
+    """``set_id``, ``family`` and ``weight`` (higher for sets of common tokens) of the sets that may have a
+    partner.
+
+    ``sets`` has ``set_id``, ``tokens`` and ``t``, the number of its tokens that any partner's row shows too.
+    Of the tokens in rare-first order all but ``t - 1`` are kept, so partners share one of these.
+    """
+    postings = sets.select("set_id", "t", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     lists = postings.groupBy("token").agg(F.count("*").alias("length")).filter("length > 1")
-    slack = lambda n: F.least(F.floor(n * _SHARED_PERCENT / 100) + 1, F.floor((n * percent + 99) / 100))
-    need = F.floor((F.col("n") * percent + 99) / 100)
-    whole = F.least(F.col("n") - need + slack(F.col("n")), F.col("n"))
-    # A partner may be smaller, and its prefix shows fewer shared tokens.
-    t = F.greatest(F.lit(1), slack(F.floor(F.col("n") * percent / 100)))
-    found = postings.join(lists, "token").groupBy("set_id", "n")
+    found = postings.join(lists, "token").groupBy("set_id", "t", "n")
     found = found.agg(F.sort_array(F.collect_list(F.struct("length", "token"))).alias("shared"), F.avg("length").alias("weight"))
-    first = whole - t + 1 - (whole - F.size("shared"))  # tokens in no other list come first
-    found = found.filter(F.size("shared") >= t).filter(first > 0)
+    first = F.col("n") - F.col("t") + 1 - (F.col("n") - F.size("shared"))  # tokens in no other list come first
+    found = found.filter(F.size("shared") >= F.col("t")).filter(first > 0)
     short = found.select("set_id", "weight", F.explode(F.slice("shared", 1, first.cast("int"))).alias("posting"))
     short = stored(short.select("set_id", "weight", "posting.token"), "short_lists")
     hubs = short.groupBy("token").agg(F.min("set_id").alias("hub"))
     edges = short.join(hubs, "token").select(F.col("hub").alias("a"), F.col("set_id").alias("b"))
     members = components(edges).withColumnsRenamed({"node": "set_id", "component": "family"})
-    return members.join(short.select("set_id", "weight").distinct(), "set_id")
+    return stored(members.join(short.select("set_id", "weight").distinct(), "set_id"), "families")
+
+
+def _sized(sets: DataFrame, family: DataFrame) -> DataFrame:
+    """Sets with their family, its size and its centre, the set of the most common tokens."""
+    sizes = family.groupBy("family").agg(F.count("*").alias("size"), F.max_by("set_id", F.struct("weight", "set_id")).alias("centre"))
+    return sets.join(family.join(sizes, "family").select("set_id", "family", "size", "centre"), "set_id")
 
 
 def _block_pairs(placed: DataFrame, percent: int) -> DataFrame:
     """Sets of large families (family, set_id, tokens, distance, settled) dealt to pairs of blocks."""
-    # Sets of a family in order of distance, numbered by a window over 1/64 steps and one within a step,
-    # so that no task holds a family.
-    step = F.floor(F.col("distance") * 64).cast("int")
-    placed = placed.withColumn("step", step).withColumn("salt", F.pmod(F.xxhash64("set_id"), F.lit(1 << 16)))
-    cells = placed.groupBy("family", "settled", "step").agg(F.count("*").alias("size"))
-    cells = cells.withColumn("parts", F.ceil(F.col("size") / BLOCK))
-    block = F.struct("family", "settled", "step", F.floor(F.col("salt") * F.col("parts") / (1 << 16)).alias("part"))
-    rows = placed.join(cells.select("family", "settled", "step", "parts"), ["family", "settled", "step"])
-    rows = rows.select("family", "set_id", "tokens", block.alias("block"))
-    blocks = cells.select("family", "settled", "step", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    blocks = blocks.select("family", F.struct("family", "settled", "step", F.col("part").cast("long").alias("part")).alias("block"))
-    a, b = blocks.withColumnRenamed("block", "x"), blocks.withColumnRenamed("block", "y")
-    reach = int(64 * (100 - percent) / 100) + 2
-    pairs = a.join(b, "family").filter(
-        (F.col("x") <= F.col("y")) & ~(F.col("x.settled") & F.col("y.settled")) & (F.abs(F.col("x.step") - F.col("y.step")) <= reach)
-    )
-    sides = pairs.select("x", "y", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
-    sides = sides.filter((F.col("side") == 0) | (F.col("x") != F.col("y")))
-    sides = sides.select(F.to_json(F.array("x", "y")).alias("task"), "side", F.when(F.col("side") == 0, F.col("x")).otherwise(F.col("y")).alias("block"))
-    rows = rows.withColumn("block", F.struct(*[F.col(f"block.{k}").cast(kind).alias(k) for k, kind in (("family", "long"), ("settled", "boolean"), ("step", "int"), ("part", "long"))]))
-    return rows.join(sides, "block").select("task", "set_id", "side", "tokens")
+    # A family's sets in order of distance from its centre, by the sizes of at most 34 cells.
+    placed = placed.withColumn("cell", F.when(F.col("settled"), 0).otherwise(100) + F.floor(F.col("distance") * 16).cast("int"))
+    cells = placed.groupBy("family", "cell").agg(F.count("*").alias("size"))
+    before = F.sum("size").over(W.partitionBy("family").orderBy("cell").rowsBetween(W.unboundedPreceding, -1))
+    cells = cells.withColumn("before", F.coalesce(before, F.lit(0)))
+    place = F.col("before") + F.pmod(F.xxhash64("set_id"), F.col("size"))
+    rows = placed.join(cells, ["family", "cell"]).withColumn("block", F.floor(place / BLOCK))
+    rows = rows.select("family", "block", "set_id", "tokens", "settled", "distance")
+    blocks = rows.groupBy("family", "block").agg(F.min("settled").alias("settled"), F.min("distance").alias("near"), F.max("distance").alias("far"))
+    blocks = stored(blocks, "blocks")
+    x, y = (blocks.select("family", F.struct("block", "settled", "near", "far").alias(k)) for k in "xy")
+    reach = (100 - percent) / 100 + 1e-9
+    pairs = x.join(y, "family").filter(
+        (F.col("x.block") <= F.col("y.block")) & ~(F.col("x.settled") & F.col("y.settled"))
+        & (F.col("x.near") <= F.col("y.far") + reach) & (F.col("y.near") <= F.col("x.far") + reach)
+    )
+    task = F.concat_ws("/", F.col("family").cast("string"), F.col("x.block").cast("string"), F.col("y.block").cast("string"))
+    sides = pairs.select("family", task.alias("task"), F.explode(F.array_distinct(F.array("x.block", "y.block"))).alias("block"), F.col("y.block").alias("second"))
+    out = rows.join(sides, ["family", "block"])
+    return out.select("task", "set_id", (F.col("block") == F.col("second")).cast("int").alias("side"), "tokens")
 
 
 def links(docs: DataFrame, marks: DataFrame, n: int, percent: int) -> DataFrame:
     """Edges ``a``, ``b`` of set ids that connect what links connect."""
     firsts = marks.filter("n > 0 and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     sets = marks.join(firsts, ["doc_id", "set_id"], "left_semi").dropDuplicates(["set_id"])
-    family = stored(_families(sets, percent), "families")
+    need = lambda n: F.floor((n * percent + 99) / 100)
+    # A partner may be smaller, and its prefix shows fewer shared tokens.
+    smaller = F.floor(F.col("n") * percent / 100)
+    t = F.greatest(F.lit(1), F.least(F.floor(smaller * _SHARED_PERCENT / 100) + 1, need(smaller)))
+    family = _families(sets.select("set_id", F.col("prefix").alias("tokens"), t.alias("t")))
+
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    wanted = family.join(firsts, "set_id")
-    found = texts.join(wanted, "doc_id").select("doc_id", "text", "set_id", "family", "weight")
-    full = found.mapInArrow(_sets(n), "doc_id long, set_id long, family long, weight double, tokens array<long>")
-    full = stored(full.drop("doc_id"), "sets")
-    sizes = full.groupBy("family").agg(F.count("*").alias("size"), F.max_by("set_id", "weight").alias("centre"))
-    full = full.join(sizes, "family")
-    small = full.filter(F.col("size") <= BLOCK)
-    small = small.select(F.col("family").cast("string").alias("task"), "set_id", F.lit(0).alias("side"), "tokens")
-
-    large = full.filter(F.col("size") > BLOCK).withColumn("n", F.size("tokens").cast("long"))
+    wanted = family.select("set_id").join(firsts, "set_id")
+    full = texts.join(wanted, "doc_id").select("doc_id", "text", "set_id")
+    full = stored(full.mapInArrow(_sets(n), "doc_id long, set_id long, tokens array<long>").drop("doc_id"), "sets")
+
+    # Large families are told apart once more, by all tokens of their sets.
+    first = _sized(full, family)
+    large = first.filter(F.col("size") > BLOCK).select("set_id", "tokens", need(F.size("tokens")).alias("t"))
+    second = _sized(full, _families(large))
+    columns = ["task", "set_id", "side", "tokens"]
+    small = first.filter(F.col("size") <= BLOCK).unionByName(second.filter(F.col("size") <= BLOCK))
+    small = small.withColumns({"task": F.col("family").cast("string"), "side": F.lit(0)}).select(*columns)
+
+    large = second.filter(F.col("size") > BLOCK).withColumn("n", F.size("tokens").cast("long"))
     centres = large.filter("set_id = centre").select("family", F.col("n").alias("centre_n"), F.col("tokens").alias("centre_tokens")).dropDuplicates(["family"])
     compared = large.join(centres, "family").select("family", "set_id", "centre", "n", "centre_n", "tokens", "centre_tokens")
     compared = compared.mapInArrow(_overlap_with_centre, "family long, set_id long, centre long, n long, centre_n long, overlap long")
@@ -297,9 +311,9 @@ def links(docs: DataFrame, marks: DataFrame, n: int, percent: int) -> DataFrame:
     compared = compared.withColumns({"distance": 1 - F.col("overlap") / union, "settled": 100 * F.col("overlap") >= percent * union})
     compared = stored(compared.select("family", "set_id", "centre", "distance", "settled"), "centres")
     to_centre = compared.filter("settled and set_id != centre").select(F.col("centre").alias("a"), F.col("set_id").alias("b"))
-    placed = compared.join(large.select("set_id", "tokens"), "set_id")
+    placed = compared.join(full, "set_id")
 
-    tasks = small.unionByName(_block_pairs(placed, percent).select("task", "set_id", F.col("side").cast("int").alias("side"), "tokens"))
+    tasks = small.unionByName(_block_pairs(placed, percent))
     tasks = tasks.repartition("task").sortWithinPartitions("task")
     return tasks.mapInArrow(_search_blocks(percent), "a long, b long").unionByName(to_centre)
 
