@@ -132,3 +132,20 @@ def test_early_stopping(spark):
 
 def test_published_settings():
     assert model.GBT == {"maxIter": 300, "stepSize": 0.05, "maxDepth": 5, "seed": 0}
+
+
+def test_pr_auc_of_very_many_rows(spark):
+    curve = spark.createDataFrame(
+        [(0.9, 4_000_000_000, 1_000_000_000, 0, 0), (0.1, 1_000_000_000, 4_000_000_000, 4_000_000_000, 1_000_000_000)],
+        "score double, pos long, neg long, pos_above long, neg_above long",
+    )
+    got = curve.agg(metrics._pr_auc().alias("ap"), metrics._roc_auc().alias("auc")).first()
+    assert got.ap == pytest.approx(0.8 * 0.8 + 0.2 * 0.5) and got.auc == pytest.approx(0.8)
+
+
+def test_newest_batch_with_a_missing_load_time(spark):
+    from wardbook.operators.snapshots import latest_by_key
+
+    rows = [("a", 1, None), ("b", 2, None), ("b", 3, "2026-01-02"), (None, 4, None)]
+    df = spark.createDataFrame(rows, "k string, v int, at string").selectExpr("k", "v", "timestamp(at) AS _loaded_at")
+    assert sorted(r.v for r in latest_by_key(df, "k").collect()) == [1, 3, 4]
