@@ -87,16 +87,25 @@ class Model:
         return np.clip(out, 0.0, 1.0)
 
 
+def _axes(x: np.ndarray) -> np.ndarray:
+    """The first right singular vectors of a sample, as columns, by subspace iteration: its memory is the
+    sample's."""
+    q = np.random.default_rng(0).standard_normal((TERMS, DIMENSIONS + 16)).astype(np.float32)
+    for _ in range(8):
+        q, _ = np.linalg.qr(x.T @ (x @ q))
+    _, _, turn = np.linalg.svd(x @ q, full_matrices=False)
+    return (q @ turn.T)[:, :DIMENSIONS]
+
+
 def fit_arrays(counts: np.ndarray, labels: np.ndarray) -> Model:
     """The model of a sample's term frequencies and labels (shares of 1)."""
     prior = float(labels.mean()) if len(labels) else 0.5
     used = counts.any(axis=1)
     x, y = _scaled(counts[used]), labels[used]
     weights = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 0.1 if len(x) else np.ones(TERMS, np.float32)
-    x = x * weights
-    _, vectors = np.linalg.eigh(x.T.astype(np.float64) @ x) if len(x) else (None, np.zeros((TERMS, 1)))
-    axes = vectors[:, ::-1][:, :DIMENSIONS].astype(np.float32)
-    v = x @ axes if len(x) else np.zeros((0, axes.shape[1]), np.float32)
+    x *= weights
+    axes = _axes(x)
+    v = x @ axes
     return Model(weights, axes, v / np.maximum(1e-12, np.linalg.norm(v, axis=1, keepdims=True)), y, prior)
 
 
