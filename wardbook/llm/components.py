@@ -23,7 +23,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("m").alias("a"), "b").distinct()
+        large = both.join(least, "a").filter("b > a").select(F.col("m").alias("a"), "b")
         # Every edge now points from a smaller ``a`` to a larger ``b``.
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b")
