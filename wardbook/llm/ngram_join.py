@@ -283,7 +283,8 @@ def _block_pairs(placed: DataFrame, percent: int) -> DataFrame:
 def links(docs: DataFrame, marks: DataFrame, n: int, percent: int) -> DataFrame:
     """Edges ``a``, ``b`` of set ids that connect what links connect."""
     firsts = marks.filter("n > 0 and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    sets = marks.join(firsts, ["doc_id", "set_id"], "left_semi").dropDuplicates(["set_id"])
+    # A row that is there twice only adds candidates; to drop it would shuffle all prefixes once more.
+    sets = marks.join(firsts, ["doc_id", "set_id"], "left_semi")
     need = lambda n: F.floor((n * percent + 99) / 100)
     # A partner may be smaller, and its prefix shows fewer shared tokens.
     smaller = F.floor(F.col("n") * percent / 100)
