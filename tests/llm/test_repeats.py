@@ -107,6 +107,27 @@ def test_one_id_two_texts(spark):
     assert got == [(1, 60, 0), (2, 60, 0), (2, 61, 60)]
 
 
+@pytest.mark.parametrize("operator", [recompression, suffix_dedup])
+def test_block_twice_around_an_earlier_passage(spark, operator):
+    """Every occurrence counts, of a block that its smallest document holds again and of one in two texts of one id."""
+    rows = []
+    for k in range(12):
+        q, p, end = ([f"{c}{k}_{i}" for i in range(60)] for c in "qpe")
+        block = q + p if k % 2 else p + q
+        rows += [(10 * k, " ".join(p)), (10 * k + 1, " ".join(block * 3 + q)), (10 * k + 2, " ".join(end + block * 2))]
+        rows += [(10 * k + 3, " ".join([f"x{k}", *block, *end, *block])), (10 * k + 3, " ".join([f"y{k}", *block]))]
+        a, b = ([f"{c}{k}_{i}" for i in range(60)] for c in "ab")
+        rows += [(200 + 10 * k, " ".join(a)), (201 + 10 * k, " ".join(["s", *b, *a, *b])), (201 + 10 * k, " ".join(["t", *b, *a, *b]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted((i, len(split(text)), len(places)) for (i, text), places in zip(rows, covered(rows)))
+    if operator is recompression:
+        got = sorted((r.doc_id, r.n_words, r.n_removed) for r in recompression.digest(docs).collect())
+    else:
+        kept = suffix_dedup.without_repeats(docs.withColumn("old", docs.text)).collect()
+        got = sorted((r.doc_id, len(split(r.old)), len(split(r.old)) - len(split(r.text))) for r in kept)
+    assert got == want
+
+
 def test_range_min():
     rng = np.random.default_rng(1)
     v = rng.integers(0, 1000, 300).astype(np.uint64)

@@ -10,7 +10,7 @@ places that equal windows must have in common:
 2. Exact copies are settled by that hash alone: all but the smallest id are covered whole.
 3. The operator says which names occur in two or more of the other documents. Only these runs go on.
 4. A run whose whole segment (the words of all its windows) is also in a smaller document is settled by the
-   segment's hash. For each segment one run, the smallest document's, goes on if its name has other segments.
+   segment's hash. Of each segment all the smallest document's runs go on if its name has other segments.
 5. ``covered`` reads the texts of these runs again and names every window of theirs by a 128-bit hash of
    its words, which verifies a match. The smallest id of each is taken with map-side partial results, so a
    passage in a third of all documents is no single task's work.
@@ -135,13 +135,20 @@ def covered(docs: DataFrame, placed: DataFrame, shared: DataFrame, size: int) ->
     whole = copies.select("doc_id", "seq", "first_id", F.lit(WHOLE).alias("first"), F.lit(1).alias("n"))
 
     shared = stored(shared, "shared_runs")
+    # The first and the last run of the smallest document, which differ if it holds the segment again.
     least = F.min(F.struct("doc_id", "seq", "first", "n")).alias("least")
-    segments = stored(shared.groupBy("key", "segment").agg(least, F.max("doc_id").alias("last_id")), "segments")
+    last = F.min(F.struct("doc_id", F.bitwise_not("seq").alias("seq"), F.bitwise_not("first").alias("first"))).alias("last")
+    segments = shared.groupBy("key", "segment").agg(least, last, F.max("doc_id").alias("last_id"))
+    twice = (F.bitwise_not("last.seq") != F.col("least.seq")) | (F.bitwise_not("last.first") != F.col("least.first"))
+    segments = stored(segments.withColumn("twice", twice).drop("last"), "segments")
     again = segments.filter(F.col("least.doc_id") < F.col("last_id")).select("key", "segment", F.col("least.doc_id").alias("first_id"))
     settled = shared.join(again, ["key", "segment"]).filter("first_id < doc_id").select("doc_id", "seq", "first_id", "first", "n")
 
     several = segments.groupBy("key").agg(F.min("segment").alias("a"), F.max("segment").alias("b")).filter("a < b")
-    open_runs = segments.join(several.select("key"), "key").select("least.*")
+    opened = segments.join(several.select("key"), "key")
+    twice = stored(opened.filter("twice").select("key", "segment", F.col("least.doc_id").alias("first_id")), "twice")
+    again = shared.join(twice, ["key", "segment"]).filter("first_id = doc_id").select("doc_id", "seq", "first", "n")
+    open_runs = opened.filter("not twice").select("least.*").unionByName(again)
     runs = open_runs.groupBy("doc_id").agg(F.collect_set(F.struct("seq", "first", "n")).alias("runs"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(runs, "doc_id")
     found = stored(texts.mapInArrow(_windows(size), "w1 long, w2 long, doc_id long, seq long, start int"), "windows")
