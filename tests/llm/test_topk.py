@@ -42,6 +42,20 @@ def test_nearest(spark, rows, monkeypatch, k, tile, fan):
     assert got == expected([r for r in rows if r[0] not in (5000, 5010)], k)
 
 
+@pytest.mark.parametrize("n", [11, 12, 40])
+def test_own_row_takes_no_place_in_a_small_tile(spark, n):
+    rng = random.Random(n)
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(8)]) for i in range(n)]
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+        got = sorted(tuple(r) for r in topk.nearest(df, F.col("vec_id") % 10 == 0, 10).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    assert got == expected(rows, 10)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.nearest(df, F.col("vec_id") % 10 == 0).count() == 0

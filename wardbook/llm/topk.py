@@ -70,7 +70,8 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
             keep = (rank == 0) | ((rank == 1) & (equal <= k - (rank == 0).sum(axis=1)[:, None]))
             column = np.nonzero(keep)[1].reshape(len(scores), k)
             ids, scores = np.take_along_axis(ids, column, 1), np.take_along_axis(scores, column, 1)
-    order = np.lexsort((ids, -scores), axis=1)[:, :k]
+    # Not -scores: the least number, which marks a query's own row, is its own negative.
+    order = np.lexsort((ids, ~scores), axis=1)[:, :k]
     return np.take_along_axis(ids, order, 1), np.take_along_axis(scores, order, 1)
 
 
