@@ -105,3 +105,22 @@ def test_without_rows(spark):
     assert quality_rules.judged(docs).count() == 0 and quality_rules.kept(docs).count() == 0
     docs = spark.createDataFrame([(1, None)], "doc_id long, text string")
     assert [tuple(r)[:8] for r in quality_rules.judged(docs).collect()] == [(1, 0, 0, 0, 0, 0, True, False)]
+
+
+def test_common_words_do_not_depend_on_partitions(spark):
+    """64 words just over the 65th, of which most tasks see few: all counts are whole."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(40):
+        # Each word of the 64 fills documents of few tasks, and is rare among the many words of the others.
+        w = [f"c{k}" for k in range(64) for _ in range((30 + k if k % 40 == i else 0) + (rng.random() < 0.2))]
+        w += [f"r{i}_{j}" for j in range(1500)]
+        rng.shuffle(w)
+        rows.append((i, "en", " ".join(w)))
+    rows += [(100 + i, "en", " ".join(f"c{k}" for k in range(64) for _ in range(2)) + f" z{i}" * 3) for i in range(3)]
+    want = sorted(expected(rows, Limits()))
+    for n in (1, 43):
+        docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, n), "doc_id long, lang string, text string")
+        got = sorted(tuple(r) for r in quality_rules.judged(docs).collect())
+        assert [r[7] for r in got] == [r[7] for r in want]
+        assert [r[8:] for r in got] == [pytest.approx(r[8:], abs=1e-6) for r in want]

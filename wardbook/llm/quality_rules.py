@@ -31,10 +31,10 @@ _SKIPPED = 9  # the later bytes of a character
 _CLASS[128:192] = _SKIPPED
 
 REPEAT_WINDOW = 8
-# A language needs this share of the documents, so there are at most 100 references; a word needs this share
-# of a task's words to be counted, so a task reports at most 1000 a language, and a common word's count may
-# be short by that share.
-LANGUAGE_SHARE, WORD_SHARE, COMMON_WORDS = 0.01, 0.001, 64
+# A language needs this share of the documents, so there are at most 100 references.
+LANGUAGE_SHARE, COMMON_WORDS = 0.01, 64
+# A task reports its counts when it holds so many distinct words, and at its end.
+HELD_WORDS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -72,8 +72,22 @@ def _lower(t: S.Texts) -> S.Words:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per language of a task: rows (lang, kind, key, n) of documents, characters by class and words."""
+    """Partial counts of a task: rows (lang, kind, key, n) of documents, characters by class and words."""
     classes, docs, words = {}, {}, {}
+
+    def rows(name: str, kind: str, key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(key), 1 << 16):
+            k, c = key[at : at + (1 << 16)], n[at : at + (1 << 16)]
+            cols = [pa.array([name] * len(k)), pa.array([kind] * len(k)), pa.array(k, pa.int64()), pa.array(c, pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["lang", "kind", "key", "n"])
+
+    def reported() -> Iterator[pa.RecordBatch]:
+        for name in words:
+            hashes, n = _summed(words[name])
+            yield from rows(name, "word", hashes.view(np.int64), n)
+            yield from rows(name, "words", np.zeros(1, np.int64), n.sum(keepdims=True))
+        words.clear()
+
     for t in S.texts(batches):
         lang = t.rows.column(t.rows.schema.get_field_index("lang")).to_numpy(zero_copy_only=False)
         names, which = np.unique(lang.astype(str), return_inverse=True)
@@ -86,13 +100,12 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words.setdefault(name, []).append(np.unique(w.hash[word_lang == i], return_counts=True))
             if len(words[name]) >= 16:
                 words[name] = [_summed(words[name])]
+        if sum(len(h) for parts in words.values() for h, _ in parts) > HELD_WORDS:
+            yield from reported()
+    yield from reported()
     for name in docs:
-        hashes, n = _summed(words[name])
-        own = n >= max(1, WORD_SHARE * n.sum())
-        key = np.concatenate([[0, 0], np.arange(len(CLASSES)), hashes[own].view(np.int64)])
-        kind = ["docs", "words", *["class"] * len(CLASSES), *["word"] * int(own.sum())]
-        count = np.concatenate([[docs[name], n.sum()], classes[name][: len(CLASSES)], n[own]])
-        yield pa.RecordBatch.from_arrays([pa.array([name] * len(kind)), pa.array(kind), pa.array(key, pa.int64()), pa.array(count, pa.int64())], names=["lang", "kind", "key", "n"])
+        yield from rows(name, "class", np.arange(len(CLASSES)), classes[name][: len(CLASSES)])
+        yield from rows(name, "docs", np.zeros(1, np.int64), np.array([docs[name]]))
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
