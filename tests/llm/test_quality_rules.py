@@ -124,3 +124,29 @@ def test_common_words_do_not_depend_on_partitions(spark):
         got = sorted(tuple(r) for r in quality_rules.judged(docs).collect())
         assert [r[7] for r in got] == [r[7] for r in want]
         assert [r[8:] for r in got] == [pytest.approx(r[8:], abs=1e-6) for r in want]
+
+
+def _language(rng, letters, n_docs):
+    """Clean texts of a language's own common words, over half of all."""
+    common, rare = (["".join(rng.choice(letters) for _ in range(k)) for _ in range(m)] for k, m in ((3, 30), (7, 400)))
+    return [" ".join(rng.choice(common if rng.random() < 0.6 else rare) for _ in range(200)) for _ in range(n_docs)]
+
+
+def test_small_languages_have_their_own_references(spark):
+    rng = random.Random(6)
+    latin, cyrillic = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхц"
+    rows = [(i, "en", x) for i, x in enumerate(_language(rng, latin, 1000))]
+    rows += [(2000 + i, "ru", x) for i, x in enumerate(_language(rng, cyrillic, 8))]
+    rows += [(3000, "uk", _language(rng, cyrillic, 1)[0])]  # too little for a reference
+    odd = " ".join(f"{rng.randrange(10**6)}$$" for _ in range(200))
+    rows += [(4000, "en", odd), (4001, "ru", odd + " 1")]
+    got = {r.doc_id: r.kept for r in quality_rules.judged(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
+    assert [i for i, kept in got.items() if not kept] == [4000, 4001]
+
+
+def test_many_languages_without_a_large_one(spark):
+    rng = random.Random(7)
+    rows = [(100 * k + i, f"l{k}", x) for k in range(110) for i, x in enumerate(_language(rng, "abcdefghijklmnopqrstuvwxyz", 30))]
+    rows += [(100 * k + 50, f"l{k}", " ".join(f"{rng.randrange(10**6)}$$" for _ in range(200))) for k in (3, 60)]
+    got = {r.doc_id: r.kept for r in quality_rules.judged(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
+    assert sorted(i for i, kept in got.items() if not kept) == [350, 6050]

@@ -1,9 +1,9 @@
 """Quality rules by distribution divergence.
 
 A language's reference is the histogram of character classes and of its common words over all its documents.
-A document is compared with the nearest reference by the Jensen-Shannon distance (square root of the
-divergence in bits) of both histograms. Short documents, whose histograms say little, are guarded by minimum
-lengths. Plain counts (words, symbols, repeated lines and words) stand beside the verdict.
+A document is compared with the nearest of its own language's reference and the widespread languages' by the
+Jensen-Shannon distance (square root of the divergence in bits) of both histograms. Short documents and small
+languages, whose histograms say little, are guarded by minimum lengths. Plain counts (words, symbols, repeated lines and words) stand beside the verdict.
 """
 
 from collections.abc import Iterator
@@ -11,11 +11,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardbook.llm import spans as S
+from wardbook.llm.scratch import stored
 
 # The classes of a text's characters, by their first byte.
 CLASSES = ["lower", "upper", "digit", "space", "stop", "sign", "symbol", "beyond_ascii", "control"]
@@ -31,8 +32,11 @@ _SKIPPED = 9  # the later bytes of a character
 _CLASS[128:192] = _SKIPPED
 
 REPEAT_WINDOW = 8
-# A language needs this share of the documents, so there are at most 100 references.
+# A language with this share of the documents is a reference for all documents (there are at most 100 such), any
+# other for its own.
 LANGUAGE_SHARE, COMMON_WORDS = 0.01, 64
+# The documents of a language with fewer characters or words in all are not judged by that histogram.
+REFERENCE_CHARS, REFERENCE_WORDS = 4000, 1000
 # A task reports its counts when it holds so many distinct words, and at its end.
 HELD_WORDS = 1 << 20
 
@@ -51,6 +55,17 @@ class Limits:
 class References:
     classes: np.ndarray  # a row each, shares
     words: list[tuple[np.ndarray, np.ndarray]]  # sorted hashes of common words, shares with the rest last
+    names: np.ndarray  # of the languages, sorted
+    shared: np.ndarray  # a reference for all documents, or for its own language's
+    n_chars: np.ndarray
+    n_words: np.ndarray
+
+    def numbers(self, lang: np.ndarray) -> np.ndarray:
+        """Each language's place here, or -1."""
+        if not len(self.names):
+            return np.full(len(lang), -1)
+        at = np.minimum(np.searchsorted(self.names, lang), len(self.names) - 1)
+        return np.where(self.names[at] == lang, at, -1)
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -113,27 +128,38 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return hashes, np.bincount(at, np.concatenate([n for _, n in parts]), len(hashes)).astype(np.int64)
 
 
+def _lang(docs: DataFrame) -> Column:
+    """Null is a language of its own."""
+    return (F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")).alias("lang")
+
+
 def references(docs: DataFrame) -> References:
-    """From all of ``docs`` (``text``, and ``lang`` if there is one; null is a language of its own)."""
-    lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
-    own = docs.select(lang.alias("lang"), "text").filter("text is not null")
+    """From all of ``docs`` (``text``, and ``lang`` if there is one), but of languages too small to be judged."""
+    own = docs.select(_lang(docs), "text").filter("text is not null")
     counts = own.mapInArrow(_counts, "lang string, kind string, key long, n long")
     counts = counts.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
-    # At most so many rows for each language, and at most 100 languages.
     place = F.row_number().over(W.partitionBy("lang", "kind").orderBy(F.desc("n"), "key"))
-    best = counts.withColumn("place", place).filter(F.col("place") <= COMMON_WORDS)
+    best = stored(counts.withColumn("place", place).filter(F.col("place") <= COMMON_WORDS).drop("place"), "histograms")
+    of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
+    sizes = best.groupBy("lang").agg(of("docs").alias("docs"), of("class").alias("n_chars"), of("words").alias("n_words"))
     total = best.filter("kind = 'docs'").agg(F.sum("n").alias("all"))
-    common = best.filter("kind = 'docs'").join(F.broadcast(total), F.col("n") >= LANGUAGE_SHARE * F.col("all")).select("lang")
-    rows = best.join(common, "lang").orderBy("lang", "kind", "key").collect()
-    classes, words = [], []
-    for name in dict.fromkeys(r.lang for r in rows):
-        found = {kind: {r.key: r.n for r in rows if r.lang == name and r.kind == kind} for kind in ("class", "word", "words")}
-        classes.append([found["class"].get(k, 0) for k in range(len(CLASSES))])
-        hashes = np.array(sorted(k % 2**64 for k in found["word"]), np.uint64)
-        n = np.array([found["word"][int(h) - 2**64 if h >= 2**63 else int(h)] for h in hashes], float)
-        all_words = max(1, found["words"].get(0, 1))
-        words.append((hashes, np.append(n, max(0, all_words - n.sum())) / all_words))
-    return References(_shares(np.array(classes, float).reshape(-1, len(CLASSES))), words)
+    sizes = sizes.crossJoin(F.broadcast(total)).withColumn("shared", F.col("docs") >= LANGUAGE_SHARE * F.col("all"))
+    sizes = sizes.filter(F.col("shared") | (F.col("n_chars") >= REFERENCE_CHARS) | (F.col("n_words") >= REFERENCE_WORDS))
+    # At most 74 rows for each of these languages.
+    rows = best.join(sizes.select("lang", "shared", "n_chars", "n_words"), "lang").toArrow()
+    lang, kind, key, n, shared, n_chars, n_words = (rows[c].to_numpy() for c in ("lang", "kind", "key", "n", "shared", "n_chars", "n_words"))
+    names, at, which = np.unique(lang.astype(str), return_index=True, return_inverse=True)
+    classes, words = np.zeros((len(names), len(CLASSES))), []
+    own = kind == "class"
+    classes[which[own], key[own]] = n[own]
+    own = np.flatnonzero(kind == "word")
+    own = own[np.lexsort((key[own].view(np.uint64), which[own]))]
+    ends = np.searchsorted(which[own], np.arange(len(names) + 1))
+    for i in range(len(names)):
+        some = own[ends[i] : ends[i + 1]]
+        all_words = max(1, n_words[at[i]])
+        words.append((key[some].view(np.uint64), np.append(n[some], max(0, all_words - n[some].sum())) / all_words))
+    return References(_shares(classes), words, names, shared[at].astype(bool), n_chars[at], n_words[at])
 
 
 def _repeat_words(w: S.Words) -> np.ndarray:
@@ -167,19 +193,28 @@ def _dup_lines(t: S.Texts, w: S.Words) -> np.ndarray:
     return np.bincount(doc[order][1:][equal], minlength=len(t))
 
 
-def distances(t: S.Texts, refs: References) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each document's distance from the nearest reference, by classes and by words, and its characters."""
+def _word_distance(w: S.Words, rows: np.ndarray, ref: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    hashes, shares = ref
+    n = w.counts[rows]
+    own = w.hash[S.ranges(w.first[rows], n)]
+    at = np.minimum(np.searchsorted(hashes, own), max(0, len(hashes) - 1))
+    bins = np.where(hashes[at] == own, at, len(hashes)) if len(hashes) else np.zeros(len(own), np.int64)
+    bins = bins + np.repeat(np.arange(len(rows)) * len(shares), n)
+    return js_distance(_shares(np.bincount(bins, minlength=len(rows) * len(shares)).reshape(len(rows), -1)), shares[None])
+
+
+def distances(t: S.Texts, refs: References, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each document's distance from the nearest reference, by classes and by words, and its characters.
+    ``own`` has the places of their languages' references."""
     counts = S.histogram(t, _CLASS[t.data], len(CLASSES) + 1)[:, : len(CLASSES)]
-    w = _lower(t)
-    if not len(refs.classes):
-        return np.zeros(len(t)), np.zeros(len(t)), counts.sum(axis=1)
-    by_class = js_distance(_shares(counts)[:, None, :], refs.classes[None])
-    by_word = np.empty((len(t), len(refs.words)))
-    for i, (hashes, shares) in enumerate(refs.words):
-        at = np.minimum(np.searchsorted(hashes, w.hash), max(0, len(hashes) - 1))
-        bins = np.where(hashes[at] == w.hash, at, len(hashes)) if len(hashes) else np.zeros(len(w), np.int64)
-        by_word[:, i] = js_distance(_shares(S.histogram(t, bins, len(hashes) + 1, w.first)), shares[None])
-    return by_class.min(axis=1), by_word.min(axis=1), counts.sum(axis=1)
+    shares, w = _shares(counts), _lower(t)
+    by_class, by_word = np.full((2, len(t)), np.inf)
+    for i in np.union1d(np.flatnonzero(refs.shared), own[own >= 0]):
+        rows = np.arange(len(t)) if refs.shared[i] else np.flatnonzero(own == i)
+        by_class[rows] = np.minimum(by_class[rows], js_distance(shares[rows], refs.classes[i][None]))
+        by_word[rows] = np.minimum(by_word[rows], _word_distance(w, rows, refs.words[i]))
+    none = np.isinf(by_class)
+    return np.where(none, 0, by_class), np.where(none, 0, by_word), counts.sum(axis=1)
 
 
 def _judge(refs, limits: Limits):
@@ -192,10 +227,13 @@ def _judge(refs, limits: Limits):
             symbols = S.segment_sums(_CLASS[t.data] == 6, t.offsets)
             repeats = _repeat_words(w)
             failed = (n < 20) | (100 * repeats > 30 * n)
-            by_class, by_word, chars = distances(t, refs.value)
-            odd = ((chars >= limits.min_chars) & (by_class > limits.class_distance)) | ((n >= limits.min_words) & (by_word > limits.word_distance))
+            own = refs.value.numbers(t.column("lang").astype(str))
+            by_class, by_word, chars = distances(t, refs.value, own)
+            enough_chars, enough_words = (np.append(x, 0)[own] >= least for x, least in ((refs.value.n_chars, REFERENCE_CHARS), (refs.value.n_words, REFERENCE_WORDS)))
+            odd = enough_chars & (chars >= limits.min_chars) & (by_class > limits.class_distance)
+            odd |= enough_words & (n >= limits.min_words) & (by_word > limits.word_distance)
             yield S.with_column(
-                t.rows, n_words=n.astype(np.int64), word_chars=word_chars, n_symbols=symbols, n_dup_lines=_dup_lines(t, w),
+                t.rows, ("text", "lang"), n_words=n.astype(np.int64), word_chars=word_chars, n_symbols=symbols, n_dup_lines=_dup_lines(t, w),
                 n_repeat_words=repeats, base_failed=failed, kept=~failed & ~odd, class_distance=by_class, word_distance=by_word,
             )
 
@@ -210,8 +248,8 @@ _VERDICT = (
 
 def _applied(docs: DataFrame, keep: list, schema: str, limits: Limits) -> DataFrame:
     spark: SparkSession = docs.sparkSession
-    refs = spark.sparkContext.broadcast(references(docs))  # at most 100 languages of 64 words
-    return docs.select(*keep, "text").mapInArrow(_judge(refs, limits), f"{schema}, {_VERDICT}")
+    refs = spark.sparkContext.broadcast(references(docs))  # about 1.2 KB a language
+    return docs.select(*keep, _lang(docs), "text").mapInArrow(_judge(refs, limits), f"{schema}, {_VERDICT}")
 
 
 def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -220,17 +258,18 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     20 words, or over 30 % of them in repeated windows of 8), ``kept`` and the two distances.
 
     Words end at ASCII white space. A null text has no words and fails; equal rows are judged alike; a text
-    under both minimum lengths, or any text where there is no reference, is judged by the counts alone; an
-    empty table gives no rows.
+    under both minimum lengths, or of a language whose texts have too few characters and words for a
+    reference, is judged by the counts alone (with distances of 0 if there is no reference at all); an empty
+    table gives no rows.
     """
     return _applied(docs, [F.col("doc_id").cast("long").alias("doc_id")], "doc_id long", limits)
 
 
 def kept(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of ``docs`` that ``judged`` keeps, with all their columns."""
-    rows = docs.select(F.struct("*").alias("row"), "text")
+    rows = docs.select(F.struct("*").alias("row"), _lang(docs), "text")
     refs = docs.sparkSession.sparkContext.broadcast(references(docs))
-    verdict = rows.limit(0).drop("text").withColumn("kept", F.lit(True)).schema
+    verdict = rows.limit(0).drop("text", "lang").withColumn("kept", F.lit(True)).schema
 
     def run(batches):
         for out in _judge(refs, limits)(batches):
