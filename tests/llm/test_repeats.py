@@ -136,6 +136,29 @@ def test_range_min():
     assert list(repeats.range_min(v, lo, hi)) == [min(v[a : b + 1]) for a, b in zip(lo, hi)]
 
 
+def test_window_names_have_independent_halves(monkeypatch):
+    """Words that the first hash confuses are told apart by the second."""
+    import pyarrow as pa
+
+    words = spans.words
+
+    def confused(*args):
+        w = words(*args)
+        w.hash[:] = 1
+        return w
+
+    monkeypatch.setattr(spans, "words", confused)
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "aab"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": texts})
+    w = confused(next(spans.texts([batch])))
+    seq = spans.word_prefix(w.hash).hash(w.first[:-1], w.first[1:], 1).view(np.int64)
+    batch = batch.append_column("runs", pa.array([[{"seq": s, "first": 0, "n": 11}] for s in seq.tolist()]))
+    out = pa.Table.from_batches(repeats._windows(SIZE)([batch]))
+    w1, w2 = (out[c].to_numpy().reshape(3, 11) for c in ("w1", "w2"))
+    assert len(set(w1.ravel())) == 1
+    assert (w2[0] == w2[1]).all() and len(set(w2.ravel())) == 22
+
+
 def test_spans_hash_by_content():
     import pyarrow as pa
 

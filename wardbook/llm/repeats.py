@@ -11,8 +11,8 @@ places that equal windows must have in common:
 3. The operator says which names occur in two or more of the other documents. Only these runs go on.
 4. A run whose whole segment (the words of all its windows) is also in a smaller document is settled by the
    segment's hash. Of each segment all the smallest document's runs go on if its name has other segments.
-5. ``covered`` reads the texts of these runs again and names every window of theirs by a 128-bit hash of
-   its words, which verifies a match. The smallest id of each is taken with map-side partial results, so a
+5. ``covered`` reads the texts of these runs again and names every window of theirs by two independent
+   64-bit hashes of its words, which verifies a match. The smallest id of each is taken with map-side partial results, so a
    passage in a third of all documents is no single task's work.
 
 Rows without an id take no part. Rows that share an id are told apart by their words.
@@ -34,10 +34,9 @@ _RUN = pa.struct([("key", pa.int64()), ("segment", pa.int64()), ("first", pa.int
 _MARKS = "doc_id long, seq long, seq2 long, n_words long, runs array<struct<key: long, segment: long, first: int, n: int>>"
 
 
-def sequence_hashes(w: S.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of each document's whole word sequence."""
-    p = S.word_prefix(w.hash)
-    return tuple(p.hash(w.first[:-1], w.first[1:], seed).view(np.int64) for seed in (1, 2))
+def sequence_hash(w: S.Words, p: S.Prefix | None = None) -> np.ndarray:
+    """Of each document's whole word sequence."""
+    return (p or S.word_prefix(w.hash)).hash(w.first[:-1], w.first[1:], 1).view(np.int64)
 
 
 def window_starts(w: S.Words, size: int) -> np.ndarray:
@@ -81,7 +80,7 @@ def mark(docs: DataFrame, namer: Namer, size: int) -> DataFrame:
         for t in S.texts(batches):
             w = S.words(t)
             start = window_starts(w, size)
-            seq, seq2 = sequence_hashes(w)
+            seq, seq2 = sequence_hash(w), sequence_hash(w, S.other_word_prefix(t, w))
             cols = [t.rows.column(0), seq, seq2, w.counts.astype(np.int64), _runs(w, start, namer(w, start, size), size)]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names=["doc_id", "seq", "seq2", "n_words", "runs"])
 
@@ -107,7 +106,7 @@ def _windows(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in S.texts(batches):
             w = S.words(t)
-            seq, _ = sequence_hashes(w)
+            seq = sequence_hash(w)
             lists = t.rows.column(t.rows.schema.get_field_index("runs"))
             doc = np.repeat(np.arange(len(t)), lists.value_lengths().to_numpy(zero_copy_only=False))
             flat = lists.flatten()
@@ -116,9 +115,9 @@ def _windows(size: int):
             doc, first, n = doc[ok], first[ok].astype(np.int64), n[ok].astype(np.int64)
             start = S.ranges(first + w.first[doc], n)
             doc = np.repeat(doc, n)
-            p = S.word_prefix(w.hash)
+            p, other = S.word_prefix(w.hash), S.other_word_prefix(t, w)
             ids = t.column("doc_id")[doc] if len(doc) else doc
-            cols = [p.hash(start, start + size, 3).view(np.int64), p.hash(start, start + size, 4).view(np.int64), ids.astype(np.int64), seq[doc], (start - w.first[doc]).astype(np.int32)]
+            cols = [p.hash(start, start + size, 3).view(np.int64), other.hash(start, start + size, 3).view(np.int64), ids.astype(np.int64), seq[doc], (start - w.first[doc]).astype(np.int32)]
             for at in range(0, len(start), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)]) for c in cols], names=["w1", "w2", "doc_id", "seq", "start"])
 
@@ -174,7 +173,7 @@ def cover_mask(w: S.Words, t: S.Texts, size: int) -> tuple[np.ndarray, np.ndarra
     lists = t.rows.column(t.rows.schema.get_field_index("spans"))
     if lists.null_count == len(lists):
         return out, owner
-    seq, _ = sequence_hashes(w)
+    seq = sequence_hash(w)
     doc = np.repeat(np.arange(len(t)), np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(int))
     flat = lists.flatten()
     own, first_id, ranges = flat.field("seq").to_numpy(), flat.field("first_id").to_numpy(), flat.field("ranges")

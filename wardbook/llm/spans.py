@@ -17,12 +17,13 @@ U64 = np.uint64
 # The odd multipliers of the hashes below.
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD1342543DE82EF95
+_OTHER_BYTE_BASE, _OTHER_WORD_BASE = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
 _MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
 
 # ASCII white space: the six bytes that end a word.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BYTE_VALUE = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
+_BYTE_VALUE, _OTHER_BYTE_VALUE = (np.random.Generator(np.random.PCG64(s)).integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1) for s in (7, 8))
 
 
 class _Powers:
@@ -43,6 +44,7 @@ class _Powers:
 
 
 _BYTE_POWERS, _WORD_POWERS = _Powers(_BYTE_BASE), _Powers(_WORD_BASE)
+_OTHER_BYTE_POWERS, _OTHER_WORD_POWERS = _Powers(_OTHER_BYTE_BASE), _Powers(_OTHER_WORD_BASE)
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -173,6 +175,13 @@ def windows(w: Words, size: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]
     return start, word_prefix(w.hash).hash(start, start + size, seed)
 
 
+def other_word_prefix(docs: Texts, w: Words) -> Prefix:
+    """For hashes independent of ``word_prefix``'s: other bytes' values and bases, of bytes and of words. (The
+    same hash under two seeds is one hash: equal under one seed, it is equal under both.)"""
+    hashes = Prefix(_OTHER_BYTE_VALUE[docs.data], _OTHER_BYTE_POWERS).hash(w.start, w.end)
+    return Prefix(hashes, _OTHER_WORD_POWERS)
+
+
 def segment_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of ``values`` between consecutive positions of ``first``."""
     sums = np.zeros(len(values) + 1, np.int64)
