@@ -177,12 +177,13 @@ def pre_tokens(t: S.Texts, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarr
 
 
 class Memory:
-    """A table of fixed size from pre-token hashes to values; a later one replaces an earlier one in its place.
+    """A table of fixed size from pre-tokens to values; a later one replaces an earlier one in its place.
 
-    ``value_of`` gives a pre-token's value, a list of numbers.
+    Places are found by 64-bit hashes; bytes are compared before a remembered value is taken. ``value_of`` gives
+    a pre-token's value, a list of numbers. What is remembered is dropped beyond ``store`` numbers or bytes.
     """
 
-    def __init__(self, value_of: Callable[[bytes], list[int]], places: int = 1 << 20, store: int = 1 << 22):
+    def __init__(self, value_of: Callable[[bytes], list[int]], places: int = 1 << 17, store: int = 1 << 21):
         self.value_of, self.mask, self.limit = value_of, np.uint64(places - 1), store
         self.clear(places)
 
@@ -190,6 +191,9 @@ class Memory:
         self.hash = np.zeros(places, np.uint64)
         self.at, self.length = np.zeros(places, np.int64), np.zeros(places, np.int32)
         self.values, self.used = np.zeros(1 << 16, np.int32), 0
+        # The remembered pre-tokens themselves.
+        self.key_at, self.key_length = np.zeros(places, np.int64), np.full(places, -1)
+        self.keys, self.keys_used = np.zeros(1 << 16, np.uint8), 0
 
     def _add(self, lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         length = np.fromiter(map(len, lists), np.int32, len(lists))
@@ -201,28 +205,46 @@ class Memory:
         self.used += len(flat)
         return at, length
 
-    def look_up(self, hashes: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _add_keys(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        flat = data[S.ranges(start, length)]
+        while self.keys_used + len(flat) > len(self.keys):
+            self.keys = np.append(self.keys, np.zeros(len(self.keys), np.uint8))
+        at = self.keys_used + np.cumsum(length) - length
+        self.keys[self.keys_used : self.keys_used + len(flat)] = flat
+        self.keys_used += len(flat)
+        return at
+
+    def look_up(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place in ``values`` and length of each pre-token's value; valid until the next call."""
-        if self.used > self.limit:
+        if self.used > self.limit or self.keys_used > 2 * self.limit:
             self.clear(len(self.hash))
-        place = (hashes & self.mask).astype(np.int64)
+        place, size = (hashes & self.mask).astype(np.int64), end - start
         at, length = self.at[place], self.length[place]
-        missing = np.flatnonzero(self.hash[place] != hashes)
+        known = (self.hash[place] == hashes) & (self.key_length[place] == size)
+        hit = np.flatnonzero(known)
+        known[hit] = S.same_bytes(self.keys, self.key_at[place[hit]], data, start[hit], size[hit])
+        missing = np.flatnonzero(~known)
         if len(missing):
-            new, one, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
-            one = missing[one]
-            new_at, new_length = self._add([self.value_of(raw[a:b]) for a, b in zip(start[one].tolist(), end[one].tolist())])
+            _, one, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            own = missing[one][back]
+            alike = size[own] == size[missing]
+            alike[alike] = S.same_bytes(data, start[own[alike]], data, start[missing[alike]], size[missing[alike]])
+            # Pre-tokens of one hash and other bytes stand for themselves.
+            one, odd = missing[one], missing[~alike]
+            made = np.append(one, odd)
+            new_at, new_length = self._add([self.value_of(data[a:b].tobytes()) for a, b in zip(start[made].tolist(), end[made].tolist())])
             at[missing], length[missing] = new_at[back], new_length[back]
-            place = (new & self.mask).astype(np.int64)
-            self.hash[place], self.at[place], self.length[place] = new, new_at, new_length
+            at[odd], length[odd] = new_at[len(one) :], new_length[len(one) :]
+            place, n = place[one], len(one)
+            self.hash[place], self.at[place], self.length[place] = hashes[one], new_at[:n], new_length[:n]
+            self.key_at[place], self.key_length[place] = self._add_keys(data, start[one], size[one]), size[one]
         return at, length
 
 
 def values_of(t: S.Texts, vocabulary: Vocabulary, memory: Memory, special_value: Callable[[int], int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places and lengths in ``memory.values`` of all pre-tokens, and where each document's start."""
     start, end, fixed = pre_tokens(t, vocabulary)
-    hashes = S.byte_prefix(t.data).hash(start, end, 61)
-    at, length = memory.look_up(hashes, t.data.tobytes(), start, end)
+    at, length = memory.look_up(S.span_hash(t.data, start, end, 61), t.data, start, end)
     special = np.flatnonzero(fixed >= 0)
     if len(special):
         new_at, new_length = memory._add([[special_value(int(i))] for i in fixed[special]])

@@ -179,7 +179,7 @@ def _encode(t: S.Texts, path: str) -> tuple[np.ndarray, np.ndarray]:
         starts[start] = True
         start = np.flatnonzero(starts)
     end = np.append(start[1:], len(data))[: len(start)]
-    at, length = memory.look_up(S.byte_prefix(data).hash(start, end, 71), data.tobytes(), start, end)
+    at, length = memory.look_up(S.span_hash(data, start, end, 71), data, start, end)
     ends = np.append(0, np.cumsum(length))
     return memory.values[S.ranges(at, length.astype(np.int64))], ends[np.searchsorted(start, offsets)]
 

@@ -187,7 +187,7 @@ def _dup_lines(t: S.Texts, w: S.Words) -> np.ndarray:
     has_word = np.searchsorted(w.start, start) < np.searchsorted(w.start, end)
     start, end = start[has_word], end[has_word]
     doc = np.searchsorted(t.offsets, start, "right") - 1
-    hashes = S.byte_prefix(t.data).hash(start, end, 43)
+    hashes = S.span_hash(t.data, start, end, 43)
     order = np.lexsort((hashes, doc))
     equal = (doc[order][1:] == doc[order][:-1]) & (hashes[order][1:] == hashes[order][:-1])
     return np.bincount(doc[order][1:][equal], minlength=len(t))

@@ -5,6 +5,7 @@ on as a whole, without a Python object per document or word. Memory is bounded b
 per step (or by one document, if that is longer) and by ``MAX_ROWS`` documents.
 """
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,70 +13,112 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_BYTES, MAX_ROWS = 1 << 20, 1 << 10
+MAX_BYTES, MAX_ROWS = 1 << 18, 1 << 10
 U64 = np.uint64
-# The odd multipliers of the hashes below.
-_BYTE_BASE = 0x9E3779B97F4A7C15
-_WORD_BASE = 0xD1342543DE82EF95
-_OTHER_BYTE_BASE, _OTHER_WORD_BASE = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
+# The multipliers of the mixer, and the bases of the two polynomials over words.
 _MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
+_SEED_STEP = 0x9E3779B97F4A7C15
+_WORD_BASE, _OTHER_WORD_BASE = 0x11342543DE82EF95, 0x07037ED1A0B428DB
+# Bytes from which a span is hashed on its own.
+_LONG_SPAN = 512
+# The polynomials are taken modulo this Mersenne prime. (Modulo 2**64 they collide on Thue-Morse sequences
+# whatever the base.)
+PRIME = (1 << 61) - 1
+_P, _LOW31, _LOW30 = U64(PRIME), U64((1 << 31) - 1), U64((1 << 30) - 1)
 
 # ASCII white space: the six bytes that end a word.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BYTE_VALUE, _OTHER_BYTE_VALUE = (np.random.Generator(np.random.PCG64(s)).integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1) for s in (7, 8))
+
+
+def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit finaliser: every input bit reaches every output bit."""
+    x = x ^ U64((seed * _SEED_STEP) & (2**64 - 1))
+    for m in _MIX:
+        x = (x ^ (x >> U64(33))) * U64(m)
+    return x ^ (x >> U64(33))
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> U64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of numbers below it, by halves of 30 and 31 bits."""
+    a1, a0, b1, b0 = a >> U64(31), a & _LOW31, b >> U64(31), b & _LOW31
+    middle = a1 * b0 + a0 * b1
+    return _reduced(((a1 * b1) << U64(1)) + (middle >> U64(30)) + ((middle & _LOW30) << U64(31)) + a0 * b0)
+
+
+def _sums(values: np.ndarray) -> np.ndarray:
+    """Running sums modulo the prime, from 0."""
+    high, low = (np.zeros(len(values) + 1, np.uint64) for _ in range(2))
+    np.cumsum(values >> U64(31), out=high[1:])
+    np.cumsum(values & _LOW31, out=low[1:])
+    return _reduced(_reduced(low) + (high >> U64(30)) + ((high & _LOW30) << U64(31)))
 
 
 class _Powers:
-    """Powers of a base modulo 2**64 and of its inverse, grown as needed."""
+    """Powers of a base modulo the prime and of its inverse, grown as needed."""
 
     def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, np.uint64)
+        self.next = [base, pow(base, -1, PRIME)]
+        self.tables = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
-            self.up, self.down = (np.full(size, b, np.uint64) for b in (self.base, self.inverse))
-            self.up[0] = self.down[0] = 1
-            np.cumprod(self.up, out=self.up)
-            np.cumprod(self.down, out=self.down)
-        return self.up[:n], self.down[:n]
-
-
-_BYTE_POWERS, _WORD_POWERS = _Powers(_BYTE_BASE), _Powers(_WORD_BASE)
-_OTHER_BYTE_POWERS, _OTHER_WORD_POWERS = _Powers(_OTHER_BYTE_BASE), _Powers(_OTHER_WORD_BASE)
+        while len(self.tables[0]) < n:
+            for k in (0, 1):
+                self.tables[k] = np.append(self.tables[k], _times(self.tables[k], U64(self.next[k])))
+                self.next[k] = self.next[k] ** 2 % PRIME
+        return self.tables[0][:n], self.tables[1][:n]
 
 
-def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A 64-bit finaliser: every input bit reaches every output bit."""
-    x = x ^ U64((seed * _BYTE_BASE) & (2**64 - 1))
-    for m in _MIX:
-        x = (x ^ (x >> U64(33))) * U64(m)
-    return x ^ (x >> U64(33))
+_WORD_POWERS, _OTHER_WORD_POWERS = _Powers(_WORD_BASE), _Powers(_OTHER_WORD_BASE)
 
 
 class Prefix:
-    """Hashes of any span of a sequence, from one running sum."""
+    """Hashes of any span of a sequence of 64-bit values, from one running sum."""
 
     def __init__(self, values: np.ndarray, powers: _Powers):
         up, self.down = powers.upto(len(values) + 1)
-        self.sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * up[: len(values)], out=self.sums[1:])
+        self.sums = _sums(_times(_reduced(values), up[: len(values)]))
 
     def hash(self, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
-        raw = (self.sums[end] - self.sums[start]) * self.down[start]
-        return mix(raw + (np.asarray(end) - start).astype(np.uint64) * U64(_MIX[0]), seed)
-
-
-def byte_prefix(data: np.ndarray) -> Prefix:
-    return Prefix(_BYTE_VALUE[data], _BYTE_POWERS)
+        raw = _times(_reduced(self.sums[end] + (_P - self.sums[start])), self.down[start])
+        return mix(raw + mix((np.asarray(end) - start).astype(np.uint64)), seed)
 
 
 def word_prefix(hashes: np.ndarray) -> Prefix:
     return Prefix(hashes, _WORD_POWERS)
 
 
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of byte spans, eight bytes mixed in at a time. Two seeds give independent hashes."""
+    length = (end - start).astype(np.int64)
+    out = mix(length.astype(np.uint64), seed)
+    if not len(data):
+        return out
+    blocks = np.ndarray((len(data),), np.uint64, np.append(data, np.zeros(8, np.uint8)), strides=(1,))
+    rows = np.flatnonzero((length > 0) & (length <= _LONG_SPAN))
+    at, left = start[rows], length[rows]
+    while len(rows):
+        block = blocks[at] & np.where(left >= 8, U64(2**64 - 1), (U64(1) << (U64(8) * np.minimum(left, 7).astype(np.uint64))) - U64(1))
+        out[rows] = mix(out[rows] ^ block, seed + 1)
+        more = left > 8
+        rows, at, left = rows[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(length > _LONG_SPAN):
+        digest = hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little"))
+        out[i] = int.from_bytes(digest.digest(), "little")
+    return out
+
+
+def same_bytes(a: np.ndarray, a_start: np.ndarray, b: np.ndarray, b_start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether spans of one length hold the same bytes, pair by pair."""
+    equal = a[ranges(a_start, length)] == b[ranges(b_start, length)]
+    return segment_sums(equal, np.append(0, np.cumsum(length))) == length
+
+
 @dataclass
 class Texts:
     """Some documents: their rows of the batch, their bytes end to end, and where each starts."""
@@ -165,7 +208,7 @@ def words(docs: Texts, data: np.ndarray | None = None) -> Words:
     """Runs of bytes other than ASCII white space. ``data`` may be a rewritten copy, as in lower case."""
     data = docs.data if data is None else data
     start, end = edges(~_SPACE[data], docs.offsets)
-    return Words(start, end, byte_prefix(data).hash(start, end), np.searchsorted(start, docs.offsets))
+    return Words(start, end, span_hash(data, start, end), np.searchsorted(start, docs.offsets))
 
 
 def windows(w: Words, size: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -176,10 +219,9 @@ def windows(w: Words, size: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]
 
 
 def other_word_prefix(docs: Texts, w: Words) -> Prefix:
-    """For hashes independent of ``word_prefix``'s: other bytes' values and bases, of bytes and of words. (The
+    """For hashes independent of ``word_prefix``'s: another hash of the words' bytes and another base. (The
     same hash under two seeds is one hash: equal under one seed, it is equal under both.)"""
-    hashes = Prefix(_OTHER_BYTE_VALUE[docs.data], _OTHER_BYTE_POWERS).hash(w.start, w.end)
-    return Prefix(hashes, _OTHER_WORD_POWERS)
+    return Prefix(span_hash(docs.data, w.start, w.end, 1001), _OTHER_WORD_POWERS)
 
 
 def segment_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
