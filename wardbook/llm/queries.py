@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import knn_quality, ngram_join, packing, pieces, quality_rules, recompression, suffix_dedup, token_counts, topk, url_filter
+from wardbook.llm import knn_quality, ngram_join, packing, periodic, pieces, quality_rules, recompression, suffix_dedup, token_counts, topk, url_filter
 from wardbook.llm.scratch import table
 
 URL_RULES = [
@@ -60,6 +60,25 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The contract's texts: in about a tenth of the documents (by ``h``) the words from the ``a``-th on repeat
+    the first ``p`` of them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    n = F.size(words)
+    a = F.pmod(g, n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+    period = F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))
+    planted = F.concat(F.slice(words, F.lit(1), a), F.slice(F.flatten(period), F.lit(1), n - a))
+    chosen = (F.pmod(h, F.lit(10)) == 0) & (n > 0)
+    return docs.select("doc_id", F.when(chosen, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.with_runs(_with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -72,6 +91,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_url_filter": op10_url_filter,
+        "op11_periodic_runs": op11_periodic_runs,
     }
 
 

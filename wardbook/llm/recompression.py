@@ -124,16 +124,8 @@ def kept_words(docs: DataFrame, size: int = R.WINDOW) -> DataFrame:
             w = S.words(t)
             cover, _ = R.cover_mask(w, t, size)
             keep = np.flatnonzero(~cover)
-            # Each kept word with one byte after it, which becomes the space between.
-            n = w.end[keep] - w.start[keep] + 1
-            data = np.append(t.data, np.uint8(32))[S.ranges(w.start[keep], n)]
-            ends = np.cumsum(n)
-            data[ends - 1] = 32
             kept = S.segment_sums(~cover, w.first)
-            last = np.append(0, ends)[np.cumsum(kept)]
-            begin = np.append(0, last[:-1])
-            raw = data.tobytes()
-            text = [raw[b : max(b, e - 1)].decode() for b, e in zip(begin, last)]
+            text = S.joined_words(t.data, w.start[keep], w.end[keep], np.append(0, np.cumsum(kept)))
             yield pa.RecordBatch.from_arrays(
                 [t.rows.column(0), pa.array(w.counts.astype(np.int64)), pa.array(w.counts - kept, pa.int64()), pa.array(text, pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept_text"],

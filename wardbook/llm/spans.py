@@ -224,6 +224,32 @@ def other_word_prefix(docs: Texts, w: Words) -> Prefix:
     return Prefix(span_hash(docs.data, w.start, w.end, 1001), _OTHER_WORD_POWERS)
 
 
+def joined_words(data: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> list[str]:
+    """The texts of documents whose words, given by byte spans and cut at ``first``, are joined by single spaces."""
+    # Each word with one byte after it, which becomes the space between.
+    n = end - start + 1
+    out = np.append(data, np.uint8(32))[ranges(start, n)]
+    ends = np.cumsum(n)
+    out[ends - 1] = 32
+    until = np.append(0, ends)[first]
+    raw = out.tobytes()
+    return [raw[a : max(a, b - 1)].decode() for a, b in zip(until[:-1].tolist(), until[1:].tolist())]
+
+
+def word_numbers(docs: Texts, w: Words) -> np.ndarray:
+    """A number for each word, the same for equal words only: those of one hash are compared by bytes."""
+    _, one, number = np.unique(w.hash, return_index=True, return_inverse=True)
+    own, size = one[number], w.end - w.start
+    alike = size[own] == size
+    alike[alike] = same_bytes(docs.data, w.start[own[alike]], docs.data, w.start[alike], size[alike])
+    odd = np.flatnonzero(~alike)
+    if len(odd):
+        others = {}
+        for i in odd.tolist():
+            number[i] = others.setdefault(docs.data[w.start[i] : w.end[i]].tobytes(), len(one) + len(others))
+    return number
+
+
 def segment_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of ``values`` between consecutive positions of ``first``."""
     sums = np.zeros(len(values) + 1, np.int64)
