@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import knn_quality, ngram_join, packing, periodic, pieces, quality_rules, recompression, suffix_dedup, token_counts, topk, url_filter
+from wardbook.llm import knn_quality, licenses, ngram_join, packing, periodic, pieces, quality_rules, recompression, suffix_dedup, token_counts, topk, url_filter
 from wardbook.llm.scratch import table
 
 URL_RULES = [
@@ -79,6 +79,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest(periodic.with_runs(_with_planted_runs(table(spark, sf_dir, "documents"))))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scanned(table(spark, sf_dir, "documents")))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -92,6 +96,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_substring_dedup": op9_substring_dedup,
         "op10_url_filter": op10_url_filter,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_license_scan": op12_license_scan,
     }
 
 
