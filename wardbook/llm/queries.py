@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import knn_quality, licenses, ngram_join, packing, periodic, pieces, quality_rules, recompression, suffix_dedup, token_counts, topk, url_filter
+from wardbook.llm import knn_quality, licenses, ngram_join, packing, periodic, pieces, quality_rules, recompression, suffix_dedup, token_counts, topk, url_filter, whitening
 from wardbook.llm.scratch import table
 
 URL_RULES = [
@@ -83,6 +83,10 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scanned(table(spark, sf_dir, "documents")))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -97,6 +101,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_url_filter": op10_url_filter,
         "op11_periodic_runs": op11_periodic_runs,
         "op12_license_scan": op12_license_scan,
+        "op13_embedding_whitening": op13_embedding_whitening,
     }
 
 
