@@ -13,7 +13,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardbook.llm import spans as S
@@ -21,6 +20,8 @@ from wardbook.llm import spans as S
 # Bound of the labelled sample: so many rows of each label, the first by a hash of the id.
 SAMPLE_PER_LABEL = 1500
 DIMENSIONS, NEIGHBOURS, SHARPNESS = 48, 25, 8
+# Cosines count in steps of this fraction.
+STEPS = 1 << 16
 _BYTE_TERMS, _SHAPE_TERMS, _GAPS = 2048, 1024, 8
 TERMS = _BYTE_TERMS + _SHAPE_TERMS + _GAPS
 
@@ -80,9 +81,11 @@ class Model:
         k = min(NEIGHBOURS, len(self.labels))
         for first in range(0, len(full), 256):
             own = full[first : first + 256]
-            cosine = self.vectors_of(counts[own]) @ self.vectors.T
-            near = np.argpartition(cosine, cosine.shape[1] - k, axis=1)[:, -k:]
-            vote = np.maximum(np.take_along_axis(cosine, near, 1), 1e-3).astype(np.float64) ** SHARPNESS
+            # Rounded, so that a block's rounding decides nothing; of equal ones the first of the sample count.
+            cosine = np.rint((self.vectors_of(counts[own]) @ self.vectors.T).astype(np.float64) * STEPS).astype(np.int64)
+            order = cosine * cosine.shape[1] - np.arange(cosine.shape[1])
+            near = np.sort(np.argpartition(order, order.shape[1] - k, axis=1)[:, -k:], axis=1)
+            vote = np.maximum(np.take_along_axis(cosine, near, 1) / STEPS, 1e-3) ** SHARPNESS
             out[own] = (vote * self.labels[near]).sum(axis=1) / vote.sum(axis=1)
         return np.clip(out, 0.0, 1.0)
 
@@ -126,9 +129,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     known = known.filter("doc_id is not null and quality is not null").filter(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.avg("quality").alias("quality"))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    known = known.join(ids, "doc_id", "left_semi").withColumn("good", F.col("quality") >= 0.5)
-    place = F.row_number().over(W.partitionBy("good").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    sample = known.withColumn("place", place).filter(F.col("place") <= SAMPLE_PER_LABEL).select("doc_id", "quality")
+    known = known.join(ids, "doc_id", "left_semi")
+    # Each task's first ones, then the first of those: no task gets all labelled rows.
+    first = lambda rows: rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_LABEL)
+    sample = first(known.filter("quality >= 0.5")).unionByName(first(known.filter("quality < 0.5")))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
     rows = texts.mapInArrow(_terms, "doc_id long, quality double, terms binary").dropDuplicates(["doc_id", "terms"])
     rows = sorted(rows.collect(), key=lambda r: (r.doc_id, bytes(r.terms)))  # bounded by the sample
@@ -136,15 +140,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return fit_arrays(counts, np.array([r.quality for r in rows], float))
 
 
-def scored(docs: DataFrame, labels: DataFrame, keep: list[Column], schema: str) -> DataFrame:
-    """The columns ``keep`` of every document (described by ``schema``) and its ``score``."""
+def scored(docs: DataFrame, labels: DataFrame, columns: list[Column | str], schema: str) -> DataFrame:
+    """Of every document the ``columns``, which hold its text, as ``schema`` has them, and its ``score``."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in S.texts(batches):
             yield S.with_column(t.rows, score=model.value.scores(term_counts(t)).astype(np.float64))
 
-    return docs.select(*keep, "text").mapInArrow(run, schema)
+    return docs.select(*columns).mapInArrow(run, schema)
 
 
 def judged(docs: DataFrame, labels: DataFrame, limit: float = 0.3) -> DataFrame:
@@ -155,7 +159,7 @@ def judged(docs: DataFrame, labels: DataFrame, limit: float = 0.3) -> DataFrame:
     (0.5 without labels). A null id is not held out. Equal texts have equal scores; an empty table gives no
     rows.
     """
-    rows = scored(docs, labels, [F.col("doc_id").cast("long").alias("doc_id")], "doc_id long, score double")
+    rows = scored(docs, labels, [F.col("doc_id").cast("long").alias("doc_id"), "text"], "doc_id long, score double")
     out = F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
     return rows.select("doc_id", out, "score", F.when(F.col("score") >= limit, 1).otherwise(0).cast("int").alias("predicted"))
 
@@ -165,4 +169,4 @@ def kept(docs: DataFrame, labels: DataFrame, limit: float = 0.3) -> DataFrame:
     row = docs.select(F.struct("*").alias("row"))
     schema = row.withColumn("score", F.lit(0.0)).schema
     rows = scored(docs, labels, [F.struct("*").alias("row")], schema).filter(F.col("score") >= limit)
-    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return rows.select("row.*")

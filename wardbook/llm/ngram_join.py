@@ -238,12 +238,11 @@ def _families(sets: DataFrame) -> DataFrame:
     """
     postings = sets.select("set_id", "t", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     lists = postings.groupBy("token").agg(F.count("*").alias("length")).filter("length > 1")
-    found = postings.join(lists, "token").groupBy("set_id", "t", "n")
-    found = found.agg(F.sort_array(F.collect_list(F.struct("length", "token"))).alias("shared"), F.avg("length").alias("weight"))
-    first = F.col("n") - F.col("t") + 1 - (F.col("n") - F.size("shared"))  # tokens in no other list come first
-    found = found.filter(F.size("shared") >= F.col("t")).filter(first > 0)
-    short = found.select("set_id", "weight", F.explode(F.slice("shared", 1, first.cast("int"))).alias("posting"))
-    short = stored(short.select("set_id", "weight", "posting.token"), "short_lists")
+    own = W.partitionBy("set_id")
+    ranked = {"place": F.row_number().over(own.orderBy("length", "token")), "shared": F.count("*").over(own), "weight": F.avg("length").over(own)}
+    found = postings.join(lists, "token").withColumns(ranked).filter("shared >= t")
+    # Tokens in no other list come first.
+    short = stored(found.filter("place <= shared - t + 1").select("set_id", "weight", "token"), "short_lists")
     hubs = short.groupBy("token").agg(F.min("set_id").alias("hub"))
     edges = short.join(hubs, "token").select(F.col("hub").alias("a"), F.col("set_id").alias("b"))
     members = components(edges).withColumnsRenamed({"node": "set_id", "component": "family"})
@@ -319,14 +318,8 @@ def links(docs: DataFrame, marks: DataFrame, n: int, percent: int) -> DataFrame:
     return tasks.mapInArrow(_search_blocks(percent), "a long, b long").unionByName(to_centre)
 
 
-def joined(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of ``docs`` (``doc_id`` and ``text`` are used): ``doc_id``, ``n_shingles``, ``component_id``.
-
-    ``component_id`` is the smallest id that links lead to, the own one included. Words end at ASCII white
-    space, A-Z are lower-cased. Null, empty and blank texts have no shingles and are linked with nothing; a
-    row without an id links nothing and has no component; rows of one id count each with their own text; an
-    empty table gives no rows.
-    """
+def _placed(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``set_id`` and ``component_id`` per row."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marks = stored(own.mapInArrow(_marks(n, percent), "doc_id long, n long, set_id long, prefix array<long>"), "marks")
     component = components(links(docs, marks, n, percent)).select(F.col("node").alias("set_id"), "component")
@@ -336,10 +329,37 @@ def joined(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     placed = stored(placed.join(ids, "component").select("set_id", "component_id"), "components")
     rows = marks.select("doc_id", F.col("n").alias("n_shingles"), "set_id").join(placed, "set_id", "left")
     linked: Column = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), linked).alias("component_id"))
+    return rows.select("doc_id", "n_shingles", "set_id", F.when(F.col("doc_id").isNotNull(), linked).alias("component_id"))
+
+
+def joined(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """Per row of ``docs`` (``doc_id`` and ``text`` are used): ``doc_id``, ``n_shingles``, ``component_id``.
+
+    ``component_id`` is the smallest id that links lead to, the own one included. Words end at ASCII white
+    space, A-Z are lower-cased. Null, empty and blank texts have no shingles and are linked with nothing; a
+    row without an id links nothing and has no component; rows of one id count each with their own text; an
+    empty table gives no rows.
+    """
+    return _placed(docs, n, percent).drop("set_id")
 
 
 def one_per_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents that links lead from to a smaller id. Rows without an id stay."""
-    gone = joined(docs, n, percent).filter("component_id < doc_id").select(F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone_id"), "left_anti")
+    """``docs`` without the documents that links lead from to a smaller id. Rows without an id stay; of rows
+    that share an id each goes or stays by its own text."""
+
+    def with_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in S.texts(batches):
+            token, first = token_sets(t, n)
+            yield S.with_column(t.rows, set_id=S.word_prefix(token).hash(first[:-1], first[1:], 32).view(np.int64))
+
+    gone = F.coalesce(F.col("component_id") < F.col("doc_id"), F.lit(False))
+    sets = stored(_placed(docs, n, percent).filter("doc_id is not null").select("doc_id", "set_id", gone.alias("gone")).distinct(), "gone")
+    by_id = sets.groupBy("doc_id").agg(F.bool_or("gone").alias("some"), F.bool_and("gone").alias("whole")).filter("some")
+    by_id = stored(by_id.select("doc_id", "whole"), "gone_ids")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct("*").alias("row"))
+    kept = rows.join(by_id, "doc_id", "left_anti")
+    # Ids of which one text goes and another stays.
+    mixed = rows.join(by_id.filter("not whole"), "doc_id", "left_semi")
+    mixed = mixed.mapInArrow(with_set, mixed.withColumn("set_id", F.lit(0).cast("long")).schema)
+    kept_too = mixed.join(sets.filter("gone").select("doc_id", "set_id"), ["doc_id", "set_id"], "left_anti")
+    return kept.select("row").unionByName(kept_too.select("row")).select("row.*")

@@ -3,7 +3,8 @@
 A language's reference is the histogram of character classes and of its common words over all its documents.
 A document is compared with the nearest of its own language's reference and the widespread languages' by the
 Jensen-Shannon distance (square root of the divergence in bits) of both histograms. Short documents and small
-languages, whose histograms say little, are guarded by minimum lengths. Plain counts (words, symbols, repeated lines and words) stand beside the verdict.
+languages, whose histograms say little, are guarded by minimum lengths. Plain counts (words, symbols, repeated
+lines and words) stand beside the verdict.
 """
 
 from collections.abc import Iterator
@@ -267,12 +268,12 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def kept(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of ``docs`` that ``judged`` keeps, with all their columns."""
-    rows = docs.select(F.struct("*").alias("row"), _lang(docs), "text")
+    rows = docs.select(F.struct("*").alias("row"), _lang(docs))
     refs = docs.sparkSession.sparkContext.broadcast(references(docs))
-    verdict = rows.limit(0).drop("text", "lang").withColumn("kept", F.lit(True)).schema
+    verdict = rows.limit(0).drop("lang").withColumn("kept", F.lit(True)).schema
 
     def run(batches):
         for out in _judge(refs, limits)(batches):
             yield out.select(["row", "kept"]).filter(out.column(out.schema.get_field_index("kept")))
 
-    return rows.mapInArrow(run, verdict).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return rows.mapInArrow(run, verdict).select("row.*")

@@ -132,7 +132,7 @@ def kept_words(docs: DataFrame, size: int = R.WINDOW) -> DataFrame:
             )
 
     spans = repeated_spans(docs, size)
-    rows = R.with_spans(docs.select("doc_id", "text"), spans).drop("row")
+    rows = R.with_spans(docs.select("text", "doc_id"), spans).select("doc_id", "row.text", "spans")
     return rows.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string")
 
 

@@ -198,7 +198,6 @@ def cover_mask(w: S.Words, t: S.Texts, size: int) -> tuple[np.ndarray, np.ndarra
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """The documents as ``doc_id``, ``text`` and ``row`` (a struct of all their columns), each with its
-    ``spans`` or null."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct("*").alias("row"))
+    """The documents as ``doc_id`` and ``row`` (a struct of all their columns), each with its ``spans`` or null."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct("*").alias("row"))
     return own.join(spans, "doc_id", "left")

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_BYTES, MAX_ROWS = 1 << 18, 1 << 10
+MAX_BYTES, MAX_ROWS = 1 << 18, 1 << 9
 U64 = np.uint64
 # The multipliers of the mixer, and the bases of the two polynomials over words.
 _MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
@@ -145,10 +145,12 @@ def _string_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
 
 
-def texts(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = MAX_BYTES) -> Iterator[Texts]:
-    """The batches' documents in steps of at most ``max_bytes`` of text and ``MAX_ROWS`` rows; a null text is empty."""
+def texts(batches: Iterator[pa.RecordBatch], max_bytes: int = MAX_BYTES) -> Iterator[Texts]:
+    """The batches' documents in steps of at most ``max_bytes`` of text and ``MAX_ROWS`` rows; a null text is empty.
+    Texts are in the column ``text``, or in the field of that name of the struct ``row``."""
     for batch in batches:
-        offsets, data = _string_parts(batch.column(batch.schema.get_field_index(column)))
+        at = batch.schema.get_field_index("text")
+        offsets, data = _string_parts(batch.column(at) if at >= 0 else pc.struct_field(batch.column(batch.schema.get_field_index("row")), "text"))
         first = 0
         while first < len(batch):
             last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + max_bytes, "right")) - 1)

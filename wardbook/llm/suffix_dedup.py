@@ -137,7 +137,8 @@ def without_repeats(docs: DataFrame, size: int = R.WINDOW) -> DataFrame:
     rows = R.with_spans(docs, repeated_spans(docs, size)).drop("doc_id")
     schema = docs.select(F.struct("*").alias("row"), F.lit("").alias("new")).schema
     cut = rows.mapInArrow(run, schema)
-    new = {"text": F.when(F.col("row.text").isNotNull(), F.col("new"))}
+    old = {c: F.col("row").getField(c) for c in docs.columns}
+    new = {"text": F.when(old["text"].isNotNull(), F.col("new"))}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("row.text") == F.col("new"), F.col("row.n_chars")).otherwise(F.length("new")).cast(docs.schema["n_chars"].dataType)
-    return cut.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+        new["n_chars"] = F.when(old["text"] == F.col("new"), old["n_chars"]).otherwise(F.length("new")).cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[new.get(c, old[c]).alias(c) for c in docs.columns])
