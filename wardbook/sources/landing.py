@@ -1,6 +1,7 @@
 """Landing published snapshots as text tables, and writing tables."""
 
 import warnings
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardbook.functions.text import blank_to_null, clean_ident
-from wardbook.session import scratch_path
+from wardbook.sources import versions
 
 LOADED_AT = "_loaded_at"
 # A value no file holds: it lets the reader tell an empty field (null) from a quoted empty one ('').
@@ -112,16 +113,11 @@ def land_snapshot(df: DataFrame, root: str, table: str, run_date: date) -> str:
     """Write one run date's snapshot beside the others; one that is already there whole is kept as it is.
     What a crashed write left is replaced."""
     path = f"{root}/{table}/snapshot_date={run_date:%Y%m%d}"
-    if not _exists(df.sparkSession, f"{path}/_SUCCESS"):
+    if not versions.exists(df.sparkSession, f"{path}/_SUCCESS"):
         df.write.mode("overwrite").parquet(path)
     return path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def load_seed(spark: SparkSession, path: str, schema: str, max_lengths: dict[str, int] | None = None) -> DataFrame:
     """A static CSV of declared types; text longer than its column's limit is an error."""
     seed = spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
@@ -136,32 +132,27 @@ def load_seed(spark: SparkSession, path: str, schema: str, max_lengths: dict[str
 def write_raw(df: DataFrame, table: str) -> bool:
     """Replace a raw table by a full load; True when it was absent or its columns changed.
 
-    With unchanged columns the table stays in place, so that views over it keep working. A load that fails
-    leaves the table as it was.
+    With unchanged columns the table stays in place, so that views over it keep working. The rows are written
+    once; a load that fails, at whatever point, leaves the table as it was.
     """
-    spark = df.sparkSession
-    whole = _whole(df, table)
-    if spark.catalog.tableExists(table) and spark.table(table).columns == df.columns:
-        whole.write.mode("overwrite").insertInto(table)
-        return False
-    whole.write.mode("overwrite").format("parquet").saveAsTable(table)
-    return True
-
-
-def _whole(df: DataFrame, table: str) -> DataFrame:
-    """All of a table's new rows, computed and stored before the old ones go: a row that fails to cast fails
-    here, and what replaces the table is a plain copy of finished files."""
-    path = scratch_path(df.sparkSession, table)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return versions.move_in(df, table)
 
 
-def materialize(df: DataFrame, name: str, kind: str = "view", sort_by: str | None = None) -> DataFrame:
+def materialize(
+    df: DataFrame, name: str, kind: str = "view", sort_by: str | None = None, partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Staging layers are views; marts are tables, since many readers use each of them. A table whose rows
-    can't all be made stays as it was."""
+    can't all be made stays as it was.
+
+    ``partition_by`` names columns that ``df`` ends with; the rows of a partition are brought together first, in
+    as many tasks as its size asks for.
+    """
     if kind == "view":
         df.createOrReplaceTempView(name.split(".")[-1])
         return df
-    whole = _whole(df, name).sortWithinPartitions(sort_by) if sort_by else _whole(df, name)
-    whole.write.mode("overwrite").format("parquet").saveAsTable(name)
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, sort_by)
+    versions.replace_table(df, name, partition_by)
     return df.sparkSession.table(name)
