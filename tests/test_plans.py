@@ -1,18 +1,21 @@
 """What the plans must and must not contain."""
 
 import pathlib
+from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from wardbook.operators import marts, reports
+from wardbook.operators import features, marts, monthly, reports
 from wardbook.plans.queries import Tables
+from wardbook.sources import landing
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not pathlib.Path(SF).exists(), reason="no benchmark tables")
 
 # These write files or fit models before they return.
-EAGER = {n for n in entry.queries() if n.startswith(("s", "m", "q10", "a6", "a10", "j7", "w3", "f24", "x4", "op", "pipeline"))}
+EAGER = {n for n in entry.queries() if n.startswith(("s", "m", "q10", "a6", "a10", "j7", "w3", "f24", "x4", "x2_incremental", "p11_year", "p11_weekend", "op", "pipeline"))}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "MapInPandas"]
 
 
@@ -51,3 +54,55 @@ def test_top_per_group_is_limited_before_the_shuffle(spark):
 
 def test_top_n_keeps_n_rows_per_task(spark):
     assert "TakeOrderedAndProject" in plan(entry.queries()["b16_top_station_months"](spark, SF))
+
+
+@pytest.fixture(scope="module")
+def monthly_fact(spark, tmp_path_factory):
+    spark.sql(f"CREATE DATABASE plans_m LOCATION '{tmp_path_factory.mktemp('monthly')}'")
+    fct = monthly.with_month(marts.fct_crime(Tables(spark, SF).stg_crime), "occurrence_date")
+    yield landing.materialize(fct, "plans_m.fct", "table", "occurrence_date", [monthly.MONTH])
+    spark.sql("DROP DATABASE plans_m CASCADE")
+
+
+def files_read(df):
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan()
+    scans = [m for m in _scans(text)]
+    return sum(s.metrics().apply("numFiles").value() for s in scans)
+
+
+def _scans(node):
+    if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        node = node.executedPlan()
+    if node.getClass().getSimpleName() == "FileSourceScanExec" and "fct" in str(node.relation().location().rootPaths()):
+        yield node
+    inner = [node.plan()] if hasattr(node, "plan") and "QueryStage" in node.getClass().getSimpleName() else []
+    children = node.children()
+    for child in [*inner, *(children.apply(i) for i in range(children.size()))]:
+        yield from _scans(child)
+
+
+def test_a_year_reads_its_own_months(monthly_fact):
+    year = monthly.between(monthly_fact, "occurrence_date", date(2018, 1, 1), date(2018, 12, 31))
+    text = plan(reports.b1(year, ["mci_category"]))
+    assert "PartitionFilters: [isnotnull(fact_month" in text and "(fact_month" in text
+    months = {f.split("fact_month=")[1][:7] for f in year.inputFiles()}
+    assert files_read(reports.b1(year, ["mci_category"])) == sum("fact_month=2018" in f for f in monthly_fact.inputFiles()) > 0
+    assert len(months) > 12 or months == {f"2018-{m:02}" for m in range(1, 13)}
+
+
+def test_the_calendar_prunes_months(spark, monthly_fact):
+    days = Tables(spark, SF).dim_date.filter("year = 2018 AND month = 3")
+    found = monthly.on_days(monthly_fact, "occurrence_date_key", days).groupBy("date_day").count()
+    assert "dynamicpruning" in plan(found)
+    assert files_read(found) == sum("fact_month=2018-03" in f for f in monthly_fact.inputFiles()) > 0
+
+
+def test_keys_of_a_grid_stay_on_the_cluster(spark, monkeypatch):
+    fct = Tables(spark, SF).fct_delays
+    fetched, real = [], type(fct).collect
+    monkeypatch.setattr(type(fct), "collect", lambda df: fetched.append(real(df)) or fetched[-1])
+    grid = features.build_grid(fct.withColumn("station", F.concat("station", F.lit("x"))), None, key="station")
+    text = plan(grid)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and " Station" not in text
+    assert max(map(len, fetched)) <= 1

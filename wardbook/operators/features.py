@@ -5,7 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardbook.functions.dates import floor_hour
-from wardbook.operators.reshape import hour_spine, line_hours
+from wardbook.operators.reshape import hour_spine, key_hours, line_hours
 from wardbook.schema import BASELINE_KEYS, DELAY_THRESHOLD_MINUTES, HOLDOUT_DAYS, LINES, TARGET
 from wardbook.sources.weather import one_per_hour
 
@@ -15,11 +15,11 @@ _BLOCK = 1024
 
 
 def hourly_delays(
-    fct: DataFrame, lines: list[str] = LINES, threshold: int = DELAY_THRESHOLD_MINUTES, key: str = "line_group"
+    fct: DataFrame, lines: list[str] | None = LINES, threshold: int = DELAY_THRESHOLD_MINUTES, key: str = "line_group"
 ) -> DataFrame:
     minutes = F.col("delay_minutes")
     return (
-        fct.filter(F.col(key).isin(lines))
+        fct.filter(F.col(key).isNotNull() if lines is None else F.col(key).isin(lines))
         .groupBy(F.col(key), floor_hour(F.col("delay_at")).alias("hour"))
         .agg(
             F.count("*").alias("delays"),
@@ -35,12 +35,9 @@ def build_grid(
     """One row per hour and line, zero where nothing happened. Unordered: sort where it is written.
 
     ``lines`` are the values of ``key``, so stations and delay codes work too; None takes all values of the
-    log, one column's distinct values. The grid grows with the calendar and the number of lines, not with
-    the log.
+    log, however many. The grid grows with the calendar and the number of lines, not with the log.
     """
-    if lines is None:
-        lines = sorted(r[0] for r in fct.select(key).filter(F.col(key).isNotNull()).distinct().collect())
-    grid = line_hours(hour_spine(fct, keys=len(lines)), lines, key)
+    grid = key_hours(fct, key) if lines is None else line_hours(hour_spine(fct, keys=len(lines)), lines, key)
     counts = hourly_delays(fct, lines, threshold, key)
     return grid.join(counts, ["hour", key], "left").select(
         "hour", F.col(key).alias("line"), *[F.coalesce(c, F.lit(0)).alias(c) for c in _COUNTS]

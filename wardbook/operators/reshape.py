@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.functions.numbers import as_numeric, numeric_to_int
@@ -63,9 +63,27 @@ def hour_spine(dates: DataFrame, column: str = "delay_date", keys: int = 1, days
     spread = max(cores, -(-days_known * 24 * keys // _ROWS_PER_TASK))
     bounds = dates.agg(F.min(column).alias("d0"), F.max(column).alias("d1"))
     days = bounds.select(F.explode(F.sequence("d0", "d1")).alias("day")).repartition(spread, "day")
-    midnight = F.col("day").cast("timestamp_ntz")
-    hours = F.sequence(midnight, midnight + F.expr("interval 23 hours"), F.expr("interval 1 hour"))
-    return days.select(F.explode(hours).alias("hour"))
+    return days.select(F.explode(_hours_of("day")).alias("hour"))
+
+
+def _hours_of(day: str) -> Column:
+    midnight = F.col(day).cast("timestamp_ntz")
+    return F.sequence(midnight, midnight + F.expr("interval 23 hours"), F.expr("interval 1 hour"))
+
+
+def key_hours(log: DataFrame, key: str, column: str = "delay_date") -> DataFrame:
+    """Every hour of the log's days for every value of ``key`` in it, however many there are.
+
+    The distinct values stay where the cluster has them; only their number and the number of days are fetched, to
+    spread keys and days over tasks by the rows to make before hours are unnested.
+    """
+    keys = log.select(key).filter(F.col(key).isNotNull()).distinct()
+    bounds = log.agg(F.min(column).alias("d0"), F.max(column).alias("d1"))
+    n_days = bounds.select(F.coalesce(F.datediff("d1", "d0") + 1, F.lit(0))).first()[0]
+    spread = max(1, -(-keys.count() * n_days * 24 // _ROWS_PER_TASK), min(log.sparkSession.sparkContext.defaultParallelism, n_days))
+    span = bounds.select(F.struct("d0", "d1")).scalar()
+    days = keys.withColumn("span", span).select(key, F.explode(F.sequence("span.d0", "span.d1")).alias("day"))
+    return days.repartition(spread, key, "day").select(F.explode(_hours_of("day")).alias("hour"), key)
 
 
 def line_hours(hours: DataFrame, lines: list[str], name: str = "line") -> DataFrame:

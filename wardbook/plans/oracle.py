@@ -399,6 +399,16 @@ _add("p8_line_group", "SELECT line, line_group, count(*) AS n_rows FROM stg_dela
 _add("p9_prefix_flag", "SELECT neighbourhood_id, is_improvement_area FROM stg_n")
 _add("p10_text_timestamp", "SELECT event_id AS id, date_trunc('minute', ts) AS delay_at FROM event_log")
 _add("p11_fact_date_filter", "SELECT * FROM fct_crime")
+_add(
+    "p11_year_by_month",
+    """SELECT cast(month(occurrence_date) as int) AS month, mci_category, count(*) AS incidents FROM fct_crime
+WHERE year(occurrence_date) = 2018 GROUP BY 1, 2""",
+)
+_add(
+    "p11_weekend_days",
+    """SELECT date_day, day_abbr, count(*) AS incidents FROM fct_crime f JOIN dim_date d ON f.occurrence_date_key = d.date_key
+WHERE d.is_weekend AND d.year = 2018 GROUP BY 1, 2""",
+)
 _add(
     "p12_calendar_attributes",
     "SELECT d.*, n_rows FROM dim_date d JOIN (SELECT delay_date, count(*) AS n_rows FROM stg_delays GROUP BY 1) f ON d.date_day = f.delay_date",
@@ -811,6 +821,15 @@ _add(
 FROM stg_crime WHERE mci_category = 'Robbery'
   OR event_id NOT IN (SELECT event_id FROM stg_crime WHERE mci_category = 'Robbery')""",
 )
+_add(
+    "x2_incremental_fact",
+    f"""WITH later AS (
+  SELECT event_id, source_row_id, cast(occurrence_date + cast(CASE WHEN source_row_id % 10 = 0 THEN 40 ELSE 0 END as int) as date) AS occurrence_date,
+    mci_category, {LOADED} + 86400 AS _loaded_at
+  FROM stg_crime WHERE mci_category = 'Robbery' AND occurrence_date >= DATE '2019-01-01')
+SELECT * FROM later UNION ALL
+SELECT event_id, source_row_id, occurrence_date, mci_category, {LOADED} FROM stg_crime WHERE event_id NOT IN (SELECT event_id FROM later)""",
+)
 _add(
     "x3_volume_check",
     """SELECT month_start, n_rows, round(mean_rows, 6) AS mean_rows, round(sd_rows, 6) AS sd_rows FROM (

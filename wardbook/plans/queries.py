@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardbook.functions import dates, numbers, text
-from wardbook.operators import features, marts, metrics, model, quality, reports, reshape, score, snapshots, staging
+from wardbook.operators import features, marts, metrics, model, monthly, quality, reports, reshape, score, snapshots, staging
 from wardbook.plans import run
 from wardbook.schema import BASELINE_KEYS, CRIME_CATEGORIES, HISTORY_FEATURES, LINES, PROFILE_METRICS, SEED_LENGTHS, SEED_SCHEMA, TARGET
 from wardbook.session import scratch_path
@@ -23,6 +23,7 @@ from wardbook.sources import adapters, landing, sinks, weather
 TODAY = date(2024, 6, 30)
 FUTURE_AFTER = date(2019, 1, 1)
 HOLDOUT = 7
+REPORT_YEAR = 2018
 HEADERS = {
     "id": "_id",
     "date": "Date",
@@ -524,6 +525,25 @@ def p11_fact_date_filter(t):
     return t.fct_crime
 
 
+@query
+def p11_year_by_month(t):
+    """One year's incidents by month, of the fact as a run stores it: only that year's months are read."""
+    fct = monthly.with_month(t.fct_crime, "occurrence_date")
+    table = landing.materialize(fct, f"{_database(t, 'marts')}.fct_crime_incidents", "table", "occurrence_date", [monthly.MONTH])
+    year = monthly.between(table, "occurrence_date", date(REPORT_YEAR, 1, 1), date(REPORT_YEAR, 12, 31))
+    return year.groupBy(F.month("occurrence_date").alias("month"), "mci_category").agg(F.count("*").alias("incidents"))
+
+
+@query
+def p11_weekend_days(t):
+    """The weekends of one year: the calendar's rows decide which months are read."""
+    fct = monthly.with_month(t.fct_crime, "occurrence_date")
+    table = landing.materialize(fct, f"{_database(t, 'marts')}.fct_crime_incidents", "table", "occurrence_date", [monthly.MONTH])
+    days = t.dim_date.filter(F.col("is_weekend") & (F.col("year") == REPORT_YEAR))
+    found = monthly.on_days(table, "occurrence_date_key", days)
+    return found.groupBy("date_day", "day_abbr").agg(F.count("*").alias("incidents"))
+
+
 @query
 def p12_calendar_attributes(t):
     return marts.calendar_attributes(t.stg_delays.select("delay_date"), "delay_date").groupBy(
@@ -1173,6 +1193,22 @@ def x2_latest_by_key(t):
     return snapshots.latest_by_key(first.unionByName(second), "event_id")
 
 
+@query
+def x2_incremental_fact(t):
+    """Three batches applied to a fact stored by month. The second brings one category's rows since 2019 again, a
+    tenth of them on a day 40 days later; the third is an older load that comes late, and changes nothing."""
+    columns = ["event_id", "source_row_id", "occurrence_date", "mci_category", "_loaded_at"]
+    first, stamp, day = t.stg_crime.select(*columns), F.col("_loaded_at"), F.col("occurrence_date")
+    moved = F.when(F.col("source_row_id") % 10 == 0, F.date_add(day, 40)).otherwise(day)
+    second = first.filter((F.col("mci_category") == "Robbery") & (day >= "2019-01-01"))
+    second = second.withColumns({"occurrence_date": moved, "_loaded_at": stamp + F.expr("interval 1 day")})
+    third = first.filter("mci_category = 'Assault'").withColumn("_loaded_at", stamp - F.expr("interval 1 day"))
+    path = scratch_path(t.spark, "fact")
+    for batch in (first, second, third):
+        monthly.apply_batch(batch, path, "event_id", "occurrence_date")
+    return t.spark.read.parquet(path).select(*columns)
+
+
 @query
 def x3_volume_check(t):
     monthly = t.fct_crime.select(dates.month_start(F.col("occurrence_date")).alias("month_start"))

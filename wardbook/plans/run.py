@@ -6,7 +6,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.operators import features, marts, metrics, model, quality, staging
+from wardbook.operators import features, marts, metrics, model, monthly, quality, staging
 from wardbook.schema import DATASETS, FEATURES, HOLDOUT_DAYS, SEED_LENGTHS, SEED_SCHEMA
 from wardbook.sources import landing, sinks
 
@@ -36,10 +36,15 @@ def build_models(spark: SparkSession, today: date, raw: str, schema: str, rebuil
     def view(name, df):
         return landing.materialize(df, name)
 
-    def table(name, df, sort_by=None):
-        # Sorted files let date filters skip row groups; the sort stays within each task.
+    def table(name, df, day=None):
+        # Facts are partitioned by month, and sorted by day within it, so that date filters skip folders and
+        # row groups; their partition column stays beside the mart's own.
         full = f"{schema}.{name}"
-        return landing.materialize(df, full, "table", sort_by) if rebuild else spark.table(full)
+        if not rebuild:
+            return spark.table(full)
+        if day:
+            return landing.materialize(monthly.with_month(df, day), full, "table", day, [monthly.MONTH])
+        return landing.materialize(df, full, "table")
 
     source = {d.key: spark.table(f"{raw}.{d.raw_table}") for d in DATASETS.values()}
     t = {"ttc_delay_codes": spark.table(f"{schema}.ttc_delay_codes")}
@@ -53,10 +58,10 @@ def build_models(spark: SparkSession, today: date, raw: str, schema: str, rebuil
     )
     t["dim_ttc_delay_code"] = table("dim_ttc_delay_code", marts.dim_delay_code(t["ttc_delay_codes"]))
     t["fct_crime_incidents"] = table(
-        "fct_crime_incidents", marts.fct_crime(t["stg_crime_incidents"]), sort_by="occurrence_date"
+        "fct_crime_incidents", marts.fct_crime(t["stg_crime_incidents"]), day="occurrence_date"
     )
     t["fct_ttc_delays"] = table(
-        "fct_ttc_delays", marts.fct_delays(t["stg_ttc_delays"], t["dim_ttc_delay_code"]), sort_by="delay_date"
+        "fct_ttc_delays", marts.fct_delays(t["stg_ttc_delays"], t["dim_ttc_delay_code"]), day="delay_date"
     )
     t["agg_crime_monthly_neighbourhood"] = table(
         "agg_crime_monthly_neighbourhood",
