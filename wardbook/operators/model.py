@@ -15,6 +15,9 @@ from wardbook.session import ensure_checkpoint_dir
 # The boosting settings that Spark's trees can share with the published model. Its 31
 # leaves become depth 5; Spark has no L2 penalty.
 GBT = {"maxIter": 300, "stepSize": 0.05, "maxDepth": 5, "seed": 0}
+# Trees between two checkpoints of the residuals, and rows that are worth a task: boosting is thousands of jobs,
+# whose cost on small frames is that of their tasks and files.
+CHECKPOINT_INTERVAL, ROWS_PER_TASK = 50, 1 << 17
 # With early stopping, one row in so many is set aside and boosting stops when its loss rises.
 VALIDATION_SHARE = 10
 # Below every real reading, so that a split can send missing readings their own way.
@@ -31,7 +34,7 @@ def delay_model(features: list[str] = FEATURES, **gbt) -> Pipeline:
             StringIndexer(inputCol="line", outputCol="x_line_index", handleInvalid="keep"),
             OneHotEncoder(inputCol="x_line_index", outputCol="x_line", dropLast=True),
             VectorAssembler(inputCols=["x_line", *[f"x_{f}" for f in numeric]], outputCol="x_features"),
-            GBTClassifier(featuresCol="x_features", labelCol=TARGET, **{**GBT, **gbt}),
+            GBTClassifier(featuresCol="x_features", labelCol=TARGET, **{**GBT, "checkpointInterval": CHECKPOINT_INTERVAL, **gbt}),
         ]
     )
 
@@ -48,7 +51,12 @@ def fit(train: DataFrame, features: list[str] = FEATURES, early_stopping: bool =
         aside = F.pmod(F.xxhash64(*features), F.lit(VALIDATION_SHARE)) == 0
         rows = rows.withColumn("x_validation", aside)
         gbt = {"validationIndicatorCol": "x_validation", "validationTol": 0.0, **gbt}
-    return delay_model(features, **gbt).fit(rows)
+    return delay_model(features, **gbt).fit(_in_few_tasks(rows))
+
+
+def _in_few_tasks(rows: DataFrame) -> DataFrame:
+    most, now = -(-rows.count() // ROWS_PER_TASK), rows.rdd.getNumPartitions()
+    return rows.coalesce(max(1, most)) if most < now else rows
 
 
 def fit_each(runs: list[tuple[DataFrame, list[str]]], **gbt) -> list[PipelineModel]:
