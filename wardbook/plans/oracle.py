@@ -779,6 +779,12 @@ _add(
     "b8_station_month",
     "SELECT station, strftime(delay_date, '%Y-%m') AS month, cast(sum(delay_minutes) as bigint) AS delay_minutes FROM fct_delays GROUP BY 1, 2",
 )
+_add(
+    "b8_matrix",
+    "SELECT station, "
+    + ", ".join(f"""cast(sum(delay_minutes) FILTER (WHERE strftime(delay_date, '%Y-%m') = '{m}') as bigint) AS "{m}\"""" for m in ("2024-01", "2024-02"))
+    + " FROM fct_delays GROUP BY 1",
+)
 _add("b9_minutes_by_cause", "SELECT delay_description, cast(sum(delay_minutes) as bigint) AS delay_minutes FROM fct_delays GROUP BY 1")
 _add("b10_hour_histogram", "SELECT delay_hour, count(*) AS delay_events FROM fct_delays GROUP BY 1")
 _add(

@@ -1129,6 +1129,12 @@ def b8_station_month(t):
     return reports.b8(t.fct_delays)
 
 
+@query
+def b8_matrix(t):
+    """The matrix itself, of the log's first months."""
+    return reports.b8_wide(t.fct_delays, ["2024-01", "2024-02"])
+
+
 @query
 def b9_minutes_by_cause(t):
     return reports.b9(t.fct_delays)
