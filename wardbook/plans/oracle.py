@@ -827,14 +827,13 @@ _add(
 FROM stg_crime WHERE mci_category = 'Robbery'
   OR event_id NOT IN (SELECT event_id FROM stg_crime WHERE mci_category = 'Robbery')""",
 )
+_LATER = "mci_category = 'Robbery' AND occurrence_date >= DATE '2019-01-01'"
 _add(
     "x2_incremental_fact",
-    f"""WITH later AS (
-  SELECT event_id, source_row_id, cast(occurrence_date + cast(CASE WHEN source_row_id % 10 = 0 THEN 40 ELSE 0 END as int) as date) AS occurrence_date,
-    mci_category, {LOADED} + 86400 AS _loaded_at
-  FROM stg_crime WHERE mci_category = 'Robbery' AND occurrence_date >= DATE '2019-01-01')
-SELECT * FROM later UNION ALL
-SELECT event_id, source_row_id, occurrence_date, mci_category, {LOADED} FROM stg_crime WHERE event_id NOT IN (SELECT event_id FROM later)""",
+    f"""SELECT event_id, source_row_id, cast(occurrence_date + cast(CASE WHEN source_row_id % 10 = 0 THEN 40 ELSE 0 END as int) as date) AS occurrence_date,
+  mci_category, {LOADED} + 86400 AS _loaded_at FROM stg_crime WHERE {_LATER}
+UNION ALL SELECT event_id, source_row_id, occurrence_date, mci_category, {LOADED} FROM stg_crime
+WHERE event_id NOT IN (SELECT event_id FROM stg_crime WHERE {_LATER})""",
 )
 _add(
     "x3_volume_check",
