@@ -26,34 +26,34 @@ def rule(host, path):
     return max(fits)[1:] if fits else (None, None)
 
 
-def grams(url):
-    host, path = parts(url)
-    text = host + path if host else (url or "")
-    text = re.sub("[0-9]", "0", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
-    text = "^^^" + re.sub("[^a-z0/._-]", "~", text) + "$"
-    return [text[i : i + 4] for i in range(len(text) - 3)]
+def grams(url, k=url_filter.CONTEXT):
+    host, _ = parts(url)
+    text = host + re.sub("^[^/?#]*", "", url.split("://", 1)[1]) if host else (url or "")
+    text = "\2" * k + text + "\3"
+    return [text[i : i + k + 1] for i in range(len(text) - k)]
 
 
 class Model:
-    def __init__(self, urls):
-        self.next = defaultdict(Counter)
+    def __init__(self, urls, characters):
+        self.characters, self.next = characters, defaultdict(Counter)
         for u in urls:
             for g in grams(u):
-                for k in range(4):
-                    self.next[g[3 - k : 3]][g[3]] += 1
+                for k in range(len(g)):
+                    self.next[g[len(g) - 1 - k : -1]][g[-1]] += 1
 
     def p(self, g):
-        p = 1 / 34
-        for k in range(4):
-            seen = self.next.get(g[3 - k : 3])
-            if seen:
-                p = (seen[g[3]] + len(seen) * p) / (sum(seen.values()) + len(seen))
+        p = 1 / self.characters
+        for k in range(len(g)):
+            seen = self.next.get(g[len(g) - 1 - k : -1])
+            if seen and (k == 0 or sum(seen.values()) >= url_filter.SEEN):
+                p = (seen[g[-1]] + len(seen) * p) / (sum(seen.values()) + len(seen))
         return p
 
 
 def expected(rows):
     decided = [(u, rule(*parts(u))[1]) for _, u in rows]
-    a, b = (Model([u for u, v in decided if v == x]) for x in ("allow", "block"))
+    characters = len({g[-1] for _, u in rows for g in grams(u)})
+    a, b = (Model([u for u, v in decided if v == x], characters) for x in ("allow", "block"))
     score = {u: sum(math.log(a.p(g)) - math.log(b.p(g)) for g in grams(u)) / len(grams(u)) for _, u in rows}
     groups = [[score[u] for u, v in decided if v == x] for x in ("allow", "block")]
     t = None
@@ -71,6 +71,7 @@ URLS = [
     "http://a.net", "http://a.net/", "HTTP://A.NET/x?q#f", "http://example.net/en/1", "https://www.Example.net/en/", "http://notexample.net/en/1",
     "http://example.net/enx", "http://example.com/de/3", "http://b.example.com/de/", "http://example.com/fr/3", "http://x.org/fr/1", "http://org/fr/", "http://x.org/fr",
     "http://x.org/en/cheap-pills", "ftp://h#frag", "no scheme", "", None, "://", "a://b://c/d", "http://ünï.org/fr/é", "http://x.com/a\nb?c", "http://" + "a" * 5000 + ".com/",
+    "http://x.org/en/1?id=%C3%A9&b=2", "http://x.org/en/1?id=%C3%A8&b=2", "http://x.com/\U0001f600\U0001f601/\U0001f600", "http://x.com/a^b$c~d", "http://例え.org/パス",
 ]
 
 
@@ -89,6 +90,21 @@ def test_judged(spark, rows):
     assert {r[4] for r in got if r[3] is None} == {"allow", "block"}
 
 
+def test_other_characters_and_queries_count(spark):
+    """URLs that differ only in digits, escapes or the query string have scores of their own."""
+    ends = ["?a=1", "?a=2", "%41", "%42", "é", "è"]
+    rows = [(10 * i + j, f"http://{h}/p{e}") for i, e in enumerate(ends) for j, h in enumerate(("x.net", "x.org/fr", "x.com"))]
+    rows += [(1000 + i, f"http://x.{'net' if i % 2 else 'org/fr'}/p{ends[i % 2 + 2 * (i % 3)]}") for i in range(60)]
+    got = url_filter.judged(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES).collect()
+    assert len({r.score for r in got if r.page_id < 1000 and r.page_id % 10 == 2}) == len(ends)
+
+
+def test_a_very_long_url(spark):
+    rows = [(1, "http://a.net/"), (2, "http://a.org/fr/"), (3, "http://b.com/" + "é\U0001f600x" * 300_000)]
+    got = url_filter.judged(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES).collect()
+    assert len(got) == 3 and all(r.score is not None for r in got)
+
+
 def test_without_groups(spark):
     schema = "page_id long, url string"
     assert url_filter.judged(spark.createDataFrame([], schema), URL_RULES).count() == 0

@@ -1,27 +1,28 @@
 """URL filters: host and path rules, and a character language-model ratio for the rest.
 
 The rules decide first. The URLs they decide train two variable-order Markov models, one of accepted and
-one of rejected URLs: a character's probability mixes those after 3, 2, 1 and no characters of context by
-Witten-Bell weights. A URL's score is the mean difference of the two models' log-probabilities over its
-characters; the threshold is where as many accepted as rejected URLs would be judged wrong, taking both
-groups' scores as normal. Everything is built-in functions, and models and threshold come from all rows.
+one of rejected URLs: a character's probability mixes those after no, one, two and up to ``CONTEXT``
+characters by Witten-Bell weights, and a model uses a context only if it has seen it ``SEEN`` times, so
+contexts get longer, and their table larger, as the URLs grow in number. A URL's score is the mean difference
+of the two models' log-probabilities over its characters; the threshold is where as many accepted as rejected
+URLs would be judged wrong, taking both groups' scores as normal. Everything is built-in functions, and
+models and threshold come from all rows.
 """
 
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardbook.llm.scratch import stored
 
 ALLOW, BLOCK = "allow", "block"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Letters, a digit, five signs, and marks for the start and the end: the model has at most 34**4 contexts
-# with a next character, so it may be broadcast whatever the number of URLs.
-_SIGNS = "/.-_~"
-_START, _END = "^", "$"
-_SYMBOLS = len(_LOWER) + 1 + len(_SIGNS) + 2
-_ORDER = 4
+CONTEXT, SEEN = 6, 8
+# Marks for the start and the end of a URL.
+_START, _END = "\x02", "\x03"
+
 
 
 class Rule(NamedTuple):
@@ -57,35 +58,36 @@ def rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def _body(url: Column) -> Column:
-    """What the models read: host and path in the models' alphabet, or the whole text without a host."""
-    text = F.coalesce(F.when(host(url) != "", F.concat(host(url), path(url))).otherwise(url), F.lit(""))
-    text = F.translate(text, _UPPER + "0123456789", _LOWER + "0" * 10)
-    return F.regexp_replace(text, "[^a-z0/._-]", "~")
+    """What the models read: all after ``://``, the host in lower case, or the whole text without a host."""
+    named = F.concat(host(url), F.regexp_replace(_rest(url), "^[^/?#]*", ""))
+    return F.coalesce(F.when(host(url) != "", named).otherwise(url), F.lit(""))
 
 
-def grams(url: Column) -> Column:
-    """Each character with the three before it; the last one is the end mark."""
-    text = F.concat(F.lit(_START * (_ORDER - 1)), _body(url), F.lit(_END))
-    return F.transform(F.sequence(F.lit(1), F.length(text) - (_ORDER - 1)), lambda i: F.substring(text, i, F.lit(_ORDER)))
+def grams(url: Column, context: int = CONTEXT) -> Column:
+    """Each character with the ``context`` characters before it; the last one is the end mark."""
+    text = F.concat(F.lit(_START * context), _body(url), F.lit(_END))
+    # One match of no width at each character, but not between the halves of one.
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?!\\p{{Cs}})(?=(.{{{context + 1}}}))"), F.lit(1))
 
 
-def ratio_model(counts: DataFrame) -> DataFrame:
+def ratio_model(counts: DataFrame, context: int = CONTEXT, seen: int = SEEN) -> DataFrame:
     """``gram`` and ``ratio``, the difference of the two models' log-probabilities of its last character.
 
-    ``counts`` has every gram of the corpus with its numbers in accepted and rejected URLs.
+    ``counts`` has every gram of the corpus with its numbers in accepted and rejected URLs. A context's rows are
+    at most as many as there are different characters.
     """
     mixed = None
-    for k in range(1, _ORDER + 1):
-        level = counts.groupBy(F.substring("gram", _ORDER - k + 1, k).alias("g")).agg(F.sum(ALLOW).alias(ALLOW), F.sum(BLOCK).alias(BLOCK))
-        level = level.withColumn("context", F.substring("g", 1, k - 1))
-        both = [F.sum(c).alias(f"{c}_total") for c in (ALLOW, BLOCK)] + [F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in (ALLOW, BLOCK)]
-        level = level.join(F.broadcast(level.groupBy("context").agg(*both)), "context")
+    for k in range(context + 1):
+        level = counts.groupBy(F.substring("gram", context - k + 1, k + 1).alias("g")).agg(F.sum(ALLOW).alias(ALLOW), F.sum(BLOCK).alias(BLOCK))
+        alike = W.partitionBy(F.substring("g", 1, k))
+        both = {f"{c}_total": F.sum(c).over(alike) for c in (ALLOW, BLOCK)} | {f"{c}_kinds": F.count_if(F.col(c) > 0).over(alike) for c in (ALLOW, BLOCK)}
         if mixed is None:
-            level = level.withColumns({f"{c}_less": F.lit(1 / _SYMBOLS) for c in (ALLOW, BLOCK)})
-        else:
-            level = level.withColumn("s", F.substring("g", 2, k - 1)).join(F.broadcast(mixed), "s")
+            both |= {f"{c}_less": 1 / F.count("*").over(alike) for c in (ALLOW, BLOCK)}
+        level = level.withColumns(both)
+        if mixed is not None:
+            level = level.withColumn("s", F.substring("g", 2, k)).join(mixed, "s")
         p = {c: (F.col(c) + F.col(f"{c}_kinds") * F.col(f"{c}_less")) / (F.col(f"{c}_total") + F.col(f"{c}_kinds")) for c in (ALLOW, BLOCK)}
-        p = {c: F.when(F.col(f"{c}_total") > 0, p[c]).otherwise(F.col(f"{c}_less")) for c in p}
+        p = {c: F.when(F.col(f"{c}_total") >= (seen if k else 1), p[c]).otherwise(F.col(f"{c}_less")) for c in p}
         mixed = level.select(F.col("g").alias("s"), *[p[c].alias(f"{c}_less") for c in p])
     return mixed.select(F.col("s").alias("gram"), (F.log(f"{ALLOW}_less") - F.log(f"{BLOCK}_less")).alias("ratio"))
 
@@ -97,13 +99,14 @@ def scored(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     verdicts = F.create_map(*[F.lit(x) for r in rules for x in (r.site, r.verdict)]) if rules else None
     decided = verdicts[decision] if rules else F.lit(None).cast("string")
     own = pages.select("page_id", "url").groupBy("page_id", "url").agg(F.count("*").alias("copies"))
-    own = stored(own.withColumn("decision", decided), "urls")
-    split = own.select("page_id", "url", "copies", "decision", F.explode(grams(url)).alias("gram"))
+    # Few bytes, but each becomes a row: dealt to as many tasks as a shuffle has, whatever their size.
+    own = own.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page_id", "url")
+    own = stored(own.withColumns({"decision": decided, "n": F.monotonically_increasing_id()}), "urls")
+    split = own.select("n", "copies", "decision", F.explode(grams(url)).alias("gram"))
     of = lambda v: F.coalesce(F.sum(F.when(F.col("decision") == v, F.col("copies"))), F.lit(0)).alias(v)
     model = stored(ratio_model(stored(split.groupBy("gram").agg(of(ALLOW), of(BLOCK)), "grams")), "ratios")
-    keys = ["page_id", "url", "copies", "decision"]
-    # A page's characters meet where they were made, so this is partial sums and one small shuffle.
-    return stored(split.join(F.broadcast(model), "gram").groupBy(*keys).agg(F.avg("ratio").alias("score")), "scores")
+    scores = split.select("n", "gram").join(model, "gram").groupBy("n").agg(F.avg("ratio").alias("score"))
+    return stored(own.join(scores, "n").drop("n"), "scores")
 
 
 def threshold(scores: DataFrame) -> DataFrame:
