@@ -1,8 +1,10 @@
 """Exact nearest vectors by inner product: tiles of queries and candidates, partial selection, tree merging.
 
-Candidates are packed into tiles and dealt to shards; the queries, packed into blocks, are sent to every
-shard. A task multiplies one block with one tile at a time and keeps each query's best so far, so its memory
-is a block, a tile and the block's lists. The lists of the shards are merged ``FAN`` at a time.
+Candidates are packed into tiles and dealt to shards of about ``SHARD`` tiles; the queries, packed into
+blocks, are sent to every shard. A merge join holds a shard's tiles and passes the blocks by them, one after the
+other and unsorted, so no pair is ever sorted or shuffled. A task multiplies one block with one tile at a time
+and keeps each query's best so far; its memory is a shard's tiles, a block and the block's lists. The lists of
+the shards are merged ``FAN`` at a time.
 """
 
 from collections.abc import Iterator
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from wardbook.llm.scratch import stored
 
-TILE, BLOCK, FAN = 4096, 512, 16
+TILE, BLOCK, SHARD, FAN = 4096, 512, 32, 16
 _EXACT = 1 << 53
 
 
@@ -79,8 +81,9 @@ _NONE = np.iinfo(np.int64).min
 
 
 def _search(k: int):
-    """Rows of (shard, block, ids and data of block and tile), the rows of a block together: each query's
-    best of the shard."""
+    """Rows of (shard, block, ids and data of block and tile): each query's best of the shard. The join brings
+    the rows of a block together; if they came apart, a query would have several lists of one shard, which the
+    merging takes as well."""
 
     def lists(shard, queries, ids, scores):
         keep = scores > _NONE
@@ -121,7 +124,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024
     candidates gets them all; an empty table gives no rows.
     """
     spark = vectors.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-vectors.count() // (SHARD * TILE)))
     own = vectors.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
     packed = "size int, number int, ids binary, data binary"
     rows = own.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
@@ -131,7 +134,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024
     blocks = blocks.withColumn("block", F.xxhash64("ids")).select("size", "block", F.col("ids").alias("query_ids"), F.col("data").alias("query_data"))
     blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     tiles = rows.mapInArrow(_pack(scale, TILE), packed).withColumn("shard", F.pmod(F.xxhash64("ids"), F.lit(shards)).cast("int"))
-    pairs = tiles.drop("number").join(blocks, ["shard", "size"]).sortWithinPartitions("shard", "size", "block")
+    # The left side of a merge join streams by the rows of the right one.
+    pairs = blocks.join(tiles.drop("number").hint("merge"), ["shard", "size"])
     found = pairs.select("shard", "size", "block", "ids", "data", "query_ids", "query_data")
     found = found.mapInArrow(_search(k), "shard long, query_id long, vec_id long, score long")
     order = [F.desc("score"), F.asc("vec_id")]
