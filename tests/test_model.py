@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from wardbook.operators import metrics, model, score
+from wardbook.operators import features, metrics, model, score
 from wardbook.schema import FEATURES
 from wardbook.sources import sinks, weather
 
@@ -40,6 +40,22 @@ def test_metrics_match_brute_force(spark, digits, n, per_bucket):
     assert metrics.roc_auc(df).first()[0] == pytest.approx(row.roc_auc)
 
 
+def test_several_frames_share_a_curve(spark):
+    rng = random.Random(11)
+    frames = {n: [(round(rng.random(), d), int(rng.random() < 0.4)) for _ in range(k)] for n, d, k in (("a", 1, 200), ("b", 6, 500), ("c", 3, 1))}
+    dfs = {n: spark.createDataFrame(rows, "p double, any_delay_5min int") for n, rows in frames.items()}
+    dfs["empty"] = dfs["a"].filter("p > 2")
+    got = {r.model: (r.roc_auc, r.pr_auc, r.brier) for r in metrics.evaluate_each(dfs, per_bucket=60).collect()}
+    assert set(got) == {"a", "b", "c"} and got["c"][0] is None
+    for n in "ab":
+        assert got[n] == pytest.approx(brute_force(frames[n]))
+    split = spark.sql("SELECT timestamp_ntz'2026-03-01 00:00:00' AS split_at")
+    row = metrics.metrics_row(dfs["a"], dfs["b"], split, dfs, "now").first()
+    assert (row.rows_train, row.rows_test, row.test_from) == (200, 500, "2026-03-01")
+    assert row.b.asDict() == {m: round(x, 4) for m, x in zip(("roc_auc", "pr_auc", "brier"), brute_force(frames["b"]))}
+    assert row.empty.asDict() == {"roc_auc": None, "pr_auc": None, "brier": None}
+
+
 def test_metrics_by_hand(spark):
     df = spark.createDataFrame([(0.9, 1), (0.8, 0), (0.7, 1), (0.1, 0)], "p double, any_delay_5min int")
     row = metrics.evaluate(df).first()
@@ -122,6 +138,30 @@ def test_fit_save_load_predict(spark, tmp_path):
     assert unseen.filter("p between 0 and 1").count() == 400
 
 
+def test_held_out_quality(spark):
+    """On days it has not seen, the model ranks nearly as well as the rates the days were drawn from, better than the
+    baseline, which knows no weather, and it is calibrated."""
+    rng, rows, start = random.Random(17), [], dt.datetime(2026, 1, 1)
+    for day in range(120):
+        cold = rng.uniform(-15, 20)
+        for h in range(24):
+            at = start + dt.timedelta(days=day, hours=h)
+            for line, base in (("YU", 0.35), ("BD", 0.2), ("SHP", 0.05)):
+                rate = min(0.95, base * (2 if h in (7, 8, 9, 16, 17, 18) else 0.7) * (0.6 if at.weekday() >= 5 else 1) * (1.8 if cold < -5 else 0.9))
+                rows.append((at, line, cold, None if day % 10 == 0 else 0.0, 0.0, 5.0, rate, int(rng.random() < rate)))
+    raw = spark.createDataFrame(
+        rows, "hour timestamp_ntz, line string, temperature_2m double, precipitation double, snowfall double, wind_speed_10m double, rate double, delays_5min int"
+    )
+    train, test = features.time_split(features.add_features(raw).cache(), 30)
+    scored = model.predict(model.fit(train, maxIter=40), test)
+    frames = {"model": scored, "baseline": features.baseline_rate(train, test), "truth": test.withColumn("p", F.col("rate"))}
+    got = {r.model: r for r in metrics.evaluate_each(frames).collect()}
+    assert got["truth"].roc_auc - 0.03 < got["model"].roc_auc < got["truth"].roc_auc + 0.03
+    assert got["model"].roc_auc > got["baseline"].roc_auc > 0.6 and got["model"].brier < got["baseline"].brier
+    mean = scored.agg(F.avg("p").alias("p"), F.avg("any_delay_5min").alias("y")).first()
+    assert mean.p == pytest.approx(mean.y, abs=0.05)
+
+
 def test_early_stopping(spark):
     rng = random.Random(5)
     rows = [(["YU", "BD"][i % 2], i % 24, i % 7, 1, 0, 1, rng.random(), 0.0, 0.0, 0.0, int(rng.random() < 0.5)) for i in range(600)]
