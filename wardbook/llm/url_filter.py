@@ -100,7 +100,8 @@ def scored(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     decided = verdicts[decision] if rules else F.lit(None).cast("string")
     own = pages.select("page_id", "url").groupBy("page_id", "url").agg(F.count("*").alias("copies"))
     # Few bytes, but each becomes a row: dealt to as many tasks as a shuffle has, whatever their size.
-    own = own.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page_id", "url")
+    # (By the hash of the keys, since a partitioning by the keys themselves is there already and may be coalesced.)
+    own = own.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("page_id", "url"))
     own = stored(own.withColumns({"decision": decided, "n": F.monotonically_increasing_id()}), "urls")
     split = own.select("n", "copies", "decision", F.explode(grams(url)).alias("gram"))
     of = lambda v: F.coalesce(F.sum(F.when(F.col("decision") == v, F.col("copies"))), F.lit(0)).alias(v)
