@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from wardbook.operators import features, marts, monthly, reports
+from wardbook.operators import features, marts, monthly, reports, snapshots
 from wardbook.plans.queries import Tables
 from wardbook.sources import landing
 
@@ -106,3 +106,25 @@ def test_keys_of_a_grid_stay_on_the_cluster(spark, monkeypatch):
     text = plan(grid)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and "Station 1" not in text
     assert max(map(len, fetched)) <= 1
+
+
+def test_bucketed_snapshots_are_compared_in_place(spark):
+    found = entry.queries()["x1_bucketed_diff"](spark, SF)
+    assert found.count() > 0
+    assert "Exchange" not in plan(found) and "SortMergeJoin" in plan(found) and "Exchange" in plan(entry.queries()["x1_snapshot_diff"](spark, SF))
+
+
+def test_bucketed_snapshots_keep_null_keys_and_finished_tables(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE plans_b LOCATION '{tmp_path}'")
+    try:
+        days = []
+        for day, rows in enumerate(([(None, 1), ("", 1), ("a", 1), ("b", None)], [(None, 2), ("a", 1), ("b", 1), ("c", 1)]), 1):
+            df = spark.createDataFrame(rows, "k string, v int")
+            days.append(landing.land_bucketed(df, "plans_b.t", date(2024, 2, day), "k", 3))
+        assert landing.land_bucketed(df.limit(0), "plans_b.t", date(2024, 2, 2), "k", 3) == days[1]
+        old, new = map(spark.table, days)
+        got = {tuple(r) for r in snapshots.bucketed_diff(old, new, "k").collect()}
+        assert got == {(None, "changed"), ("", "removed"), ("b", "changed"), ("c", "added")}
+        assert got == {tuple(r) for r in snapshots.snapshot_diff(old.select("k", "v"), new.select("k", "v"), "k").collect()}
+    finally:
+        spark.sql("DROP DATABASE plans_b CASCADE")

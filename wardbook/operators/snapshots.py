@@ -1,23 +1,42 @@
 """Comparing and checking whole snapshots."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wardbook.sources.landing import KEY_COLUMNS
+
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Keys added, removed or changed between two snapshots of one shape; ``key`` is unique in each."""
-    values = [c for c in old.columns if c != key]
-    left = old.select(F.col(key).alias("old_key"), F.struct(*values).alias("old_row"))
-    right = new.select(F.col(key).alias("new_key"), F.struct(*values).alias("new_row"))
+    return _diff(old, new, key, (key,), lambda a, b: a.eqNullSafe(b))
+
+
+def bucketed_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """``snapshot_diff`` of two tables of ``landing.land_bucketed``: with equal numbers of buckets, bucket by bucket,
+    without a shuffle."""
+    return _diff(old, new, key, KEY_COLUMNS, lambda a, b: a == b)
+
+
+def _diff(old, new, key, matched, same):
+    values = [c for c in old.columns if c != key and c not in matched]
+
+    def side(df, name):
+        keys = [F.col(c).alias(f"{name}_{c}") for c in dict.fromkeys((*matched, key))]
+        return df.select(*keys, F.struct(*values).alias(f"{name}_row"))
+
     change = (
         F.when(F.col("old_row").isNull(), "added")
         .when(F.col("new_row").isNull(), "removed")
         .when(~F.col("old_row").eqNullSafe(F.col("new_row")), "changed")
     )
+    on = reduce(lambda a, b: a & b, [same(F.col(f"old_{c}"), F.col(f"new_{c}")) for c in matched])
     return (
-        left.join(right, F.col("old_key").eqNullSafe(F.col("new_key")), "full")
-        .select(F.coalesce("old_key", "new_key").alias(key), change.alias("change"))
+        side(old, "old")
+        .join(side(new, "new"), on, "full")
+        .select(F.coalesce(f"old_{key}", f"new_{key}").alias(key), change.alias("change"))
         .filter("change is not null")
     )
 

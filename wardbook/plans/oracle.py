@@ -815,12 +815,11 @@ _add(
 )
 
 # --- Ideas the model's notes describe
-_add(
-    "x1_snapshot_diff",
-    """SELECT source_row_id, 'changed' AS change FROM stg_crime WHERE source_row_id % 17 = 0 AND (source_row_id % 19 <> 0 OR source_row_id = 0)
+_DIFF = """SELECT source_row_id, 'changed' AS change FROM stg_crime WHERE source_row_id % 17 = 0 AND (source_row_id % 19 <> 0 OR source_row_id = 0)
 UNION ALL SELECT source_row_id, 'removed' FROM stg_crime WHERE source_row_id % 19 = 0 AND source_row_id <> 0
-UNION ALL SELECT -source_row_id, 'added' FROM stg_crime WHERE source_row_id % 19 = 0 AND source_row_id <> 0""",
-)
+UNION ALL SELECT -source_row_id, 'added' FROM stg_crime WHERE source_row_id % 19 = 0 AND source_row_id <> 0"""
+_add("x1_snapshot_diff", _DIFF)
+_add("x1_bucketed_diff", _DIFF)
 _add(
     "x2_latest_by_key",
     f"""SELECT event_id, source_row_id, mci_category, CASE WHEN mci_category = 'Robbery' THEN {LOADED} + 86400 ELSE {LOADED} END AS _loaded_at

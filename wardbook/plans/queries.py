@@ -1178,8 +1178,7 @@ def b16_top_station_months(t):
 # --- Ideas the model's notes describe -----------------------------------------------------------
 
 
-@query
-def x1_snapshot_diff(t):
+def _two_snapshots(t):
     old = t.stg_crime.select("source_row_id", "event_id", "occurrence_hour", "neighbourhood_id")
     k = F.col("source_row_id")
     new = old.withColumns(
@@ -1188,7 +1187,23 @@ def x1_snapshot_diff(t):
             "source_row_id": F.when(k % 19 == 0, -k).otherwise(k),
         }
     )
-    return snapshots.snapshot_diff(old, new, "source_row_id")
+    return old, new
+
+
+@query
+def x1_snapshot_diff(t):
+    return snapshots.snapshot_diff(*_two_snapshots(t), "source_row_id")
+
+
+@query
+def x1_bucketed_diff(t):
+    """The same from snapshots kept in buckets, as many as a shuffle has tasks."""
+    table, buckets = f"{_database(t, 'snapshots')}.crime", int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    names = [
+        landing.land_bucketed(df, table, date(2024, 2, day), "source_row_id", buckets)
+        for day, df in enumerate(_two_snapshots(t), 1)
+    ]
+    return snapshots.bucketed_diff(*map(t.spark.table, names), "source_row_id")
 
 
 @query

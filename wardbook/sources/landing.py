@@ -1,5 +1,6 @@
 """Landing published snapshots as text tables, and writing tables."""
 
+import uuid
 import warnings
 from collections.abc import Sequence
 from datetime import date, datetime
@@ -12,6 +13,7 @@ from wardbook.functions.text import blank_to_null, clean_ident
 from wardbook.sources import versions
 
 LOADED_AT = "_loaded_at"
+KEY_COLUMNS = ("_key_text", "_key_missing")
 # A value no file holds: it lets the reader tell an empty field (null) from a quoted empty one ('').
 _NULL_MARK = "\u0001"
 _PAGE_SCHEMA = "success boolean, error string, result struct<records: array<{record}>, total: bigint>"
@@ -118,6 +120,24 @@ def land_snapshot(df: DataFrame, root: str, table: str, run_date: date) -> str:
     return path
 
 
+def land_bucketed(df: DataFrame, table: str, run_date: date, key: str, buckets: int) -> str:
+    """Keep one run date's snapshot as a table in ``buckets`` sorted files by ``key``; returns its name.
+
+    Two dates with as many buckets are compared (``snapshots.bucketed_diff``) without moving a row. ``KEY_COLUMNS`` are
+    added: the key as text, empty for null, and whether it is null. A table that is there is whole, and kept as it is; what
+    a crashed write left is in a folder of its own, which no table names.
+    """
+    spark, name = df.sparkSession, f"{table}_{run_date:%Y%m%d}"
+    if not spark.catalog.tableExists(name):
+        text, keyless = KEY_COLUMNS
+        rows = df.withColumns({text: F.coalesce(F.col(key).cast("string"), F.lit("")), keyless: F.col(key).isNull()})
+        # The files' own partitioning, so that each bucket is one task's and one file.
+        rows = rows.repartition(buckets, *KEY_COLUMNS)
+        folder = f"{versions.database_folder(spark, name)}/{uuid.uuid4().hex}"
+        rows.write.bucketBy(buckets, *KEY_COLUMNS).sortBy(*KEY_COLUMNS).option("path", folder).saveAsTable(name)
+    return name
+
+
 def load_seed(spark: SparkSession, path: str, schema: str, max_lengths: dict[str, int] | None = None) -> DataFrame:
     """A static CSV of declared types; text longer than its column's limit is an error."""
     seed = spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)

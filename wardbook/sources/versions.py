@@ -35,6 +35,12 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"{old} was not renamed to {new}")
 
 
+def database_folder(spark: SparkSession, table: str) -> str:
+    """Of the database that ``table`` is named in, or of the current one."""
+    database = table.rpartition(".")[0] or spark.catalog.currentDatabase()
+    return spark.catalog.getDatabase(database).locationUri.rstrip("/")
+
+
 def location(spark: SparkSession, table: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
     return rows[0]["data_type"].rstrip("/")
