@@ -1,11 +1,13 @@
 """Both substring operators against a plain search for repeated windows."""
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wardbook.llm import recompression, repeats, spans, suffix_dedup
 
@@ -69,9 +71,50 @@ def test_suffix_passages(corpus, corpus_frame):
         assert first < i and any(tuple(w[s : s + SIZE]) in windows[first] for s in range(n - SIZE + 1))
 
 
-def test_suffix_cut(spark, corpus, corpus_frame):
-    from pyspark.sql import functions as F
+def passages_of(frame):
+    return sorted((r.doc_id, r.first_word, r.n_words, r.first_doc_id, r.passage) for r in suffix_dedup.repeated_passages(frame).collect())
+
+
+@pytest.mark.parametrize("held", [1, 7, 60])
+def test_suffixes_compared_few_at_a_time(spark, corpus, corpus_frame, monkeypatch, held):
+    """Intervals that borders cut are settled by the names of their windows: the same places."""
+    monkeypatch.setattr(suffix_dedup, "HELD", held)
+    want = {(i, p) for (i, _), places in zip(corpus, covered(corpus)) for p in places}
+    assert {(i, p) for i, at, n, *_ in passages_of(corpus_frame) for p in range(at, at + n)} == want
+
+
+@pytest.mark.parametrize("held", [3, 1 << 14])
+def test_suffixes_are_extended_to_both_sides(spark, monkeypatch, held):
+    """A passage of the window's length, one word more or less, between different words in many documents, and two
+    that part before or after a common core."""
+    monkeypatch.setattr(suffix_dedup, "HELD", held)
+    core, rows = [f"c{i}" for i in range(60)], []
+    for k in range(40):
+        rows.append((k, " ".join([f"{k}_{i}" for i in range(30)] + core[: 48 + k % 5] + [f"{k}-{i}" for i in range(30)])))
+        rows.append((100 + k, " ".join([f"l{k % 3}_{i}" for i in range(20)] + core[10:45] + [f"r{k % 4}_{i}" for i in range(20)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = sorted((i, len(places)) for (i, _), places in zip(rows, covered(rows)) if places)
+    kept = suffix_dedup.without_repeats(docs.withColumn("old", F.col("text"))).collect()
+    assert sorted((r.doc_id, n) for r in kept if (n := len(split(r.old)) - len(split(r.text)))) == want
+
 
+@pytest.mark.parametrize("operator", [recompression, suffix_dedup])
+def test_very_long_texts(spark, operator):
+    rng = random.Random(2)
+    a = [f"w{rng.randrange(30000)}" for _ in range(40000)]
+    b = a[:9000] + ["x"] + a[9000:21000] + [f"w{rng.randrange(30000)}" for _ in range(9000)] + a[30000:]
+    rows = [(1, " ".join(a)), (2, " ".join(b)), (3, "y" * 300000 + " " + " ".join(b[100:20000]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [len(places) for places in covered(rows)]
+    if operator is recompression:
+        got = [r.n_removed for r in sorted(recompression.digest(docs).collect())]
+    else:
+        kept = sorted(suffix_dedup.without_repeats(docs).collect())
+        got = [len(split(text)) - len(split(r.text)) for (_, text), r in zip(rows, kept)]
+    assert got == want and want[1] > 30000 and want[2] > 19000
+
+
+def test_suffix_cut(spark, corpus, corpus_frame):
     docs = corpus_frame.withColumns({"spans": F.lit(1), "row": F.lit("x"), "n_chars": F.length("text").cast("long")})
     out = suffix_dedup.without_repeats(docs)
     assert out.columns == docs.columns and out.dtypes == docs.dtypes

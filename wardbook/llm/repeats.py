@@ -11,9 +11,10 @@ places that equal windows must have in common:
 3. The operator says which names occur in two or more of the other documents. Only these runs go on.
 4. A run whose whole segment (the words of all its windows) is also in a smaller document is settled by the
    segment's hash. Of each segment all the smallest document's runs go on if its name has other segments.
-5. ``covered`` reads the texts of these runs again and names every window of theirs by two independent
-   64-bit hashes of its words, which verifies a match. The smallest id of each is taken with map-side partial results, so a
-   passage in a third of all documents is no single task's work.
+5. ``covered`` reads the texts of these runs again, and a function given by the operator finds the windows of
+   theirs that a smaller document has too. ``equal_windows`` names every window by two independent 64-bit hashes of
+   its words, which verifies a match. The smallest id of each is taken with map-side partial results, so a passage in
+   a third of all documents is no single task's work.
 
 Rows without an id take no part. Rows that share an id are told apart by their words.
 """
@@ -100,31 +101,55 @@ def original_runs(marks: DataFrame, placed: DataFrame) -> DataFrame:
     return marks.filter(F.size("runs") > 0).join(originals, ["doc_id", "seq", "seq2"], "left_semi").select("doc_id", "seq", F.inline("runs"))
 
 
+def run_windows(t: S.Texts, w: S.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of the runs given with each text: their documents, these documents' sequence hashes, and where
+    they start."""
+    seq = sequence_hash(w)
+    lists = t.rows.column(t.rows.schema.get_field_index("runs"))
+    doc = np.repeat(np.arange(len(t)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    flat = lists.flatten()
+    own, first, n = (flat.field(k).to_numpy() for k in ("seq", "first", "n"))
+    ok = seq[doc] == own
+    doc, first, n = doc[ok], first[ok].astype(np.int64), n[ok].astype(np.int64)
+    start = S.ranges(first + w.first[doc], n)
+    doc = np.repeat(doc, n)
+    return doc, seq[doc], start
+
+
 def _windows(size: int):
     """Every window of the runs given with each text, by a 128-bit name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in S.texts(batches):
             w = S.words(t)
-            seq = sequence_hash(w)
-            lists = t.rows.column(t.rows.schema.get_field_index("runs"))
-            doc = np.repeat(np.arange(len(t)), lists.value_lengths().to_numpy(zero_copy_only=False))
-            flat = lists.flatten()
-            own, first, n = (flat.field(k).to_numpy() for k in ("seq", "first", "n"))
-            ok = seq[doc] == own
-            doc, first, n = doc[ok], first[ok].astype(np.int64), n[ok].astype(np.int64)
-            start = S.ranges(first + w.first[doc], n)
-            doc = np.repeat(doc, n)
+            doc, seq, start = run_windows(t, w)
             p, other = S.word_prefix(w.hash), S.other_word_prefix(t, w)
             ids = t.column("doc_id")[doc] if len(doc) else doc
-            cols = [p.hash(start, start + size, 3).view(np.int64), other.hash(start, start + size, 3).view(np.int64), ids.astype(np.int64), seq[doc], (start - w.first[doc]).astype(np.int32)]
+            cols = [p.hash(start, start + size, 3).view(np.int64), other.hash(start, start + size, 3).view(np.int64), ids.astype(np.int64), seq, (start - w.first[doc]).astype(np.int32)]
             for at in range(0, len(start), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 16)]) for c in cols], names=["w1", "w2", "doc_id", "seq", "start"])
 
     return run
 
 
-def covered(docs: DataFrame, placed: DataFrame, shared: DataFrame, size: int) -> DataFrame:
+def first_ids(windows: DataFrame) -> DataFrame:
+    """Of named windows (w1, w2, doc_id, seq, start), those that a smaller document has too, with its id."""
+    firsts = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    firsts = firsts.filter("first_id < last_id").drop("last_id")
+    hits = windows.join(firsts, ["w1", "w2"]).filter("first_id < doc_id")
+    return hits.select("doc_id", "seq", "first_id", F.col("start").alias("first"), F.lit(1).alias("n"))
+
+
+def equal_windows(texts: DataFrame, size: int) -> DataFrame:
+    """Of the windows of the ``runs`` given with ``texts``: (doc_id, seq, first_id, first, n), those that a smaller
+    document's runs have too."""
+    return first_ids(stored(texts.mapInArrow(_windows(size), "w1 long, w2 long, doc_id long, seq long, start int"), "windows"))
+
+
+Finder = Callable[[DataFrame, int], DataFrame]
+
+
+def covered(docs: DataFrame, placed: DataFrame, shared: DataFrame, size: int, find: Finder = equal_windows) -> DataFrame:
     """Per document with covered words: ``spans``, a list of (seq, first_id, ranges of covered windows).
 
     ``shared`` has the runs (key, segment, doc_id, seq, first, n) whose names occur in several documents. A
@@ -150,13 +175,9 @@ def covered(docs: DataFrame, placed: DataFrame, shared: DataFrame, size: int) ->
     open_runs = opened.filter("not twice").select("least.*").unionByName(again)
     runs = open_runs.groupBy("doc_id").agg(F.collect_set(F.struct("seq", "first", "n")).alias("runs"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(runs, "doc_id")
-    found = stored(texts.mapInArrow(_windows(size), "w1 long, w2 long, doc_id long, seq long, start int"), "windows")
-    firsts = found.groupBy("w1", "w2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-    firsts = firsts.filter("first_id < last_id").drop("last_id")
-    hits = found.join(firsts, ["w1", "w2"]).filter("first_id < doc_id")
-    hits = hits.select("doc_id", "seq", "first_id", F.col("start").alias("first"), F.lit(1).alias("n"))
     return (
-        hits.unionByName(settled)
+        find(texts, size)
+        .unionByName(settled)
         .unionByName(whole)
         .repartition("doc_id")
         .groupBy("doc_id", "seq", "first_id")

@@ -93,6 +93,11 @@ def word_prefix(hashes: np.ndarray) -> Prefix:
     return Prefix(hashes, _WORD_POWERS)
 
 
+def other_prefix(hashes: np.ndarray) -> Prefix:
+    """Over the same values as ``word_prefix``, by another base."""
+    return Prefix(mix(hashes, 1002), _OTHER_WORD_POWERS)
+
+
 def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
     """64-bit hashes of byte spans, eight bytes mixed in at a time. Two seeds give independent hashes."""
     length = (end - start).astype(np.int64)

@@ -2,17 +2,27 @@
 
 Of all suffixes only those at minimiser positions are kept: each window of words is represented by the
 smallest hash among its runs of ``SEED`` words, so equal windows keep the same suffix, and neighbouring
-windows mostly share one. The kept suffixes are range-sorted by their seed over the whole corpus and each is
-compared with its neighbours; the few groups that a partition border cuts are settled by the border
-suffixes alone. A suffix with an equal neighbour is then extended to both sides: as far as all its windows
-reach, and where these segments differ, window by window, each of which splits ``size`` words in another way
-between left and right. Equal words are a match.
+windows mostly share one.
+
+1. The kept suffixes are range-sorted by the name of their first ``SEED`` words over the whole corpus and each is
+   compared with its neighbours; the few groups that a partition border cuts are settled by the border suffixes
+   alone. Only suffixes with an equal neighbour in another document go on.
+2. Of equal segments (all the words that a suffix's windows reach) one stands for all (``repeats.covered``).
+3. These suffixes are range-sorted by all their words, as far as their windows reach to the right, and then by the
+   words before them, the nearest first. Neighbours' common prefix lengths cut the order into intervals of suffixes
+   that share so many words to the right; the same is done for the words to the left. A window is a split of ``size``
+   words between left and right: suffixes in one interval on both sides match there, and the smallest document's is
+   the first. Intervals that a border of a partition (or of ``HELD`` suffixes) cuts are settled together by two
+   64-bit names of their windows.
+
+Words are compared by their 64-bit hashes.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +31,10 @@ from wardbook.llm import spans as S
 from wardbook.llm.scratch import stored
 
 SEED = 16
+# Suffixes that a task compares at a time, unless equal seeds end them earlier.
+HELD = 1 << 14
+# Rows that Spark samples of a partition, three times, to find the borders of a sort whose keys are whole suffixes.
+SAMPLED = 20
 _INNER, _EDGE, _LONE = 0, 1, 2
 _COLUMNS = ["key", "doc_id", "segment", "seq", "first", "n"]
 _SUFFIX = "key long, doc_id long, segment long, seq long, first int, n int"
@@ -78,11 +92,146 @@ def shared_runs(runs: DataFrame) -> DataFrame:
     return found.filter(F.col("state") < _LONE).unionByName(found.filter(F.col("state") == _LONE).join(cut, "key")).drop("state")
 
 
+def _minimisers(w: S.Words, start: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """Where each window's smallest run of ``seed`` words starts, the first of equal ones."""
+    if not len(start):
+        return start
+    at = np.arange(len(w) - seed + 1)
+    order = np.argsort(S.word_prefix(w.hash).hash(at, at + seed, 21), kind="stable")
+    rank = np.empty_like(order)
+    rank[order] = at
+    return order[R.range_min(rank, start, start + size - seed)]
+
+
+def _symbols(hashes: np.ndarray, at: np.ndarray, n: np.ndarray) -> pa.Array:
+    """Lists of ``n`` words as binary values, eight bytes a word, that sort like lists."""
+    ends = np.append(0, np.cumsum(8 * n)).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(hashes[at].astype(">u8").tobytes())])
+
+
+def _suffixes(size: int, seed: int):
+    """The suffixes of the runs given with each text: the words from the minimiser on and those before it (the
+    nearest first), as far as the windows reach that share it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in S.texts(batches):
+            w = S.words(t)
+            doc, seq, start = R.run_windows(t, w)
+            place = _minimisers(w, start, size, seed)
+            new = np.ones(len(start), bool)
+            new[1:] = (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)
+            at = np.flatnonzero(new)
+            until = start[np.append(at, len(start))[1:] - 1] + size
+            ids = t.column("doc_id")
+            for k in range(0, len(at), 1 << 12):
+                own, end = at[k : k + (1 << 12)], until[k : k + (1 << 12)]
+                p, d = place[own], doc[own]
+                right, left = end - p, p - start[own]
+                cols = [_symbols(w.hash, S.ranges(p, right), right), _symbols(w.hash, -S.ranges(1 - p, left), left)]
+                cols += [pa.array(c) for c in (ids[d].astype(np.int64), seq[own], (p - w.first[d]).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(cols, names=["right", "left", "doc_id", "seq", "place"])
+
+    return run
+
+
+def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of words as rows filled up with zeros, and their lengths."""
+    n = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // 8
+    out = np.zeros((len(column), width), np.uint64)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    if data is not None and n.any():
+        out[np.arange(width) < n[:, None]] = np.frombuffer(data.to_pybytes()[offsets[0] : offsets[-1]], ">u8")
+    return out, n
+
+
+def _common(rows: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How many words each row has in common with the row before it, from the first on."""
+    out = np.zeros(len(rows), np.int64)
+    equal = np.logical_and.accumulate(rows[1:] == rows[:-1], axis=1).sum(axis=1)
+    out[1:] = np.minimum(equal, np.minimum(n[1:], n[:-1]))
+    return out
+
+
+def _compared(rows: pa.RecordBatch, size: int, seed: int, cut_before: bool, cut_behind: bool) -> Iterator[pa.RecordBatch]:
+    """Windows of sorted suffixes that a smaller document among them has too, and the names of those whose equals
+    may lie beyond a border."""
+    right, ahead = _matrix(rows.column(0), size)
+    left, behind = _matrix(rows.column(1), size - seed)
+    doc, seq, place = (rows.column(k).to_numpy() for k in (2, 3, 4))
+    # The order by the words to the left, and each suffix's place in it.
+    order = np.lexsort(left.T[::-1]) if left.shape[1] else np.arange(len(rows))
+    common_right, common_left = _common(right, ahead), _common(left[order], behind[order])
+    # Every suffix's words from left to right, end to end.
+    words = np.concatenate([left[:, ::-1], right], axis=1).ravel()
+    one, other = S.word_prefix(words), S.other_prefix(words)
+    own_left = np.empty(len(rows), np.int64)
+    for before in range(size - seed + 1):
+        on = (size - ahead <= before) & (before <= behind)
+        own_right = np.cumsum(common_right < size - before)
+        own_left[order] = np.cumsum(common_left < before)
+        at_border = (cut_before & (own_right == own_right[0])) | (cut_behind & (own_right == own_right[-1]))
+        inner, border = np.flatnonzero(on & ~at_border), np.flatnonzero(on & at_border)
+        names, group = np.unique(own_right[inner] * (len(rows) + 1) + own_left[inner], return_inverse=True)
+        first = np.full(len(names), np.iinfo(np.int64).max)
+        np.minimum.at(first, group, doc[inner])
+        later = first[group] < doc[inner]
+        inner, first = inner[later], first[group][later]
+        at = border * (size + left.shape[1]) + left.shape[1] - before
+        for found, first_id, name in (
+            (inner, pa.array(first), [pa.nulls(len(inner), pa.int64())] * 2),
+            (border, pa.nulls(len(border), pa.int64()), [pa.array(p.hash(at, at + size, 3).view(np.int64)) for p in (one, other)]),
+        ):
+            if len(found):
+                cols = [*name, pa.array(doc[found]), pa.array(seq[found]), pa.array((place[found] - before).astype(np.int32)), first_id]
+                yield pa.RecordBatch.from_arrays(cols, names=["w1", "w2", "doc_id", "seq", "start", "first_id"])
+
+
+def _matches(size: int, seed: int, most: int):
+    """Compare a partition of the sorted suffixes, up to a change of the seed or ``most`` at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, cut = [], True
+        for batch in batches:
+            parts.append(batch)
+            if sum(map(len, parts)) < most:
+                continue
+            rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+            new = np.flatnonzero(_common(*_matrix(rows.column(0), size))[1:] < seed) + 1
+            at = int(new[-1]) if len(new) else len(rows)
+            yield from _compared(rows.slice(0, at), size, seed, cut, not len(new))
+            parts, cut = [rows.slice(at)] if len(new) else [], not len(new)
+        if any(map(len, parts)):
+            rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+            yield from _compared(rows, size, seed, cut, True)
+
+    return run
+
+
+def extended_matches(texts: DataFrame, size: int) -> DataFrame:
+    """Of the windows of the ``runs`` given with ``texts``: (doc_id, seq, first_id, first, n), those that a smaller
+    document's runs have too, by the suffixes' sorted words."""
+    spark, seed, order = texts.sparkSession, min(SEED, size), ["right", "left", "doc_id"]
+    suffixes = texts.mapInArrow(_suffixes(size, seed), "right binary, left binary, doc_id long, seq long, place int")
+    suffixes = stored(suffixes, "word_suffixes")
+    key = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, SAMPLED)
+    try:
+        ranked = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
+        found = ranked.mapInArrow(_matches(size, seed, HELD), "w1 long, w2 long, doc_id long, seq long, start int, first_id long")
+        found = stored(found, "matches")
+    finally:
+        spark.conf.set(key, before)
+    inner = found.filter("first_id is not null").select("doc_id", "seq", "first_id", F.col("start").alias("first"), F.lit(1).alias("n"))
+    return inner.unionByName(R.first_ids(found.filter("first_id is null").drop("first_id")))
+
+
 def repeated_spans(docs: DataFrame, size: int = R.WINDOW) -> DataFrame:
     """Per document that repeats a passage of a document with a smaller id: its spans."""
     marks = R.mark(docs, name_windows, size)
     placed = R.placed(marks)
-    return R.covered(docs, placed, shared_runs(R.original_runs(marks, placed)), size)
+    return R.covered(docs, placed, shared_runs(R.original_runs(marks, placed)), size, extended_matches)
 
 
 def repeated_passages(docs: DataFrame, size: int = R.WINDOW) -> DataFrame:
