@@ -50,21 +50,22 @@ def expected(rows, limits):
     by_lang = {}
     for _, lang, text in rows:
         if text is not None:
-            c, w, n = by_lang.setdefault(lang or "", (Counter(), Counter(), [0]))
+            c, w = by_lang.setdefault(lang or "", (Counter(), Counter()))
             hc, hw = histograms(text)
             c.update(hc), w.update(hw)
-            n[0] += 1
-    n_docs = sum(n[0] for *_, n in by_lang.values())
-    refs = []
-    for c, w, n in by_lang.values():
-        if n[0] >= 0.01 * n_docs:
-            common = dict(w.most_common(64))
-            refs.append((c, {**common, None: sum(w.values()) - sum(common.values())}))
-    for i, _, text in rows:
+    refs = {}
+    for lang, (c, w) in by_lang.items():
+        common = dict(w.most_common(64))
+        refs[lang] = (c, {**common, None: sum(w.values()) - sum(common.values())}, sum(c.values()) >= 4000, sum(w.values()) >= 1000)
+    for i, lang, text in rows:
         c, w = histograms(text)
-        dc = min(js(c, r) for r, _ in refs)
-        dw = min(js(Counter({k: n for k, n in w.items() if k in r}) + Counter({None: sum(n for k, n in w.items() if k not in r)}), r) for _, r in refs)
-        odd = (sum(c.values()) >= limits.min_chars and dc > limits.class_distance) or (sum(w.values()) >= limits.min_words and dw > limits.word_distance)
+        ref_c, ref_w, chars_enough, words_enough = refs.get(lang or "", (c, {None: 1}, False, False))
+        dc = dw = 0
+        if chars_enough or words_enough:
+            dc = js(c, ref_c)
+            dw = js(Counter({k: n for k, n in w.items() if k in ref_w}) + Counter({None: sum(n for k, n in w.items() if k not in ref_w)}), ref_w)
+        odd = (chars_enough and sum(c.values()) >= limits.min_chars and dc > limits.class_distance)
+        odd |= words_enough and sum(w.values()) >= limits.min_words and dw > limits.word_distance
         b = base(text)
         yield i, *b, not b[5] and not odd, dc, dw
 
@@ -144,6 +145,18 @@ def test_small_languages_have_their_own_references(spark):
     assert [i for i, kept in got.items() if not kept] == [4000, 4001]
 
 
+def test_more_documents_of_another_language_change_nothing(spark):
+    """Whether a language is common says nothing about the others' documents."""
+    rng = random.Random(9)
+    rows = [(i, "en", x) for i, x in enumerate(_language(rng, "abcdefghijklm", 30))] + [(50, "en", _language(rng, "nopqrstuvwxyz", 1)[0])]
+    more = [(1000 + i, "fr", x) for i, x in enumerate(_language(rng, "nopqrstuvwxyz", 400))]
+    got = []
+    for some in (rows, rows + more[:8], rows + more):
+        found = quality_rules.judged(spark.createDataFrame(some, "doc_id long, lang string, text string")).collect()
+        got.append(sorted(tuple(r) for r in found if r.doc_id < 1000))
+    assert got[0] == got[1] == got[2] and len({r[7] for r in got[0]}) == 2
+
+
 def test_many_languages_without_a_large_one(spark):
     rng = random.Random(7)
     rows = [(100 * k + i, f"l{k}", x) for k in range(110) for i, x in enumerate(_language(rng, "abcdefghijklmnopqrstuvwxyz", 30))]

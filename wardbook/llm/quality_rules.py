@@ -1,9 +1,9 @@
 """Quality rules by distribution divergence.
 
 A language's reference is the histogram of character classes and of its common words over all its documents.
-A document is compared with the nearest of its own language's reference and the widespread languages' by the
-Jensen-Shannon distance (square root of the divergence in bits) of both histograms. Short documents and small
-languages, whose histograms say little, are guarded by minimum lengths. Plain counts (words, symbols, repeated
+A document is compared with its language's reference, which is joined to it, by the Jensen-Shannon distance (square
+root of the divergence in bits) of both histograms. Short documents and small languages, whose histograms say
+little, are guarded by minimum lengths. Plain counts (words, symbols, repeated
 lines and words) stand beside the verdict.
 """
 
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -33,9 +33,7 @@ _SKIPPED = 9  # the later bytes of a character
 _CLASS[128:192] = _SKIPPED
 
 REPEAT_WINDOW = 8
-# A language with this share of the documents is a reference for all documents (there are at most 100 such), any
-# other for its own.
-LANGUAGE_SHARE, COMMON_WORDS = 0.01, 64
+COMMON_WORDS = 64
 # The documents of a language with fewer characters or words in all are not judged by that histogram.
 REFERENCE_CHARS, REFERENCE_WORDS = 4000, 1000
 # A task reports its counts when it holds so many distinct words, and at its end.
@@ -53,20 +51,12 @@ class Limits:
 
 
 @dataclass
-class References:
-    classes: np.ndarray  # a row each, shares
-    words: list[tuple[np.ndarray, np.ndarray]]  # sorted hashes of common words, shares with the rest last
-    names: np.ndarray  # of the languages, sorted
-    shared: np.ndarray  # a reference for all documents, or for its own language's
-    n_chars: np.ndarray
-    n_words: np.ndarray
-
-    def numbers(self, lang: np.ndarray) -> np.ndarray:
-        """Each language's place here, or -1."""
-        if not len(self.names):
-            return np.full(len(lang), -1)
-        at = np.minimum(np.searchsorted(self.names, lang), len(self.names) - 1)
-        return np.where(self.names[at] == lang, at, -1)
+class Reference:
+    classes: np.ndarray  # shares
+    words: np.ndarray  # sorted hashes of common words
+    word_shares: np.ndarray  # of these, and of the rest
+    judges_classes: bool  # whether the language has characters enough
+    judges_words: bool
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -134,33 +124,29 @@ def _lang(docs: DataFrame) -> Column:
     return (F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")).alias("lang")
 
 
-def references(docs: DataFrame) -> References:
-    """From all of ``docs`` (``text``, and ``lang`` if there is one), but of languages too small to be judged."""
+def references(docs: DataFrame) -> DataFrame:
+    """From all of ``docs`` (``text``, and ``lang`` if there is one): ``lang`` and ``reference`` (whole counts of classes
+    and common words, and of all characters and words), a row of about a kilobyte for each language that is judged."""
     own = docs.select(_lang(docs), "text").filter("text is not null")
     counts = own.mapInArrow(_counts, "lang string, kind string, key long, n long")
     counts = counts.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     place = F.row_number().over(W.partitionBy("lang", "kind").orderBy(F.desc("n"), "key"))
-    best = stored(counts.withColumn("place", place).filter(F.col("place") <= COMMON_WORDS).drop("place"), "histograms")
-    of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
-    sizes = best.groupBy("lang").agg(of("docs").alias("docs"), of("class").alias("n_chars"), of("words").alias("n_words"))
-    total = best.filter("kind = 'docs'").agg(F.sum("n").alias("all"))
-    sizes = sizes.crossJoin(F.broadcast(total)).withColumn("shared", F.col("docs") >= LANGUAGE_SHARE * F.col("all"))
-    sizes = sizes.filter(F.col("shared") | (F.col("n_chars") >= REFERENCE_CHARS) | (F.col("n_words") >= REFERENCE_WORDS))
-    # At most 74 rows for each of these languages.
-    rows = best.join(sizes.select("lang", "shared", "n_chars", "n_words"), "lang").toArrow()
-    lang, kind, key, n, shared, n_chars, n_words = (rows[c].to_numpy() for c in ("lang", "kind", "key", "n", "shared", "n_chars", "n_words"))
-    names, at, which = np.unique(lang.astype(str), return_index=True, return_inverse=True)
-    classes, words = np.zeros((len(names), len(CLASSES))), []
-    own = kind == "class"
-    classes[which[own], key[own]] = n[own]
-    own = np.flatnonzero(kind == "word")
-    own = own[np.lexsort((key[own].view(np.uint64), which[own]))]
-    ends = np.searchsorted(which[own], np.arange(len(names) + 1))
-    for i in range(len(names)):
-        some = own[ends[i] : ends[i + 1]]
-        all_words = max(1, n_words[at[i]])
-        words.append((key[some].view(np.uint64), np.append(n[some], max(0, all_words - n[some].sum())) / all_words))
-    return References(_shares(classes), words, names, shared[at].astype(bool), n_chars[at], n_words[at])
+    best = counts.withColumn("place", place).filter(F.col("place") <= COMMON_WORDS)
+    of = lambda kind, what: F.when(F.col("kind") == kind, what)
+    pairs = [F.collect_list(of(kind, F.struct("key", "n"))).alias(name) for kind, name in (("class", "classes"), ("word", "words"))]
+    sums = [F.coalesce(F.sum(of(kind, F.col("n"))), F.lit(0)).alias(name) for kind, name in (("class", "n_chars"), ("words", "n_words"))]
+    found = best.groupBy("lang").agg(*pairs, *sums).filter((F.col("n_chars") >= REFERENCE_CHARS) | (F.col("n_words") >= REFERENCE_WORDS))
+    return stored(found.select("lang", F.struct("classes", "words", "n_chars", "n_words").alias("reference")), "references")
+
+
+def _reference(row: dict) -> Reference:
+    classes = np.zeros(len(CLASSES))
+    for c in row["classes"]:
+        classes[c["key"]] = c["n"]
+    words = np.array([x["key"] for x in row["words"]], np.int64).view(np.uint64)
+    n, order = np.array([x["n"] for x in row["words"]], np.int64), np.argsort(words)
+    shares = np.append(n[order], max(0, row["n_words"] - n.sum())) / max(1, row["n_words"])
+    return Reference(_shares(classes), words[order], shares, row["n_chars"] >= REFERENCE_CHARS, row["n_words"] >= REFERENCE_WORDS)
 
 
 def _repeat_words(w: S.Words) -> np.ndarray:
@@ -194,8 +180,7 @@ def _dup_lines(t: S.Texts, w: S.Words) -> np.ndarray:
     return np.bincount(doc[order][1:][equal], minlength=len(t))
 
 
-def _word_distance(w: S.Words, rows: np.ndarray, ref: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    hashes, shares = ref
+def _word_distance(w: S.Words, rows: np.ndarray, hashes: np.ndarray, shares: np.ndarray) -> np.ndarray:
     n = w.counts[rows]
     own = w.hash[S.ranges(w.first[rows], n)]
     at = np.minimum(np.searchsorted(hashes, own), max(0, len(hashes) - 1))
@@ -204,21 +189,25 @@ def _word_distance(w: S.Words, rows: np.ndarray, ref: tuple[np.ndarray, np.ndarr
     return js_distance(_shares(np.bincount(bins, minlength=len(rows) * len(shares)).reshape(len(rows), -1)), shares[None])
 
 
-def distances(t: S.Texts, refs: References, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each document's distance from the nearest reference, by classes and by words, and its characters.
-    ``own`` has the places of their languages' references."""
+def distances(t: S.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each document's distance from its language's ``reference``, by classes and by words (0 without one), its characters,
+    and whether that language judges classes and words."""
     counts = S.histogram(t, _CLASS[t.data], len(CLASSES) + 1)[:, : len(CLASSES)]
     shares, w = _shares(counts), _lower(t)
-    by_class, by_word = np.full((2, len(t)), np.inf)
-    for i in np.union1d(np.flatnonzero(refs.shared), own[own >= 0]):
-        rows = np.arange(len(t)) if refs.shared[i] else np.flatnonzero(own == i)
-        by_class[rows] = np.minimum(by_class[rows], js_distance(shares[rows], refs.classes[i][None]))
-        by_word[rows] = np.minimum(by_word[rows], _word_distance(w, rows, refs.words[i]))
-    none = np.isinf(by_class)
-    return np.where(none, 0, by_class), np.where(none, 0, by_word), counts.sum(axis=1)
-
-
-def _judge(refs, limits: Limits):
+    by_class, by_word = np.zeros((2, len(t)))
+    judges_classes, judges_words = np.zeros((2, len(t)), bool)
+    column = t.rows.column(t.rows.schema.get_field_index("reference"))
+    _, at, which = np.unique(t.column("lang").astype(str), return_index=True, return_inverse=True)
+    for i, one in enumerate(at.tolist()):
+        if column[one].is_valid:
+            ref, rows = _reference(column[one].as_py()), np.flatnonzero(which == i)
+            by_class[rows] = js_distance(shares[rows], ref.classes[None])
+            by_word[rows] = _word_distance(w, rows, ref.words, ref.word_shares)
+            judges_classes[rows], judges_words[rows] = ref.judges_classes, ref.judges_words
+    return by_class, by_word, counts.sum(axis=1), judges_classes, judges_words
+
+
+def _judge(limits: Limits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in S.texts(batches):
             w = S.words(t)
@@ -228,14 +217,13 @@ def _judge(refs, limits: Limits):
             symbols = S.segment_sums(_CLASS[t.data] == 6, t.offsets)
             repeats = _repeat_words(w)
             failed = (n < 20) | (100 * repeats > 30 * n)
-            own = refs.value.numbers(t.column("lang").astype(str))
-            by_class, by_word, chars = distances(t, refs.value, own)
-            enough_chars, enough_words = (np.append(x, 0)[own] >= least for x, least in ((refs.value.n_chars, REFERENCE_CHARS), (refs.value.n_words, REFERENCE_WORDS)))
-            odd = enough_chars & (chars >= limits.min_chars) & (by_class > limits.class_distance)
-            odd |= enough_words & (n >= limits.min_words) & (by_word > limits.word_distance)
+            by_class, by_word, chars, judges_classes, judges_words = distances(t)
+            odd = judges_classes & (chars >= limits.min_chars) & (by_class > limits.class_distance)
+            odd |= judges_words & (n >= limits.min_words) & (by_word > limits.word_distance)
             yield S.with_column(
-                t.rows, ("text", "lang"), n_words=n.astype(np.int64), word_chars=word_chars, n_symbols=symbols, n_dup_lines=_dup_lines(t, w),
-                n_repeat_words=repeats, base_failed=failed, kept=~failed & ~odd, class_distance=by_class, word_distance=by_word,
+                t.rows, ("text", "lang", "reference"), n_words=n.astype(np.int64), word_chars=word_chars, n_symbols=symbols,
+                n_dup_lines=_dup_lines(t, w), n_repeat_words=repeats, base_failed=failed, kept=~failed & ~odd,
+                class_distance=by_class, word_distance=by_word,
             )
 
     return run
@@ -247,10 +235,10 @@ _VERDICT = (
 )
 
 
-def _applied(docs: DataFrame, keep: list, schema: str, limits: Limits) -> DataFrame:
-    spark: SparkSession = docs.sparkSession
-    refs = spark.sparkContext.broadcast(references(docs))  # about 1.2 KB a language
-    return docs.select(*keep, _lang(docs), "text").mapInArrow(_judge(refs, limits), f"{schema}, {_VERDICT}")
+def _with_references(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """The ``columns`` and ``lang`` beside the language's ``reference`` or null. References are joined, so that Spark
+    broadcasts them if they are small."""
+    return docs.select(*columns, _lang(docs)).join(references(docs), "lang", "left")
 
 
 def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -260,20 +248,20 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     Words end at ASCII white space. A null text has no words and fails; equal rows are judged alike; a text
     under both minimum lengths, or of a language whose texts have too few characters and words for a
-    reference, is judged by the counts alone (with distances of 0 if there is no reference at all); an empty
-    table gives no rows.
+    reference, is judged by the counts alone (in the latter case with distances of 0); a null ``lang`` is a language
+    of its own; an empty table gives no rows.
     """
-    return _applied(docs, [F.col("doc_id").cast("long").alias("doc_id")], "doc_id long", limits)
+    rows = _with_references(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(_judge(limits), f"doc_id long, {_VERDICT}")
 
 
 def kept(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of ``docs`` that ``judged`` keeps, with all their columns."""
-    rows = docs.select(F.struct("*").alias("row"), _lang(docs))
-    refs = docs.sparkSession.sparkContext.broadcast(references(docs))
-    verdict = rows.limit(0).drop("lang").withColumn("kept", F.lit(True)).schema
+    row = F.struct("*").alias("row")
+    verdict = docs.select(row, F.lit(True).alias("kept")).schema
 
     def run(batches):
-        for out in _judge(refs, limits)(batches):
+        for out in _judge(limits)(batches):
             yield out.select(["row", "kept"]).filter(out.column(out.schema.get_field_index("kept")))
 
-    return rows.mapInArrow(run, verdict).select("row.*")
+    return _with_references(docs, row).mapInArrow(run, verdict).select("row.*")
