@@ -98,6 +98,22 @@ def test_suffixes_are_extended_to_both_sides(spark, monkeypatch, held):
     assert sorted((r.doc_id, n) for r in kept if (n := len(split(r.old)) - len(split(r.text)))) == want
 
 
+@pytest.mark.parametrize("held", [3, 50, 1 << 14])
+def test_a_common_passage_has_few_rows(spark, monkeypatch, held):
+    """Neighbouring windows of a passage in very many documents are found as runs, wherever borders cut its suffixes."""
+    monkeypatch.setattr(suffix_dedup, "HELD", held)
+    core = [f"c{i}" for i in range(90)]
+    rows = [(k, " ".join([f"{k}_{i}" for i in range(60)] + core + [f"{k}-{i}" for i in range(60)])) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    marks = repeats.mark(docs, suffix_dedup.name_windows, SIZE)
+    runs = repeats.original_runs(marks, repeats.placed(marks)).groupBy("doc_id").agg(F.collect_set(F.struct("seq", "first", "n")).alias("runs"))
+    found = suffix_dedup.extended_matches(docs.join(runs, "doc_id"), SIZE).collect()
+    places = {(r.doc_id, p) for r in found for p in range(r.first, r.first + r.n)}
+    assert places == {(k, p) for k in range(1, 300) for p in range(60, 101)} and {r.first_id for r in found} == {0}
+    # A row for each suffix, of which a passage has few, not for each of the 41 windows.
+    assert len(found) <= 299 * 10
+
+
 @pytest.mark.parametrize("operator", [recompression, suffix_dedup])
 def test_very_long_texts(spark, operator):
     rng = random.Random(2)

@@ -13,17 +13,20 @@ windows mostly share one.
    that share so many words to the right; the same is done for the words to the left. A window is a split of ``size``
    words between left and right: suffixes in one interval on both sides match there, and the smallest document's is
    the first. Intervals that a border of a partition (or of ``HELD`` suffixes) cuts are settled together by two
-   64-bit names of their windows.
+   64-bit names of their windows, each named once for all the suffixes of a task that share it.
 
 Words are compared by their 64-bit hashes.
 """
 
 from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardbook.llm import repeats as R
@@ -38,6 +41,19 @@ SAMPLED = 20
 _INNER, _EDGE, _LONE = 0, 1, 2
 _COLUMNS = ["key", "doc_id", "segment", "seq", "first", "n"]
 _SUFFIX = "key long, doc_id long, segment long, seq long, first int, n int"
+_RUN = "doc_id long, seq long, first_id long, first int, n int"
+_BLOCKS = (
+    "block long, names array<struct<w1: long, w2: long>>, members array<struct<doc_id: long, seq: long, start: int>>, "
+    "least long, last long"
+)
+_BLOCK = {
+    "block": pa.int64(),
+    "names": pa.list_(pa.struct([("w1", pa.int64()), ("w2", pa.int64())])),
+    "members": pa.list_(pa.struct([("doc_id", pa.int64()), ("seq", pa.int64()), ("start", pa.int32())])),
+    "least": pa.int64(),
+    "last": pa.int64(),
+}
+_FOUND = ["doc_id", "seq", "first_id", "first", "n", *_BLOCK]
 
 
 def name_windows(w: S.Words, start: np.ndarray, size: int, seed: int = SEED) -> np.ndarray:
@@ -153,38 +169,80 @@ def _common(rows: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
-def _compared(rows: pa.RecordBatch, size: int, seed: int, cut_before: bool, cut_behind: bool) -> Iterator[pa.RecordBatch]:
-    """Windows of sorted suffixes that a smaller document among them has too, and the names of those whose equals
-    may lie beyond a border."""
+def _runs(suffix: np.ndarray, before: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows, given by their suffix and how many words they reach to its left, put in order of their starts, where
+    runs of neighbours of one suffix and one ``value`` begin, and how many windows each has."""
+    order = np.lexsort((-before, suffix))
+    own, at, v = suffix[order], before[order], value[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (own[1:] != own[:-1]) | (at[1:] != at[:-1] - 1) | (v[1:] != v[:-1])
+    begin = np.flatnonzero(new)
+    return order, begin, np.diff(np.append(begin, len(order)))
+
+
+def _lists(of: pa.Array, n: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), of)
+
+
+def _compared(rows: pa.RecordBatch, size: int, seed: int, cut_before: bool, cut_behind: bool, numbers: Iterator[int]) -> Iterator[pa.RecordBatch]:
+    """Runs of windows of sorted suffixes that a smaller document among them has too, and blocks of windows whose
+    equals may lie beyond a border: the names of neighbouring windows, and all suffixes here that share just these."""
     right, ahead = _matrix(rows.column(0), size)
     left, behind = _matrix(rows.column(1), size - seed)
     doc, seq, place = (rows.column(k).to_numpy() for k in (2, 3, 4))
     # The order by the words to the left, and each suffix's place in it.
     order = np.lexsort(left.T[::-1]) if left.shape[1] else np.arange(len(rows))
     common_right, common_left = _common(right, ahead), _common(left[order], behind[order])
-    # Every suffix's words from left to right, end to end.
-    words = np.concatenate([left[:, ::-1], right], axis=1).ravel()
-    one, other = S.word_prefix(words), S.other_prefix(words)
     own_left = np.empty(len(rows), np.int64)
+    # A group's members are told by the sum of their marks.
+    mark, inner, border = S.mix(np.arange(len(rows), dtype=np.uint64), 7), [], []
     for before in range(size - seed + 1):
         on = (size - ahead <= before) & (before <= behind)
         own_right = np.cumsum(common_right < size - before)
         own_left[order] = np.cumsum(common_left < before)
         at_border = (cut_before & (own_right == own_right[0])) | (cut_behind & (own_right == own_right[-1]))
-        inner, border = np.flatnonzero(on & ~at_border), np.flatnonzero(on & at_border)
-        names, group = np.unique(own_right[inner] * (len(rows) + 1) + own_left[inner], return_inverse=True)
-        first = np.full(len(names), np.iinfo(np.int64).max)
-        np.minimum.at(first, group, doc[inner])
-        later = first[group] < doc[inner]
-        inner, first = inner[later], first[group][later]
-        at = border * (size + left.shape[1]) + left.shape[1] - before
-        for found, first_id, name in (
-            (inner, pa.array(first), [pa.nulls(len(inner), pa.int64())] * 2),
-            (border, pa.nulls(len(border), pa.int64()), [pa.array(p.hash(at, at + size, 3).view(np.int64)) for p in (one, other)]),
-        ):
-            if len(found):
-                cols = [*name, pa.array(doc[found]), pa.array(seq[found]), pa.array((place[found] - before).astype(np.int32)), first_id]
-                yield pa.RecordBatch.from_arrays(cols, names=["w1", "w2", "doc_id", "seq", "start", "first_id"])
+        for found, cut in ((np.flatnonzero(on & ~at_border), False), (np.flatnonzero(on & at_border), True)):
+            names, group = np.unique(own_right[found] * (len(rows) + 1) + own_left[found], return_inverse=True)
+            if cut:
+                members = np.zeros(len(names), np.uint64)
+                np.add.at(members, group, mark[found])
+                border.append((found, np.full(len(found), before), members[group]))
+                continue
+            first = np.full(len(names), np.iinfo(np.int64).max)
+            np.minimum.at(first, group, doc[found])
+            later = first[group] < doc[found]
+            inner.append((found[later], np.full(int(later.sum()), before), first[group][later]))
+
+    suffix, before, first = map(np.concatenate, zip(*inner))
+    if len(suffix):
+        order, begin, n = _runs(suffix, before, first)
+        i = order[begin]
+        own = suffix[i]
+        cols = [doc[own], seq[own], first[i], (place[own] - before[i]).astype(np.int32), n.astype(np.int32)]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, cols), *[pa.nulls(len(own), t) for t in _BLOCK.values()]], names=_FOUND)
+
+    suffix, before, members = map(np.concatenate, zip(*border))
+    if len(suffix):
+        # Every suffix's words from left to right, end to end.
+        words = np.concatenate([left[:, ::-1], right], axis=1).ravel()
+        one, other = S.word_prefix(words), S.other_prefix(words)
+        order, begin, n = _runs(suffix, before, members)
+        i = order[begin]
+        # Members of one group have their runs in common: a block each.
+        by_block = np.lexsort((suffix[i], before[i], members[i]))
+        i, n = i[by_block], n[by_block]
+        own, before, members = suffix[i], before[i], members[i]
+        new = np.append(True, (members[1:] != members[:-1]) | (before[1:] != before[:-1]))
+        at = np.flatnonzero(new)
+        sharing, n = np.diff(np.append(at, len(own))), n[at]
+        start = S.ranges(own[at] * (size + left.shape[1]) + left.shape[1] - before[at], n)
+        named = pa.StructArray.from_arrays([pa.array(p.hash(start, start + size, 3).view(np.int64)) for p in (one, other)], names=["w1", "w2"])
+        parts = [doc[own], seq[own], (place[own] - before).astype(np.int32)]
+        held = pa.StructArray.from_arrays([*map(pa.array, parts)], names=["doc_id", "seq", "start"])
+        cols = [pa.array(islice(numbers, len(at)), pa.int64()), _lists(named, n), _lists(held, sharing)]
+        cols += [pa.array(f.reduceat(doc[own], at)) for f in (np.minimum, np.maximum)]
+        none = [pa.nulls(len(at), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())]
+        yield pa.RecordBatch.from_arrays([*none, *cols], names=_FOUND)
 
 
 def _matches(size: int, seed: int, most: int):
@@ -192,6 +250,7 @@ def _matches(size: int, seed: int, most: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, cut = [], True
+        numbers = count(TaskContext.get().partitionId() << 33)
         for batch in batches:
             parts.append(batch)
             if sum(map(len, parts)) < most:
@@ -199,11 +258,11 @@ def _matches(size: int, seed: int, most: int):
             rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
             new = np.flatnonzero(_common(*_matrix(rows.column(0), size))[1:] < seed) + 1
             at = int(new[-1]) if len(new) else len(rows)
-            yield from _compared(rows.slice(0, at), size, seed, cut, not len(new))
+            yield from _compared(rows.slice(0, at), size, seed, cut, not len(new), numbers)
             parts, cut = [rows.slice(at)] if len(new) else [], not len(new)
         if any(map(len, parts)):
             rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-            yield from _compared(rows, size, seed, cut, True)
+            yield from _compared(rows, size, seed, cut, True, numbers)
 
     return run
 
@@ -219,12 +278,26 @@ def extended_matches(texts: DataFrame, size: int) -> DataFrame:
     spark.conf.set(key, SAMPLED)
     try:
         ranked = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
-        found = ranked.mapInArrow(_matches(size, seed, HELD), "w1 long, w2 long, doc_id long, seq long, start int, first_id long")
-        found = stored(found, "matches")
+        found = stored(ranked.mapInArrow(_matches(size, seed, HELD), f"{_RUN}, {_BLOCKS}"), "matches")
     finally:
         spark.conf.set(key, before)
-    inner = found.filter("first_id is not null").select("doc_id", "seq", "first_id", F.col("start").alias("first"), F.lit(1).alias("n"))
-    return inner.unionByName(R.first_ids(found.filter("first_id is null").drop("first_id")))
+    inner = found.filter("block is null").select("doc_id", "seq", "first_id", "first", "n")
+    return inner.unionByName(_across_borders(found.filter("block is not null").select(*_BLOCK)))
+
+
+def _across_borders(blocks: DataFrame) -> DataFrame:
+    """Of the blocks' windows, runs that a smaller document has too. A name has one row for each block, however many
+    suffixes share it, and what is found for a run of names goes to all of the block's suffixes."""
+    named = blocks.select("block", "least", "last", F.posexplode("names").alias("at", "name"))
+    firsts = named.groupBy("name.w1", "name.w2").agg(F.min("least").alias("first_id"), F.max("last").alias("last_id"))
+    firsts = firsts.filter("first_id < last_id").drop("last_id")
+    hits = named.select("block", "last", "at", "name.w1", "name.w2").join(firsts, ["w1", "w2"]).filter("first_id < last")
+    # Neighbours of one block and first document differ as much in their places as in their numbers.
+    numbered = F.row_number().over(W.partitionBy("block", "first_id").orderBy("at"))
+    runs = hits.withColumn("run", F.col("at") - numbered).groupBy("block", "first_id", "run")
+    runs = runs.agg(F.min("at").alias("at"), F.count("*").cast("int").alias("n")).drop("run")
+    members = runs.join(blocks.select("block", "members"), "block").select("first_id", "at", "n", F.inline("members"))
+    return members.filter("first_id < doc_id").select("doc_id", "seq", "first_id", (F.col("start") + F.col("at")).alias("first"), "n")
 
 
 def repeated_spans(docs: DataFrame, size: int = R.WINDOW) -> DataFrame:
