@@ -74,6 +74,21 @@ def test_memory_compares_bytes():
         assert [memory.values[a : a + n].tobytes() for a, n in zip(at, length)] == [np.array(list(x), np.int32).tobytes() for x in (b"one", b"two", b"three", b"one")]
 
 
+def test_memory_holds_a_large_vocabulary():
+    """Pre-tokens seen before are seldom taken apart again, however many others came between."""
+    calls = []
+    memory = Memory(lambda raw: calls.append(raw) or [len(raw)])
+    n, step = 200_000, 10_000
+    data = np.arange(n, dtype=np.uint64).view(np.uint8)
+    for k in range(2 * n // step):
+        start = 8 * np.arange(k * step % n, k * step % n + step)
+        _, length = memory.look_up(spans.span_hash(data, start, start + 8), data, start, start + 8)
+        assert (length == 1).all()
+        if k == n // step - 1:
+            assert len(calls) == n
+    assert len(calls) - n < 0.25 * n
+
+
 def test_tokens_of_thue_morse(spark, library):
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = spark.createDataFrame([(1, A), (2, B), (3, f"{A} {B}")], SCHEMA).coalesce(1)

@@ -12,6 +12,7 @@ import sys
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import regex
@@ -183,7 +184,7 @@ class Memory:
     a pre-token's value, a list of numbers. What is remembered is dropped beyond ``store`` numbers or bytes.
     """
 
-    def __init__(self, value_of: Callable[[bytes], list[int]], places: int = 1 << 17, store: int = 1 << 21):
+    def __init__(self, value_of: Callable[[bytes], list[int]], places: int = 1 << 20, store: int = 1 << 23):
         self.value_of, self.mask, self.limit = value_of, np.uint64(places - 1), store
         self.clear(places)
 
@@ -197,7 +198,7 @@ class Memory:
 
     def _add(self, lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         length = np.fromiter(map(len, lists), np.int32, len(lists))
-        flat = np.fromiter((x for v in lists for x in v), np.int32, int(length.sum()))
+        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(length.sum()))
         while self.used + len(flat) > len(self.values):
             self.values = np.append(self.values, np.zeros(len(self.values), np.int32))
         at = self.used + np.cumsum(length) - length

@@ -41,9 +41,9 @@ class Capacity:
 @lru_cache(2)
 def _encoder(path: str) -> tuple[Vocabulary, Memory]:
     """A worker's vocabulary and its memory of identifiers, which the library's model makes."""
-    vocabulary, letters = Vocabulary(path), byte_letters()
+    vocabulary, letters = Vocabulary(path), dict(enumerate(byte_letters()))
     model = Tokenizer.from_file(path).model
-    ids = lambda raw: [x.id for x in model.tokenize("".join([letters[b] for b in raw]))]
+    ids = lambda raw: [x.id for x in model.tokenize(raw.decode("latin-1").translate(letters))]
     return vocabulary, Memory(ids)
 
 
