@@ -88,6 +88,13 @@ def test_every_key_is_found():
     assert all(find(k) == -1 for k in (bytes(rng.choices(b"abcd", k=9)) for _ in range(500)) if k not in keys)
 
 
+def test_any_byte_may_follow_a_state():
+    """The walk needs no check of the arrays' ends."""
+    for keys in ({b"\xff" * 5: 0}, {bytes([c, 255]): c for c in range(256)}, {b"a": 0}):
+        trie = pieces.DoubleArray(keys)
+        assert len(trie.check) == len(trie.base) == len(trie.value) > max(trie.base) + 255
+
+
 def test_broken_bytes_and_no_rows(spark):
     docs = spark.createDataFrame([(1, [3 + 0xC3, 3 + 0x28]), (2, None), (3, [])], "doc_id long, ids array<int>")
     assert [r.decoded for r in pieces.decoded(docs, PATH).orderBy("doc_id").collect()] == ["�(", "", ""]

@@ -26,6 +26,7 @@ MARKER = "▁"
 _BLANK, _MARKER_BYTES = b" ", MARKER.encode()
 # Fixed value: what an unknown character scores under the lowest piece.
 _UNKNOWN_PENALTY = 10.0
+_LOWEST = float("-inf")
 
 
 class DoubleArray:
@@ -68,6 +69,7 @@ class DoubleArray:
                 child = children[node][c]
                 self.check[b + c], self.value[b + c], place[child] = state, values[child], b + c
                 queue.append(child)
+        self._room(max(self.base) + 255)  # any byte may follow any state
 
     def _room(self, at: int) -> None:
         while at >= len(self.check):
@@ -82,7 +84,8 @@ class Pieces:
     """What encoding and decoding need of a model file."""
 
     trie: DoubleArray
-    scores: list[float]
+    gain: list[float | None]  # by the trie's states, of those that end a piece its score
+    longest: int  # piece, in bytes
     unknown: int
     unknown_score: float
     byte_ids: list[int] | None
@@ -110,42 +113,44 @@ class Pieces:
                 shown[i] = " ⁇ ".encode()
         by_words = all(MARKER not in p.lstrip(MARKER) for p in (k.decode() for k in keys))
         low = min(scores[i] for i in keys.values()) - _UNKNOWN_PENALTY
-        return Pieces(DoubleArray(keys), scores, model.unk_id(), low, [of_byte[b] for b in range(256)] if len(of_byte) == 256 else None, shown, by_words)
+        trie = DoubleArray(keys)
+        gain = [scores[i] if i >= 0 else None for i in trie.value]
+        return Pieces(trie, gain, max(map(len, keys)), model.unk_id(), low, [of_byte[b] for b in range(256)] if len(of_byte) == 256 else None, shown, by_words)
 
     def best_path(self, raw: bytes) -> list[int]:
         """Identifiers of the best segmentation; of equal ones, that whose last pieces start earliest."""
         raw = raw.replace(_BLANK, _MARKER_BYTES)
         n = len(raw)
-        base, check, value, scores = self.trie.base, self.trie.check, self.trie.value, self.scores
-        score: list[float | None] = [None] * (n + 1)
+        base, check, gain, longest = self.trie.base, self.trie.check, self.gain, self.longest
+        score = [_LOWEST] * (n + 1)
         came, by = [0] * (n + 1), [0] * (n + 1)
-        score[0], size = 0.0, len(check)
-        at = 0
+        score[0], at = 0.0, 0
         while at < n:
             lead = raw[at]
             char = at + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
             here, state, p, single = score[at], 0, at, False
-            while p < n:
-                child = base[state] + raw[p]
-                if child >= size or check[child] != state or not child:
+            for c in raw[at : at + longest]:
+                child = base[state] + c
+                if check[child] != state:
                     break
                 state, p = child, p + 1
-                i = value[state]
-                if i >= 0:
-                    single |= p == char
-                    total = here + scores[i]
-                    if score[p] is None or total > score[p]:
-                        score[p], came[p], by[p] = total, at, i
+                own = gain[state]
+                if own is not None:
+                    if p == char:
+                        single = True
+                    total = here + own
+                    if total > score[p]:
+                        score[p], came[p], by[p] = total, at, state
             if not single:
                 total = here + self.unknown_score
-                if score[char] is None or total > score[char]:
-                    score[char], came[char], by[char] = total, at, -1
+                if total > score[char]:
+                    score[char], came[char], by[char] = total, at, 0
             at = char
-        out, at = [], n
+        out, at, value = [], n, self.trie.value
         while at:
-            start, i = came[at], by[at]
-            if i >= 0:
-                out.append(i)
+            start, state = came[at], by[at]
+            if state:
+                out.append(value[state])
             elif self.byte_ids:
                 out.extend(self.byte_ids[b] for b in reversed(raw[start:at]))
             elif not out or out[-1] != self.unknown:
