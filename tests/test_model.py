@@ -170,6 +170,17 @@ def test_early_stopping(spark):
     assert stopped.stages[-1].getNumTrees < full.stages[-1].getNumTrees == 12
 
 
+def test_rows_of_one_file_are_fitted_in_several_tasks(spark):
+    """A frame is often one file; its rows are dealt evenly over the cores that they are worth."""
+    frame = spark.range(0, 3 * model.LEAST_PER_TASK, 1, 1)
+    spread = model._spread(frame)
+    sizes = spread.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert sum(sizes) == frame.count() and len(sizes) == 3 and max(sizes) < 1.1 * model.LEAST_PER_TASK
+    assert model._spread(spark.range(0, 1000, 1, 6)).rdd.getNumPartitions() == 1
+    cores = spark.sparkContext.defaultParallelism
+    assert model._spread(spark.range(0, 2 * cores * model.LEAST_PER_TASK, 1, 40)).rdd.getNumPartitions() == cores
+
+
 def test_published_settings():
     assert model.GBT == {"maxIter": 300, "stepSize": 0.05, "maxDepth": 5, "seed": 0}
 

@@ -15,9 +15,11 @@ from wardbook.session import ensure_checkpoint_dir
 # The boosting settings that Spark's trees can share with the published model. Its 31
 # leaves become depth 5; Spark has no L2 penalty.
 GBT = {"maxIter": 300, "stepSize": 0.05, "maxDepth": 5, "seed": 0}
-# Trees between two checkpoints of the residuals, and rows that are worth a task: boosting is thousands of jobs,
-# whose cost on small frames is that of their tasks and files.
-CHECKPOINT_INTERVAL, ROWS_PER_TASK = 50, 1 << 17
+# Trees between two checkpoints of the residuals: boosting is thousands of jobs, whose cost on small frames is that of
+# their tasks and files, and of the lineage that each job carries.
+CHECKPOINT_INTERVAL = 20
+# Rows that are worth a task while there are cores left, and beyond these.
+LEAST_PER_TASK, ROWS_PER_TASK = 1 << 14, 1 << 17
 # With early stopping, one row in so many is set aside and boosting stops when its loss rises.
 VALIDATION_SHARE = 10
 # Below every real reading, so that a split can send missing readings their own way.
@@ -51,12 +53,15 @@ def fit(train: DataFrame, features: list[str] = FEATURES, early_stopping: bool =
         aside = F.pmod(F.xxhash64(*features), F.lit(VALIDATION_SHARE)) == 0
         rows = rows.withColumn("x_validation", aside)
         gbt = {"validationIndicatorCol": "x_validation", "validationTol": 0.0, **gbt}
-    return delay_model(features, **gbt).fit(_in_few_tasks(rows))
+    return delay_model(features, **gbt).fit(_spread(rows))
 
 
-def _in_few_tasks(rows: DataFrame) -> DataFrame:
-    most, now = -(-rows.count() // ROWS_PER_TASK), rows.rdd.getNumPartitions()
-    return rows.coalesce(max(1, most)) if most < now else rows
+def _spread(rows: DataFrame) -> DataFrame:
+    """``rows`` in as many equal parts as are worth their tasks. A frame is often one file, and so one task, which
+    every level of every tree would wait for."""
+    n, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(-(-n // LEAST_PER_TASK), max(cores, -(-n // ROWS_PER_TASK))))
+    return rows.coalesce(1) if tasks == 1 else rows.repartition(tasks)
 
 
 def fit_each(runs: list[tuple[DataFrame, list[str]]], **gbt) -> list[PipelineModel]:
