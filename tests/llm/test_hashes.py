@@ -89,6 +89,42 @@ def test_memory_holds_a_large_vocabulary():
     assert len(calls) - n < 0.25 * n
 
 
+def test_memory_is_reserved_once():
+    """Filling the table copies nothing, and it is never larger than its limit and one step."""
+    memory = Memory(lambda raw: [len(raw)], places=1 << 16, store=1 << 17)
+    values, keys = memory.values, memory.keys
+    data = np.arange(30_000, dtype=np.uint64).view(np.uint8)
+    for k in range(3):
+        start = 8 * np.arange(k * 10_000, (k + 1) * 10_000)
+        memory.look_up(spans.span_hash(data, start, start + 8), data, start, start + 8)
+    assert memory.used == 30_000 and memory.values is values and memory.keys is keys
+    # One text longer than all that is reserved.
+    long = np.zeros(1 << 21, np.uint8)
+    for _ in range(3):
+        at, length = memory.look_up(np.array([7], np.uint64), long, np.array([0]), np.array([len(long)]))
+        assert memory.values[at[0]] == len(long) and length[0] == 1
+    other = np.ones(8, np.uint8)
+    memory.look_up(np.array([8], np.uint64), other, np.array([0]), np.array([8]))
+    assert len(memory.keys) == len(keys) and memory.used == 1
+
+
+def test_workers_give_memory_back(monkeypatch):
+    """At the end of a task's batches, once, and not before."""
+    calls = []
+    monkeypatch.setattr(spans, "give_back", lambda: calls.append(1))
+    batches = [pa.RecordBatch.from_pydict({"text": ["a b", None, "c"]})] * 2
+    found = spans.texts(iter(batches))
+    assert sum(len(next(found)) for _ in batches) == 6 and not calls
+    assert list(found) == [] and calls == [1]
+
+
+def test_unused_memory_goes_back():
+    pool = pa.default_memory_pool()
+    kept = pa.array([0])
+    spans.give_back()
+    assert pool.bytes_allocated() >= kept.nbytes and kept.to_pylist() == [0]
+
+
 def test_tokens_of_thue_morse(spark, library):
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = spark.createDataFrame([(1, A), (2, B), (3, f"{A} {B}")], SCHEMA).coalesce(1)

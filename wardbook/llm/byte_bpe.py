@@ -26,6 +26,8 @@ _CONTRACTIONS = ["s", "t", "re", "ve", "m", "ll", "d"]
 # Fixed value: the characters of Unicode's White_Space property.
 _WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _OTHER, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
+# Numbers or bytes that a step's texts add at most, unless one text is longer.
+_STEP = S.MAX_BYTES
 
 
 @lru_cache(1)
@@ -191,16 +193,17 @@ class Memory:
     def clear(self, places: int) -> None:
         self.hash = np.zeros(places, np.uint64)
         self.at, self.length = np.zeros(places, np.int64), np.zeros(places, np.int32)
-        self.values, self.used = np.zeros(1 << 16, np.int32), 0
+        # Reserved whole, so that nothing is copied to grow; the system gives pages as they are filled.
+        self.values, self.used = np.zeros(self.limit + _STEP, np.int32), 0
         # The remembered pre-tokens themselves.
-        self.key_at, self.key_length = np.zeros(places, np.int64), np.full(places, -1)
-        self.keys, self.keys_used = np.zeros(1 << 16, np.uint8), 0
+        self.key_at, self.key_length = np.zeros(places, np.int64), np.full(places, -1, np.int32)
+        self.keys, self.keys_used = np.zeros(2 * self.limit + _STEP, np.uint8), 0
 
     def _add(self, lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         length = np.fromiter(map(len, lists), np.int32, len(lists))
         flat = np.fromiter(chain.from_iterable(lists), np.int32, int(length.sum()))
-        while self.used + len(flat) > len(self.values):
-            self.values = np.append(self.values, np.zeros(len(self.values), np.int32))
+        if self.used + len(flat) > len(self.values):
+            self.values = np.append(self.values[: self.used], np.zeros(len(flat), np.int32))
         at = self.used + np.cumsum(length) - length
         self.values[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
@@ -208,8 +211,8 @@ class Memory:
 
     def _add_keys(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         flat = data[S.ranges(start, length)]
-        while self.keys_used + len(flat) > len(self.keys):
-            self.keys = np.append(self.keys, np.zeros(len(self.keys), np.uint8))
+        if self.keys_used + len(flat) > len(self.keys):
+            self.keys = np.append(self.keys[: self.keys_used], np.zeros(len(flat), np.uint8))
         at = self.keys_used + np.cumsum(length) - length
         self.keys[self.keys_used : self.keys_used + len(flat)] = flat
         self.keys_used += len(flat)
