@@ -187,6 +187,25 @@ def test_block_twice_around_an_earlier_passage(spark, operator):
     assert got == want
 
 
+def test_names_of_windows_at_borders_by_parts(monkeypatch):
+    """A task's words are hashed some suffixes at a time, to the same names as all at once."""
+    rng, size, seed = np.random.default_rng(5), 50, 16
+    right, left = (rng.integers(0, 1 << 63, (300, n)).astype(np.uint64) for n in (size, size - seed))
+    own, before = rng.integers(0, 300, 700), rng.integers(0, size - seed + 1, 700)
+    n = np.minimum(rng.integers(1, 30, 700), before + 1)
+    words = np.concatenate([left[:, ::-1], right], axis=1)
+    start = spans.ranges(own * words.shape[1] + left.shape[1] - before, n)
+    want = [p.hash(start, start + size, 3).view(np.int64) for p in (spans.word_prefix(words.ravel()), spans.other_prefix(words.ravel()))]
+    hashed, whole = [], spans.word_prefix
+    monkeypatch.setattr(spans, "word_prefix", lambda w: hashed.append(len(w)) or whole(w))
+    for most in (7, 1 << 10):
+        monkeypatch.setattr(suffix_dedup, "NAMED", most)
+        got = suffix_dedup._names(right, left, own, before, n, size)
+        assert all((a == b).all() for a, b in zip(got, want))
+        assert max(hashed) <= min(most, 300) * words.shape[1] and sum(hashed) == len(np.unique(own)) * words.shape[1]
+        hashed.clear()
+
+
 def test_range_min():
     rng = np.random.default_rng(1)
     v = rng.integers(0, 1000, 300).astype(np.uint64)

@@ -38,6 +38,8 @@ SEED = 16
 HELD = 1 << 14
 # Rows that Spark samples of a partition, three times, to find the borders of a sort whose keys are whole suffixes.
 SAMPLED = 20
+# Suffixes whose windows are named at a time.
+NAMED = 1 << 10
 _INNER, _EDGE, _LONE = 0, 1, 2
 _COLUMNS = ["key", "doc_id", "segment", "seq", "first", "n"]
 _SUFFIX = "key long, doc_id long, segment long, seq long, first int, n int"
@@ -78,7 +80,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = rows.take(pa.array(keep))
         return pa.RecordBatch.from_arrays([*out.columns, pa.array(state[keep].astype(np.int32))], names=[*out.schema.names, "state"])
 
-    for batch in batches:
+    for batch in S.giving_back(batches):
         if not len(batch):
             continue
         rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
@@ -180,6 +182,26 @@ def _runs(suffix: np.ndarray, before: np.ndarray, value: np.ndarray) -> tuple[np
     return order, begin, np.diff(np.append(begin, len(order)))
 
 
+def _names(right: np.ndarray, left: np.ndarray, own: np.ndarray, before: np.ndarray, n: np.ndarray, size: int) -> list[np.ndarray]:
+    """Two names each of ``n`` neighbouring windows of suffix ``own``, from the one that starts ``before`` words to its
+    left on, end to end. The words of ``NAMED`` suffixes are hashed at a time."""
+    width, reach = size + left.shape[1], left.shape[1]
+    out, at = [np.empty(int(n.sum()), np.int64) for _ in range(2)], np.cumsum(n) - n
+    turn = np.argsort(own, kind="stable")
+    rows, first = np.unique(own[turn], return_index=True)
+    until = np.append(first[1:], len(own))
+    for k in range(0, len(rows), NAMED):
+        some = rows[k : k + NAMED]
+        # Every suffix's words from left to right, end to end.
+        words = np.concatenate([left[some, ::-1], right[some]], axis=1).ravel()
+        i = turn[first[k] : until[k + len(some) - 1]]
+        start = S.ranges(np.searchsorted(some, own[i]) * width + reach - before[i], n[i])
+        to = S.ranges(at[i], n[i])
+        for names, p in zip(out, (S.word_prefix(words), S.other_prefix(words))):
+            names[to] = p.hash(start, start + size, 3).view(np.int64)
+    return out
+
+
 def _lists(of: pa.Array, n: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), of)
 
@@ -223,9 +245,6 @@ def _compared(rows: pa.RecordBatch, size: int, seed: int, cut_before: bool, cut_
 
     suffix, before, members = map(np.concatenate, zip(*border))
     if len(suffix):
-        # Every suffix's words from left to right, end to end.
-        words = np.concatenate([left[:, ::-1], right], axis=1).ravel()
-        one, other = S.word_prefix(words), S.other_prefix(words)
         order, begin, n = _runs(suffix, before, members)
         i = order[begin]
         # Members of one group have their runs in common: a block each.
@@ -235,8 +254,7 @@ def _compared(rows: pa.RecordBatch, size: int, seed: int, cut_before: bool, cut_
         new = np.append(True, (members[1:] != members[:-1]) | (before[1:] != before[:-1]))
         at = np.flatnonzero(new)
         sharing, n = np.diff(np.append(at, len(own))), n[at]
-        start = S.ranges(own[at] * (size + left.shape[1]) + left.shape[1] - before[at], n)
-        named = pa.StructArray.from_arrays([pa.array(p.hash(start, start + size, 3).view(np.int64)) for p in (one, other)], names=["w1", "w2"])
+        named = pa.StructArray.from_arrays([*map(pa.array, _names(right, left, own[at], before[at], n, size))], names=["w1", "w2"])
         parts = [doc[own], seq[own], (place[own] - before).astype(np.int32)]
         held = pa.StructArray.from_arrays([*map(pa.array, parts)], names=["doc_id", "seq", "start"])
         cols = [pa.array(islice(numbers, len(at)), pa.int64()), _lists(named, n), _lists(held, sharing)]
@@ -251,7 +269,7 @@ def _matches(size: int, seed: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, cut = [], True
         numbers = count(TaskContext.get().partitionId() << 33)
-        for batch in batches:
+        for batch in S.giving_back(batches):
             parts.append(batch)
             if sum(map(len, parts)) < most:
                 continue
